@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 # Upper bound on rows of a table we broadcast.  Offset tables have
 # (#partition keys x #buckets) rows; above this they are shuffled instead.
 BROADCAST_ROW_LIMIT = 2_000_000
+# 16^4 = 65,536 hash buckets: ~1.5M rows per window task at 1e11 rows.
+HEX_DIGITS = 4
+# Integer positions are cut into ranges of 2^20.
+INT_BUCKET_WIDTH = 1 << 20
 
 
 def seeded_hash(seed, *keys) -> Column:
@@ -24,31 +28,33 @@ def seeded_hash(seed, *keys) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]))
 
 
-def hex_bucket(h: Column, digits: int = 3) -> Column:
+def hex_bucket(h: Column, digits: int = HEX_DIGITS) -> Column:
     """Ordered bucket of a hex string: its first ``digits`` characters."""
     return F.substring(h, 1, digits)
 
 
-def int_bucket(pos: Column, width: int = 1 << 14) -> Column:
+def int_bucket(pos: Column, width: int = INT_BUCKET_WIDTH) -> Column:
     """Ordered bucket of an integer position."""
     return F.floor(pos / F.lit(width)).cast("bigint")
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join with a side whose row count is checked before it is broadcast.
+               bound: int | None = None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Join with a side that is broadcast only behind a size check.
 
-    ``small`` is materialised once (it is an aggregate); when it has more than
-    ``limit`` rows the join is left to the planner (sort-merge).
+    ``bound`` is a proven upper bound on the rows of ``small`` (e.g. #groups
+    x #buckets, known from configuration).  Within ``limit`` it is broadcast;
+    otherwise the plain join is planned and AQE may still switch it to a
+    broadcast after measuring the materialised side at run time.
     """
-    small = small.persist()
-    n = small.count()
-    side = F.broadcast(small) if n <= limit else small
-    return big.join(side, on, how)
+    if bound is not None and bound <= limit:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
 
 
 def ranked(df: DataFrame, order: Sequence[str], bucket: Column,
-           partition: Sequence[str] = (), name: str = "rn") -> DataFrame:
+           partition: Sequence[str] = (), name: str = "rn",
+           max_keys: int | None = 1, n_buckets: int | None = 16 ** HEX_DIGITS) -> DataFrame:
     """Adds ``name`` = 1-based row_number over (partition by ``partition``
     order by ``order``).
 
@@ -62,7 +68,8 @@ def ranked(df: DataFrame, order: Sequence[str], bucket: Column,
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*part, "_bk",
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).cast("bigint").alias("_off"))
-    joined = join_small(b, offsets, part + ["_bk"])
+    bound = max_keys * n_buckets if (max_keys and n_buckets) else None
+    joined = join_small(b, offsets, part + ["_bk"], bound=bound)
     w = Window.partitionBy(*part, "_bk").orderBy(*order)
     return (joined.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("bigint"))
             .drop("_bk", "_off"))
@@ -74,4 +81,4 @@ def group_sizes(df: DataFrame, partition: Sequence[str], name: str = "_size") ->
     if not partition:
         return df.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
     sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias(name))
-    return join_small(df, sizes, list(partition))
+    return join_small(df, sizes, list(partition), bound=None)

@@ -49,17 +49,26 @@ MCQ = f"""mcq AS (
          ELSE (CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 ELSE 3 END) END AS BIGINT) AS label,
     source,
     'g' || CAST(CAST(regexp_extract(source, '(\\d+)', 1) AS BIGINT) % 7 AS VARCHAR) AS grp,
-    'documents' AS dataset
+    'documents' AS dataset, lang
   FROM documents)"""
 
+TWINS = """twins AS (
+  SELECT * FROM mcq UNION ALL
+  SELECT "index", ' ' || translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || ' ' AS text,
+    question,
+    CASE WHEN lang = 'fr' THEN list_reverse(options) ELSE options END AS options,
+    CAST(CASE WHEN lang = 'fr' THEN len(options) - 1 - label ELSE label END AS BIGINT) AS label,
+    'src_twin' AS source, grp, 'src_twin' AS dataset, lang
+  FROM mcq)"""
+
 GROUPS = "groups AS (SELECT * FROM (VALUES " + ", ".join(
     f"('{g}', {r}::DOUBLE, {i})" for i, (g, r) in enumerate(GROUP_RATIOS)) + ") AS t(grp, ratio, grp_ord))"
 
 # Converter cleaning: ordered reasons, option merge, in-dataset first wins.
-CLASSIFIED = f"""c0 AS (
+_CLASSIFIED = f"""c0 AS (
   SELECT *, list_transform(options, lambda o: {STRIP('o')}) AS opts_s,
          {STRIP("coalesce(text, '')")} AS text_s, {STRIP("coalesce(question, '')")} AS question_s
-  FROM mcq),
+  FROM @SRC),
 c1 AS (SELECT *, list_transform(opts_s, lambda o: lower(o)) AS lows FROM c0),
 c2 AS (SELECT *, len(list_distinct(lows)) AS n_uniq,
          len(list_distinct(lows)) < len(lows) AS has_dup,
@@ -78,7 +87,7 @@ c3 AS (SELECT *, CASE
   FROM c2),
 c4 AS (SELECT *, has_dup AND coalesce(reason0, '') IN ('', 'label_out_of_range', 'text_question_empty',
          'text_equals_question') AS deduped FROM c3),
-c5 AS (SELECT "index", text, question, source, grp, dataset, text_s, question_s, reason0,
+c5 AS (SELECT "index", text, question, source, grp, dataset, lang, text_s, question_s, reason0,
     CASE WHEN deduped THEN uniq ELSE options END AS options,
     CASE WHEN deduped AND coalesce(reason0, '') <> 'label_out_of_range'
          THEN CAST(list_position(uniq_lows, lows[label + 1]) - 1 AS BIGINT) ELSE label END AS label,
@@ -86,11 +95,23 @@ c5 AS (SELECT "index", text, question, source, grp, dataset, text_s, question_s,
     CASE WHEN deduped THEN label END AS original_label,
     CASE WHEN deduped THEN 'options_deduped_kept' END AS note
   FROM c4),
-classified AS (SELECT * EXCLUDE (reason0, first_idx),
+@NAME AS (SELECT * EXCLUDE (reason0, first_idx),
     CASE WHEN reason0 IS NULL AND "index" <> first_idx THEN 'duplicate_sample' ELSE reason0 END AS reason
   FROM (SELECT *, min("index") OVER (PARTITION BY reason0 IS NULL, dataset, text_s, question_s, options) AS first_idx
         FROM c5))"""
 
+
+
+def classified_cte(src: str = "mcq", name: str = "classified") -> str:
+    body = _CLASSIFIED.replace("@SRC", src).replace("@NAME", name)
+    for c in ("c0", "c1", "c2", "c3", "c4", "c5"):
+        body = body.replace(f"{c} AS (", f"{name}_{c} AS (").replace(f"FROM {c})", f"FROM {name}_{c})")
+        body = body.replace(f"FROM {c}\n", f"FROM {name}_{c}\n")
+    return body
+
+
+CLASSIFIED = classified_cte()
+
 VALID = "valid AS (SELECT \"index\", text, question, options, label, source, grp, dataset FROM classified WHERE reason IS NULL)"
 
 

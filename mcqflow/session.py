@@ -60,3 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: cuts the lineage at a branch point, so multi-pass operators
+    (scalar subqueries, offsets, joins back) do not recompute the upstream,
+    and a lost executor re-reads the files instead of re-running the plan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

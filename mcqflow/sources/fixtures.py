@@ -76,6 +76,7 @@ def mcq_from_documents(docs: DataFrame) -> DataFrame:
         F.col("source"),
         F.concat(F.lit("g"), (source_number() % 7).cast("string")).alias("grp"),
         F.lit("documents").alias("dataset"),
+        F.col("lang"),
     )
 
 
@@ -92,10 +93,16 @@ def group_config(spark: SparkSession) -> DataFrame:
 
 
 def with_twins(mcq: DataFrame) -> DataFrame:
-    """Adds a case-only twin of every row: text upper-cased, source 'src_twin'
-    (group g0), so that cross-source fingerprints collide."""
-    twins = (mcq.withColumn("text", F.upper("text"))
-             .withColumn("grp", F.lit("g0"))
+    """Adds a twin of every row in dataset 'src_twin' (same group): ASCII
+    letters of ``text`` upper-cased with a space on each side, so that its
+    fingerprint (lower+strip) equals the original's.  French rows' twins also
+    get their options reversed (label moved along), so they are not copies."""
+    fr = F.col("lang") == "fr"
+    twins = (mcq.withColumn("text", F.concat(F.lit(" "), F.translate(
+                 "text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit(" ")))
+             .withColumn("label", F.when(fr, F.size("options") - 1 - F.col("label"))
+                         .otherwise(F.col("label")).cast("bigint"))
+             .withColumn("options", F.when(fr, F.reverse("options")).otherwise(F.col("options")))
              .withColumn("source", F.lit("src_twin"))
              .withColumn("dataset", F.lit("src_twin")))
     return mcq.unionByName(twins)
