@@ -131,3 +131,72 @@ def histogram(lengths: DataFrame, col: str, lo: Column, hi: Column, n_edges: int
     b = F.when(v == hi, F.lit(nb - 1)).otherwise(F.floor((v - lo) / width)).cast("bigint")
     x = lengths.where((v >= lo) & (v <= hi)).withColumn("bin", b)
     return x.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- shuffle quality over an ordered set (position column ``pos``, 0-based) --
+
+def _source_list(df: DataFrame, source: str = "source") -> Column:
+    """Sorted distinct sources as a scalar array (bounded by #sources)."""
+    return df.agg(F.sort_array(F.collect_set(source)).alias("s")).select("s").scalar()
+
+
+def chunk_source_counts(df: DataFrame, pos: str = "pos", chunk: int = 100, first: int = 10,
+                        source: str = "source") -> DataFrame:
+    """A10 + J5: counts per (chunk, source) for the first ``first`` chunks,
+    zero cells included, with % of the chunk."""
+    x = df.where(F.col(pos) < chunk * first).withColumn("chunk", F.floor(F.col(pos) / chunk).cast("bigint"))
+    c = x.groupBy("chunk", source).agg(F.count(F.lit(1)).alias("n"))
+    sizes = x.groupBy("chunk").agg(F.count(F.lit(1)).alias("_t"))
+    grid = sizes.select("chunk", "_t", F.explode(_source_list(df, source)).alias(source))
+    return (grid.join(c, ["chunk", source], "left")
+            .select("chunk", source, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+                    F.round(F.coalesce("n", F.lit(0)) * 100.0 / F.col("_t"), 6).alias("pct")))
+
+
+def shuffle_header(df: DataFrame, chunk: int = 100, source: str = "source") -> DataFrame:
+    """Rows, chunk size, number of chunks, number of sources."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(chunk).cast("bigint").alias("chunk_size"),
+                  F.ceil(F.count(F.lit(1)) / chunk).cast("bigint").alias("chunks"),
+                  F.count_distinct(source).alias("sources"))
+
+
+def source_trend(df: DataFrame, pos: str = "pos", chunk: int = 100, window: int = 5,
+                 stride: int | None = None, source: str = "source") -> DataFrame:
+    """Average count per chunk of each source, per window.
+
+    Tumbling (default): window w covers rows [w*chunk*window, (w+1)*chunk*window).
+    ``stride`` given: window w covers rows [w*stride, w*stride + chunk*window)
+    for w*stride < #chunks (the source report's loop).  Rows are first
+    counted per block of ``stride`` rows, so each (source, block) count
+    reaches at most chunk*window/stride windows.  Zero cells included.
+    """
+    span = chunk * window
+    n = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    n_chunks = F.ceil(n / chunk)
+    if stride is None:
+        c = (df.groupBy(F.floor(F.col(pos) / span).cast("bigint").alias("window"), source)
+             .agg(F.count(F.lit(1)).alias("_c")))
+        n_windows = F.ceil(n / span)
+    else:
+        per = span // stride
+        blk = (df.groupBy(F.floor(F.col(pos) / stride).cast("bigint").alias("_b"), source)
+               .agg(F.count(F.lit(1)).alias("_c")))
+        # block b lies in windows b-per+1 .. b
+        w = blk.select(source, "_c", F.explode(F.sequence(
+            F.greatest(F.col("_b") - per + 1, F.lit(0)), F.col("_b"))).alias("window"))
+        n_windows = F.ceil(n_chunks / stride)
+        c = w.where(F.col("window") < n_windows).groupBy("window", source).agg(F.sum("_c").alias("_c"))
+    wins = df.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), (n_windows - 1).cast("bigint"))).alias("window"))
+    grid = wins.select("window", F.explode(_source_list(df, source)).alias(source))
+    return (grid.join(c, ["window", source], "left")
+            .select("window", source, F.round(F.coalesce("_c", F.lit(0)) / F.lit(float(window)), 6)
+                    .alias("avg_per_chunk")))
+
+
+def shuffle_uniformity(df: DataFrame, source: str = "source") -> DataFrame:
+    """Sample std and CV of per-source counts; good iff CV < 0.5."""
+    c = df.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
+    return c.agg(F.round(F.stddev_samp("n"), 6).alias("std"), F.round(F.avg("n"), 6).alias("mean"),
+                 F.round(F.stddev_samp("n") / F.avg("n"), 6).alias("cv"),
+                 (F.stddev_samp("n") / F.avg("n") < 0.5).alias("good"))
