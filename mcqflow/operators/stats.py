@@ -127,8 +127,7 @@ def histogram(lengths: DataFrame, col: str, lo: Column, hi: Column, n_edges: int
     left-closed, the last one closed; values outside are dropped."""
     nb = n_edges - 1
     v = F.col(col).cast("double")
-    width = (hi - lo) / nb
-    b = F.when(v == hi, F.lit(nb - 1)).otherwise(F.floor((v - lo) / width)).cast("bigint")
+    b = F.when(v == hi, F.lit(nb - 1)).otherwise(F.floor((v - lo) * (F.lit(float(nb)) / (hi - lo)))).cast("bigint")
     x = lengths.where((v >= lo) & (v <= hi)).withColumn("bin", b)
     return x.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
 
