@@ -174,3 +174,24 @@ def with_analysis(mcq: DataFrame) -> DataFrame:
                      (d % 3 + 1).cast("int")).alias("reasoning_type"),
         F.lit(True).alias("is_valid"))))
     return mcq.withColumn("response", resp)
+
+
+def with_json_response(mcq: DataFrame) -> DataFrame:
+    """Recorded structured-reasoning responses (JSON text) for rows with label
+    0..4: none when index % 10 = 9; 'reasoning_pattern' missing when
+    index % 9 = 0; answer = wrong letter (index % 4 = 0), ' l ' lower case
+    with spaces (index % 4 = 1), else the right letter."""
+    L = F.char(F.lit(65) + F.col("label"))
+    W = F.when(L == "A", F.lit("B")).otherwise(F.lit("A"))
+    d = F.col("index")
+    answer = (F.when(d % 4 == 0, W).when(d % 4 == 1, F.concat(F.lit(" "), F.lower(L), F.lit(" ")))
+              .otherwise(L))
+    base = [F.lit("deductive").alias("reasoning_type"),
+            F.array(F.lit("fact")).alias("given_facts"),
+            F.array(F.lit("step one"), F.lit("step two")).alias("logical_steps"),
+            F.lit("so it is").alias("conclusion"), answer.alias("answer"),
+            F.lit("high").alias("confidence")]
+    full = F.to_json(F.struct(*base, F.lit("elimination").alias("reasoning_pattern")))
+    part = F.to_json(F.struct(*base))
+    resp = F.when(d % 10 == 9, F.lit(None).cast("string")).when(d % 9 == 0, part).otherwise(full)
+    return mcq.where(F.col("label").between(0, 4)).withColumn("response", resp)
