@@ -60,3 +60,122 @@ def index_slice(df: DataFrame, start: int = 0, end: int | None = None, order: st
     if end is not None:
         cond = cond & (F.col("pos") < end)
     return r.where(cond).withColumn("slice_index", F.col("pos") - start)
+
+
+# ---- batch model calls ------------------------------------------------------
+# ``fn(payload_json: str, attempt: int) -> str`` is user code (an HTTP client,
+# a local model ...).  It runs inside Python workers over Arrow batches, with
+# ``concurrency`` calls in flight per task.  Responses are written to the
+# shared folder after every attempt: a lost executor or a re-planned stage
+# must never call the model again for rows already answered.
+
+def call_model(df: DataFrame, fn: Callable[[str, int], str], attempt: int, payload: str = "payload",
+               out: str = "response", concurrency: int = 20) -> DataFrame:
+    from pyspark.sql import types as T
+    schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType()),
+                                              T.StructField("call_error", T.StringType())])
+
+    def run(batches: Iterator) -> Iterator:
+        from concurrent.futures import ThreadPoolExecutor
+
+        def one(p):
+            try:
+                return fn(p, attempt), None
+            except Exception as e:  # noqa: BLE001 -- recorded per row
+                return None, f"{type(e).__name__}: {e}"
+
+        with ThreadPoolExecutor(max_workers=concurrency) as ex:
+            for pdf in batches:
+                res = list(ex.map(one, pdf[payload].tolist()))
+                pdf[out] = [r[0] for r in res]
+                pdf["call_error"] = [r[1] for r in res]
+                yield pdf
+
+    return df.mapInPandas(run, schema)
+
+
+def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame], Column],
+              concurrency: int) -> DataFrame:
+    """Runs attempts 1..max_attempts; each attempt only for rows not yet
+    accepted (L5: failed rows are the next input).  Adds response,
+    call_error, attempts, accepted."""
+    from mcqflow.session import materialize
+    pending = df
+    done = None
+    for attempt in range(1, max_attempts + 1):
+        got = materialize(call_model(pending, fn, attempt, concurrency=concurrency), f"attempt{attempt}")
+        got = got.withColumn("attempts", F.lit(attempt)).withColumn("accepted", judge(got))
+        ok = got.where("accepted")
+        done = ok if done is None else done.unionByName(ok)
+        pending_next = got.where(~F.col("accepted"))
+        if attempt == max_attempts:
+            done = done.unionByName(pending_next)
+        else:
+            pending = pending_next.drop("response", "call_error", "attempts", "accepted")
+    return done
+
+
+def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "model",
+                       temperature: float = 0.7, max_tokens: int = 2000, letters: str = "ABCD",
+                       max_attempts: int = 3, concurrency: int = 20) -> DataFrame:
+    """L1: step-by-step prompt -> call -> extract letter -> accept if right,
+    else retry; after the last attempt the row is 'failed' with a reason."""
+    from mcqflow.functions.prompt import prompt_steps_style, request_payload
+    x = df.withColumn("payload", request_payload(prompt_steps_style(), system_prompt, model,
+                                                 temperature, max_tokens))
+
+    def judge(g):
+        return F.coalesce(answer_correct(extract_answer(F.col("response"), letters), F.col("label")),
+                          F.lit(False)) & F.col("call_error").isNull()
+
+    r = _attempts(x, fn, max_attempts, judge, concurrency)
+    return (r.withColumn("status", F.when(F.col("accepted"), "ok").otherwise("failed"))
+            .withColumn("failure_reason", F.when(F.col("accepted"), None)
+                        .when(F.col("call_error").isNotNull(), F.concat(F.lit("call_error: "), F.col("call_error")))
+                        .otherwise(F.lit("answer_mismatch")))
+            .withColumn("reasoning", F.when(F.col("accepted"), F.col("response"))))
+
+
+def generate_structured(df: DataFrame, fn, system_prompt: str, model: str = "model",
+                        temperature: float = 0.3, max_tokens: int = 1000,
+                        max_attempts: int = 3, concurrency: int = 20) -> DataFrame:
+    """L2: JSON-object responses; all seven fields must be present and the
+    answer (stripped, upper-cased) must match, else retry; then
+    'manual_review'.  Parsed response in ``reasoning_steps``."""
+    from mcqflow.functions.answers import has_fields, json_answer_correct
+    from mcqflow.functions.prompt import prompt_json_style, request_payload
+    from mcqflow.schema import REASONING_FIELDS, REASONING_STRUCT
+    x = df.withColumn("payload", request_payload(prompt_json_style(), system_prompt, model, temperature,
+                                                 max_tokens, json_object=True))
+
+    def judge(g):
+        ans = F.get_json_object(F.col("response"), "$.answer")
+        return (F.col("call_error").isNull() & has_fields(F.col("response"), REASONING_FIELDS)
+                & json_answer_correct(ans, F.col("label")))
+
+    r = _attempts(x, fn, max_attempts, judge, concurrency)
+    return (r.withColumn("status", F.when(F.col("accepted"), "ok").otherwise("manual_review"))
+            .withColumn("reasoning_steps", F.when(F.col("accepted"), F.from_json("response", REASONING_STRUCT))))
+
+
+def analysis_run(df: DataFrame, fn, system_prompt: str, model: str = "model",
+                 concurrency: int = 20) -> DataFrame:
+    """L3: one attempt with the analysis prompt; unanswered rows are dropped;
+    ``is_correct`` = exact letter match (P14d)."""
+    from mcqflow.functions.answers import exact_answer_correct
+    from mcqflow.functions.prompt import prompt_analysis_style, request_payload
+    from mcqflow.schema import ANALYSIS_STRUCT
+    from mcqflow.session import materialize
+    x = df.withColumn("payload", request_payload(prompt_analysis_style(), system_prompt, model, 0.0, 1000,
+                                                 json_object=True))
+    got = materialize(call_model(x, fn, 1, concurrency=concurrency), "analysis")
+    a = F.from_json("response", ANALYSIS_STRUCT)
+    got = got.withColumn("analysis", a).where(F.col("analysis").isNotNull())
+    return got.withColumn("is_correct", exact_answer_correct(F.col("analysis.correct_answer"), F.col("label")))
+
+
+def status_counts(df: DataFrame) -> DataFrame:
+    """Rows per status and the success rate."""
+    c = df.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1)).alias("t")).select("t").scalar()
+    return c.withColumn("rate", F.round(F.col("n") / total, 6))
