@@ -89,11 +89,31 @@ def _first_letter(g: Column, letters: str) -> Column:
     return out
 
 
+# Literals each pattern cannot match without (by pattern position): the
+# regex runs only when they occur, a plain substring search first.
+_GUARDS = {0: [":"], 1: ["he answer is"], 2: ["he answer is"], 3: ["he answer is option"],
+           4: ["he correct answer is"], 5: ["he correct answer is option"],
+           6: ["he correct answer is", "boxed{"], 7: ["he correct option is", "boxed{"],
+           8: ["he correct answer option is", "boxed{"], 9: ["he answer to the question is"],
+           11: ["1"], 12: ["1"], 13: [":"]}
+# Group 1 of pattern 10 is white space or empty: it never holds a letter, so
+# evaluating it can never change the result.
+_NEVER_YIELDS = {10}
+
+
 def extract_answer(text, letters: str = "ABCD", cushion: bool = True) -> Column:
     """The extracted option letter, or ''."""
     t = py_strip(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
-    parts = [_first_letter(F.regexp_extract(t, "(?sU)" + p, 1), letters)
-             for p in answer_patterns(letters, cushion)]
+    parts = []
+    for i, p in enumerate(answer_patterns(letters, cushion)):
+        if i in _NEVER_YIELDS:
+            continue
+        letter = _first_letter(F.regexp_extract(t, "(?sU)" + p, 1), letters)
+        guard = None
+        for lit in _GUARDS.get(i, []):
+            g = F.instr(t, lit) > 0
+            guard = g if guard is None else guard & g
+        parts.append(letter if guard is None else F.when(guard, letter))
     return F.coalesce(*parts, F.lit(""))
 
 
