@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mcqflow.functions.answers import (answer_correct, extract_answer, has_conclusion,
-                                       has_step_marker, reasoning_problems)
+                                       has_step_marker, reasoning_problems, response_content)
 from mcqflow.operators.index import int_bucket, ranked
 
 
@@ -95,7 +95,7 @@ def call_model(df: DataFrame, fn: Callable[[str, int], str], attempt: int, paylo
 
 
 def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame], Column],
-              concurrency: int) -> DataFrame:
+              concurrency: int, chat_body: bool = True) -> DataFrame:
     """Runs attempts 1..max_attempts; each attempt only for rows not yet
     accepted (L5: failed rows are the next input).  Adds response,
     call_error, attempts, accepted."""
@@ -104,6 +104,8 @@ def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame],
     done = None
     for attempt in range(1, max_attempts + 1):
         got = materialize(call_model(pending, fn, attempt, concurrency=concurrency), f"attempt{attempt}")
+        if chat_body:  # P24: the message text of a chat-completions body
+            got = got.withColumn("response", response_content(F.col("response")))
         got = got.withColumn("attempts", F.lit(attempt)).withColumn("accepted", judge(got))
         ok = got.where("accepted")
         done = ok if done is None else done.unionByName(ok)
@@ -117,7 +119,7 @@ def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame],
 
 def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "model",
                        temperature: float = 0.7, max_tokens: int = 2000, letters: str = "ABCD",
-                       max_attempts: int = 3, concurrency: int = 20) -> DataFrame:
+                       max_attempts: int = 3, concurrency: int = 20, chat_body: bool = True) -> DataFrame:
     """L1: step-by-step prompt -> call -> extract letter -> accept if right,
     else retry; after the last attempt the row is 'failed' with a reason."""
     from mcqflow.functions.prompt import prompt_steps_style, request_payload
@@ -128,7 +130,7 @@ def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "mode
         return F.coalesce(answer_correct(extract_answer(F.col("response"), letters), F.col("label")),
                           F.lit(False)) & F.col("call_error").isNull()
 
-    r = _attempts(x, fn, max_attempts, judge, concurrency)
+    r = _attempts(x, fn, max_attempts, judge, concurrency, chat_body)
     return (r.withColumn("status", F.when(F.col("accepted"), "ok").otherwise("failed"))
             .withColumn("failure_reason", F.when(F.col("accepted"), None)
                         .when(F.col("call_error").isNotNull(), F.concat(F.lit("call_error: "), F.col("call_error")))
@@ -138,7 +140,7 @@ def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "mode
 
 def generate_structured(df: DataFrame, fn, system_prompt: str, model: str = "model",
                         temperature: float = 0.3, max_tokens: int = 1000,
-                        max_attempts: int = 3, concurrency: int = 20) -> DataFrame:
+                        max_attempts: int = 3, concurrency: int = 20, chat_body: bool = True) -> DataFrame:
     """L2: JSON-object responses; all seven fields must be present and the
     answer (stripped, upper-cased) must match, else retry; then
     'manual_review'.  Parsed response in ``reasoning_steps``."""
@@ -153,13 +155,13 @@ def generate_structured(df: DataFrame, fn, system_prompt: str, model: str = "mod
         return (F.col("call_error").isNull() & has_fields(F.col("response"), REASONING_FIELDS)
                 & json_answer_correct(ans, F.col("label")))
 
-    r = _attempts(x, fn, max_attempts, judge, concurrency)
+    r = _attempts(x, fn, max_attempts, judge, concurrency, chat_body)
     return (r.withColumn("status", F.when(F.col("accepted"), "ok").otherwise("manual_review"))
             .withColumn("reasoning_steps", F.when(F.col("accepted"), F.from_json("response", REASONING_STRUCT))))
 
 
 def analysis_run(df: DataFrame, fn, system_prompt: str, model: str = "model",
-                 concurrency: int = 20) -> DataFrame:
+                 concurrency: int = 20, chat_body: bool = True) -> DataFrame:
     """L3: one attempt with the analysis prompt; unanswered rows are dropped;
     ``is_correct`` = exact letter match (P14d)."""
     from mcqflow.functions.answers import exact_answer_correct
@@ -169,6 +171,8 @@ def analysis_run(df: DataFrame, fn, system_prompt: str, model: str = "model",
     x = df.withColumn("payload", request_payload(prompt_analysis_style(), system_prompt, model, 0.0, 1000,
                                                  json_object=True))
     got = materialize(call_model(x, fn, 1, concurrency=concurrency), "analysis")
+    if chat_body:
+        got = got.withColumn("response", response_content(F.col("response")))
     a = F.from_json("response", ANALYSIS_STRUCT)
     got = got.withColumn("analysis", a).where(F.col("analysis").isNotNull())
     return got.withColumn("is_correct", exact_answer_correct(F.col("analysis.correct_answer"), F.col("label")))

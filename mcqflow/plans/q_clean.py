@@ -80,3 +80,16 @@ def mix_validate(spark, sf):
     s = mix_reason_typed(load_mcq(spark, sf))
     return (s.groupBy(F.coalesce("mix_reason", F.lit("VALID")).alias("mix_reason"))
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("sink_rejects", with_ctes(MCQ, CLASSIFIED) + """
+SELECT dataset, reason, count(*) AS "count" FROM classified WHERE reason IS NOT NULL GROUP BY 1, 2""")
+def q_sink_rejects(spark, sf):
+    """K4: rejected rows written partitioned by dataset and reason, read back
+    and counted per partition folder."""
+    from mcqflow.session import scratch_path
+    from mcqflow.sources.sinks import save_rejects
+    p = scratch_path(spark, "rejects")
+    save_rejects(classified(spark, sf), p)
+    back = spark.read.json(p)
+    return back.groupBy("dataset", "reason").agg(F.count(F.lit(1)).alias("count"))

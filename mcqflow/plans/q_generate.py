@@ -26,8 +26,13 @@ def _pick(payload: str, attempt: int, n: int = 4) -> str:
     return "ABCDE"[h % n]
 
 
+def _body(content: str) -> str:
+    """A chat-completions response body around ``content``."""
+    return json.dumps({"choices": [{"index": 0, "message": {"role": "assistant", "content": content}}]})
+
+
 def stub_text_model(payload: str, attempt: int) -> str:
-    return f"First, compare the options. Therefore, the answer is: ({_pick(payload, attempt)})"
+    return _body(f"First, compare the options. Therefore, the answer is: ({_pick(payload, attempt)})")
 
 
 def stub_json_model(payload: str, attempt: int) -> str:
@@ -35,16 +40,16 @@ def stub_json_model(payload: str, attempt: int) -> str:
             "conclusion": "c", "answer": _pick(payload, attempt), "confidence": "high"}
     if attempt > 1 or int(hashlib.md5(payload.encode()).hexdigest()[:2], 16) % 5:
         body["reasoning_pattern"] = "elimination"
-    return json.dumps(body)
+    return _body(json.dumps(body))
 
 
 def stub_analysis_model(payload: str, attempt: int) -> str:
     h = int(hashlib.md5(payload.encode()).hexdigest()[:8], 16)
     if h % 10 == 9:
         raise TimeoutError("no response")
-    return json.dumps({"reasoning_process": ["read"], "correct_answer": _pick(payload, attempt),
-                       "difficulty_level": "easy", "question_type": "choice",
-                       "reasoning_type": ["Deductive", "Sequential", "Causal"][h % 3], "is_valid": True})
+    return _body(json.dumps({"reasoning_process": ["read"], "correct_answer": _pick(payload, attempt),
+                             "difficulty_level": "easy", "question_type": "choice",
+                             "reasoning_type": ["Deductive", "Sequential", "Causal"][h % 3], "is_valid": True}))
 
 
 def _gen(spark, sf):
