@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +18,12 @@ from mcqflow.schema import NOTE_DEDUPED
 
 
 def _dup_key(text: Column, question: Column, options: Column) -> Column:
-    """md5 over the JSON of (text, question, options): a fixed-width shuffle
-    key instead of long text (collision odds ~n^2/2^129)."""
-    return F.md5(F.to_json(F.struct(text.alias("t"), question.alias("q"), options.alias("o"))))
+    """md5 over a length-prefixed encoding of (text, question, options): a
+    fixed-width shuffle key instead of long text (collision odds ~n^2/2^129);
+    the prefixes make the encoding unambiguous without escaping the text."""
+    return F.md5(F.concat(F.length(text).cast("string"), F.lit(":"), text, F.lit("|"),
+                          F.length(question).cast("string"), F.lit(":"), question, F.lit("|"),
+                          F.to_json(options)))
 
 
 def same_ignoring_case(a: Column, b: Column) -> Column:
@@ -104,6 +108,9 @@ def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",),
     # aggregation, so a hot key never lands whole in one task.
     x = x.withColumn("_key", F.when(F.col("reason").isNull(),
                                     _dup_key(F.col("_text_s"), F.col("_question_s"), F.col("options"))))
+    # Both sides of the join back read one spillable cached copy, so the text
+    # expressions run once (a lost block is recomputed from lineage).
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
     first = (x.where(F.col("_key").isNotNull())
              .groupBy(*ds, "_key").agg(F.min(order).alias("_first")))
     x = x.join(first, ds + ["_key"], "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +12,13 @@ from mcqflow.functions.text import blank_to_empty, norm
 
 
 def fingerprint(text="text", question="question", options="options") -> Column:
-    """md5 of (lower(strip(text)), lower(strip(question)), lower(strip(options)))."""
-    return F.md5(F.to_json(F.struct(
-        norm(blank_to_empty(text)).alias("t"), norm(blank_to_empty(question)).alias("q"),
-        F.transform(F.col(options), lambda o: norm(o)).alias("o"))))
+    """md5 of (lower(strip(text)), lower(strip(question)), lower(strip(options))),
+    length-prefixed so that the encoding is unambiguous."""
+    t = norm(blank_to_empty(text))
+    q = norm(blank_to_empty(question))
+    return F.md5(F.concat(F.length(t).cast("string"), F.lit(":"), t, F.lit("|"),
+                          F.length(q).cast("string"), F.lit(":"), q, F.lit("|"),
+                          F.to_json(F.transform(F.col(options), lambda o: norm(o)))))
 
 
 def first_wins(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_first") -> DataFrame:
@@ -24,6 +28,7 @@ def first_wins(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_fi
     key lets AQE split a hot key's partition.  No window over a whole key.
     """
     ordv = F.struct(*[F.col(c) for c in order])
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # both join sides read one copy
     firsts = df.groupBy(key).agg(F.min(ordv).alias("_first"))
     return (df.join(firsts, key, "left")
             .withColumn(flag, ordv == F.col("_first")).drop("_first"))
