@@ -48,7 +48,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     broadcast after measuring the materialised side at run time.
     """
     if bound is not None and bound <= limit:
-        small = F.broadcast(small)
+        small = F.broadcast(small)  # proven: at most ``bound`` rows
     return big.join(small, on, how)
 
 

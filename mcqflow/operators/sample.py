@@ -44,7 +44,7 @@ def draw_per_group(df: DataFrame, target: Column, keys: Sequence[str], partition
 
 
 def ratio_mix(df: DataFrame, groups: DataFrame, total, keys=("dataset", "index"),
-              seed=SEED, max_groups: int = 64) -> DataFrame:
+              seed=SEED, max_groups: int | None = None) -> DataFrame:
     """M1: per group take floor(total * ratio) rows uniformly without
     replacement, or all of them when the group is short.
 
@@ -52,10 +52,13 @@ def ratio_mix(df: DataFrame, groups: DataFrame, total, keys=("dataset", "index")
     rows, broadcast.  ``total`` is an int or a scalar column.
     """
     g = groups.select("grp", "ratio")
-    x = df.join(F.broadcast(g), "grp")
+    # the configuration table is counted (a handful of rows): a proven bound
+    # for its broadcast and for the number of groups that reach the draw
+    n_groups = min(g.count(), max_groups) if max_groups else g.count()
+    x = join_small(df, g, ["grp"], bound=n_groups)
     target = F.floor(_num(total) * F.col("ratio")).cast("bigint")
     return draw_per_group(x.withColumn("target", target), F.col("target"), list(keys), ["grp"], seed,
-                          max_keys=max_groups)
+                          max_keys=n_groups)
 
 
 def group_targets(df: DataFrame, groups: DataFrame, total) -> DataFrame:

@@ -56,7 +56,8 @@ def label_optcount_distribution(df: DataFrame) -> DataFrame:
     c = df.groupBy(F.size("options").cast("bigint").alias("opt_count"), "label").agg(
         F.count(F.lit(1)).alias("count"))
     tot = c.groupBy("opt_count").agg(F.sum("count").alias("total"))
-    return c.join(F.broadcast(tot), "opt_count")
+    # both sides are aggregates; the planner/AQE picks the join strategy
+    return c.join(tot, "opt_count")
 
 
 def overall_length_stats(lengths: DataFrame, col: str = "length") -> DataFrame:
@@ -97,7 +98,7 @@ def bucket_shares(lengths: DataFrame, col: str = "length") -> DataFrame:
     b = lengths.withColumn("bucket", length_bucket(F.col(col)))
     per = b.groupBy("dataset", "bucket").agg(F.count(F.lit(1)).alias("n"))
     tot = b.groupBy("dataset").agg(F.count(F.lit(1)).alias("_t"))
-    per = per.join(F.broadcast(tot), "dataset")
+    per = per.join(tot, "dataset")
     allb = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "_t", b.agg(F.count(F.lit(1)).alias("t")).select("t").scalar()).withColumn("dataset", F.lit("ALL"))
     out = per.unionByName(allb)
@@ -111,7 +112,7 @@ def box_stats(lengths: DataFrame, col: str = "length", by: str = "dataset") -> D
         by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    x = lengths.join(F.broadcast(q), by)
+    x = lengths.join(q, by)  # AQE broadcasts q at run time when it is small
     v = F.col(col)
     inside = (v >= F.col("lo")) & (v <= F.col("hi"))
     return x.groupBy(by).agg(

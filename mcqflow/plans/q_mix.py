@@ -18,7 +18,8 @@ from mcqflow.plans.oracle_sql import (CLASSIFIED, GROUPS, LOWER_STRIP, MCQ, STRI
 from mcqflow.plans.q_clean import valid
 from mcqflow.plans.registry import register
 from mcqflow.session import materialize
-from mcqflow.sources.fixtures import group_config, load_mcq, read_table, with_twins
+from mcqflow.operators.index import join_small
+from mcqflow.sources.fixtures import GROUP_RATIOS, group_config, load_mcq, read_table, with_twins
 
 MIX_SHARE = 0.6  # mix total = floor(0.6 x input documents)
 
@@ -26,7 +27,7 @@ MIX_SHARE = 0.6  # mix total = floor(0.6 x input documents)
 def pool(spark, sf):
     """Valid rows of the adapter plus its twins, with group and dataset order."""
     c = classify(with_twins(load_mcq(spark, sf)), ["dataset"]).where(F.col("reason").isNull())
-    c = c.join(F.broadcast(group_config(spark).select("grp", "grp_ord")), "grp")
+    c = join_small(c, group_config(spark).select("grp", "grp_ord"), ["grp"], bound=len(GROUP_RATIOS))
     return c.withColumn("dataset_ord", F.when(F.col("dataset") == "src_twin", 1).otherwise(0))
 
 
