@@ -281,7 +281,20 @@ def q_outliers(spark, sf):
     return outlier_rows(valid_len(spark, sf))
 
 
-@register("outlier_refill")
+@register("outlier_refill", with_ctes(MCQ, POOL, DRAWN) + """,
+dl AS (SELECT *, CAST(""" + LEN + """ AS BIGINT) AS length FROM drawn),
+gf AS (SELECT grp, q[2] + 1.5 * (q[2] - q[1]) AS upper
+       FROM (SELECT grp, quantile_cont(length, [0.25, 0.75]) AS q FROM dl GROUP BY grp)),
+need AS (SELECT grp, count(*) FILTER (WHERE length > upper) AS need FROM dl JOIN gf USING (grp) GROUP BY grp),
+pl AS (SELECT *, CAST(""" + LEN + """ AS BIGINT) AS length FROM fp WHERE is_first),
+pool2 AS (SELECT p.* FROM pl p JOIN gf USING (grp) WHERE p.length <= gf.upper
+          AND NOT EXISTS (SELECT 1 FROM drawn d WHERE d.dataset = p.dataset AND d."index" = p."index")),
+refill AS (SELECT * FROM (
+    SELECT p.*, n.need, row_number() OVER (PARTITION BY p.grp
+        ORDER BY md5('42:' || p.dataset || ':' || CAST(p."index" AS VARCHAR))) AS rn
+    FROM pool2 p JOIN need n USING (grp)) WHERE rn <= need)
+SELECT "index", dataset, grp, false AS refilled FROM dl JOIN gf USING (grp) WHERE length <= upper
+UNION ALL SELECT "index", dataset, grp, true FROM refill""")
 def q_outlier_refill(spark, sf):
     """M5: per-group fence on the draw, refill from the group's unused in-bound rows."""
     d = with_total_length(drawn(spark, sf))
