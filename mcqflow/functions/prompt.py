@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +110,6 @@ def token_length_udf(tokenize: Callable[[str], list]):
     """P21 with a user-supplied tokenizer: an Arrow-batched pandas UDF that
     returns len(tokenize(prompt)).  The tokenizer object is created once per
     worker process by the callable's closure."""
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("bigint")
