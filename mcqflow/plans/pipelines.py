@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mcqflow.functions.text import total_length
 from mcqflow.operators.clean import classify, reject_counts
 from mcqflow.operators.dedup import duplicate_stats, fingerprint_dedupe
+from mcqflow.operators.index import join_small
 from mcqflow.operators.reasoning import validation_stats
 from mcqflow.operators.sample import outlier_flag, ratio_mix, split_flags
 from mcqflow.session import materialize
@@ -42,16 +43,37 @@ def mix(pool: DataFrame, groups: DataFrame, cfg: MixConfig) -> dict[str, DataFra
     """Fingerprint de-dup -> ratio draw -> length fence -> shuffle -> split.
 
     ``pool``: valid rows with grp, grp_ord, dataset_ord, dataset, index.
-    Returns the final rows with split flags and the stage reports.
+    Only narrow key rows (keys, group, fingerprint, length) travel through
+    de-dup, draw, fence and split; those are the tables written in between.
+    The text columns are joined back once at the end, against the final mix,
+    which is at most ``cfg.total`` rows (a proven bound for its broadcast).
     """
-    flagged = materialize(fingerprint_dedupe(pool, list(cfg.group_order)), "fingerprinted")
+    keys = list(cfg.keys)
+    narrow = pool.select(*keys, "grp", *[c for c in cfg.group_order if c not in keys],
+                         "text", "question", "options")
+    narrow = narrow.withColumn("length", total_length())
+    flagged = fingerprint_dedupe(narrow, list(cfg.group_order)).drop("text", "question", "options")
+    flagged = materialize(flagged, "fingerprinted")
     drawn = materialize(ratio_mix(flagged.where("is_first"), groups, cfg.total, cfg.keys, cfg.seed), "drawn")
-    drawn = drawn.withColumn("length", total_length())
-    flagged_len = outlier_flag(drawn)
-    kept = materialize(flagged_len.where(~F.col("is_outlier")).drop("is_outlier"), "kept")
-    final = split_flags(kept, cfg.keys, cfg.seed, cfg.ratios)
+    fenced = outlier_flag(drawn)
+    kept = materialize(fenced.where(~F.col("is_outlier")).drop("is_outlier"), "kept")
+    final_keys = split_flags(kept, cfg.keys, cfg.seed, cfg.ratios).select(
+        *keys, "rn", "is_eval", "is_full", "is_peft", "split", "length")
+    bound = cfg.total if isinstance(cfg.total, int) else None
+    full_rows = pool.drop("grp_ord", "dataset_ord")
+    final = join_small(full_rows, final_keys, keys, bound=bound)
     return {"flagged": flagged, "duplicate_stats": duplicate_stats(flagged), "drawn": drawn,
-            "outliers": flagged_len.where("is_outlier"), "final": final}
+            "outliers": fenced.where("is_outlier"), "final": final}
+
+
+def split_outputs(final: DataFrame) -> dict[str, DataFrame]:
+    """K2 inputs: full_train / peft_train / eval with ``pos`` = position in
+    that output (shuffled order).  full and peft are prefixes of the shuffle;
+    eval is its tail."""
+    n_eval_start = final.agg(F.min(F.when(F.col("is_eval"), F.col("rn"))).alias("s")).select("s").scalar()
+    return {"full_train": final.where("is_full").withColumn("pos", F.col("rn") - 1),
+            "peft_train": final.where("is_peft").withColumn("pos", F.col("rn") - 1),
+            "eval": final.where("is_eval").withColumn("pos", F.col("rn") - n_eval_start)}
 
 
 def reasoning_check(df: DataFrame, **limits) -> DataFrame:

@@ -33,3 +33,35 @@ def q_pipeline_mix(spark, sf):
     cfg = MixConfig(total=mix_total(spark, sf))
     out = mix(pool(spark, sf), group_config(spark), cfg)
     return out["final"].select("index", "dataset", "grp", "rn", "is_eval", "is_full", "is_peft")
+
+
+@register("mix_outputs", with_ctes(MCQ, POOL, DRAWN) + """,
+dl AS (SELECT *, CAST(""" + LEN + """ AS BIGINT) AS length FROM drawn),
+f AS (SELECT q[2] + 1.5 * (q[2] - q[1]) AS upper FROM (SELECT quantile_cont(length, [0.25, 0.75]) AS q FROM dl)),
+kept AS (SELECT * FROM dl WHERE length <= (SELECT upper FROM f)),
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || dataset || ':' || CAST("index" AS VARCHAR))) AS rn,
+    count(*) OVER () AS n FROM kept),
+fl AS (SELECT *, rn > n - floor(n * 0.1::DOUBLE) AS is_eval FROM ranked),
+sp AS (SELECT *, NOT is_eval AND rn <= floor(n * 0.9::DOUBLE) AS is_full,
+    NOT is_eval AND rn <= floor(n * 0.45::DOUBLE) AS is_peft FROM fl)
+SELECT 'full_train' AS output, rn - 1 AS "index", text, source FROM sp WHERE is_full
+UNION ALL SELECT 'peft_train', rn - 1, text, source FROM sp WHERE is_peft
+UNION ALL SELECT 'eval', rn - (SELECT min(rn) FROM sp WHERE is_eval), text, source FROM sp WHERE is_eval""")
+def q_mix_outputs(spark, sf):
+    """E2 + K2: the three outputs written as JSON lines with ``index``
+    renumbered per output, read back."""
+    from mcqflow.plans.pipelines import split_outputs
+    from mcqflow.session import scratch_path
+    from mcqflow.sources.sinks import save_mixed
+    out = mix(pool(spark, sf), group_config(spark), MixConfig(total=mix_total(spark, sf)))
+    base = scratch_path(spark, "mixed")
+    frames = []
+    for name, df in split_outputs(out["final"]).items():
+        save_mixed(df, f"{base}/{name}")
+        frames.append(spark.read.schema("index bigint, text string, question string, options array<string>, "
+                                        "label bigint, source string").json(f"{base}/{name}")
+                      .select(F.lit(name).alias("output"), "index", "text", "source"))
+    r = frames[0]
+    for f in frames[1:]:
+        r = r.unionByName(f)
+    return r
