@@ -42,14 +42,14 @@ P_ANALYSIS = (f"CASE WHEN {STRIP('text')} <> '' THEN {STRIP('text')} || {NL} ||
 SYSTEM_PROMPT = "Answer the single-choice question. End with 'The answer is: (X)'."
 MODEL = "reasoning-model"
 
-LENGTHS = ("lengths AS (SELECT source AS dataset, CAST(length(" + P_LENGTH + ") AS BIGINT) AS length FROM valid)")
+LENGTHS = ("lengths AS (SELECT coalesce(source, 'unknown') AS dataset, CAST(length(" + P_LENGTH + ") AS BIGINT) AS length FROM valid)")
 LBASE = (MCQ, CLASSIFIED, VALID, LENGTHS)
 
 
 def lengths(spark, sf, measure=char_length):
     """(dataset, length) of the rendered length-analysis prompt."""
     v = valid(spark, sf)
-    return materialize(v.select(F.col("source").alias("dataset"),
+    return materialize(v.select(F.coalesce("source", F.lit("unknown")).alias("dataset"),
                                 measure(prompt_length_style()).alias("length")), "lengths")
 
 

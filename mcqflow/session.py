@@ -32,7 +32,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     checkpoint_dir(spark)
     return spark
 
@@ -45,14 +48,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and set.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
+    if not d:  # unset: tests and local runs only
         d = tempfile.mkdtemp(prefix="mcqflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return (sc.getCheckpointDir() if sc is not None else None) or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

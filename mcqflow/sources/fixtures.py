@@ -31,9 +31,12 @@ def spread(df: DataFrame) -> DataFrame:
     than the session has cores (e.g. one Parquet row group); at scale the
     input has far more splits than cores and this is a no-op.  Column pruning
     and filters still reach the scan below the repartition."""
-    sc = df.sparkSession.sparkContext
-    n = df.rdd.getNumPartitions()
-    return df.repartition(sc.defaultParallelism) if n < sc.defaultParallelism else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if n < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
