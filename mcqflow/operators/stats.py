@@ -200,3 +200,18 @@ def shuffle_uniformity(df: DataFrame, source: str = "source") -> DataFrame:
     return c.agg(F.round(F.stddev_samp("n"), 6).alias("std"), F.round(F.avg("n"), 6).alias("mean"),
                  F.round(F.stddev_samp("n") / F.avg("n"), 6).alias("cv"),
                  (F.stddev_samp("n") / F.avg("n") < 0.5).alias("good"))
+
+
+def value_counts(df: DataFrame, key: str) -> DataFrame:
+    """Counts in frequency-descending order as an explicit ``rank``
+    (ties by key).  The window runs over the aggregated table only (one row
+    per distinct key)."""
+    c = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return c.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(key))).cast("bigint"))
+
+
+def order_by_median(lengths: DataFrame, col: str = "length", by: str = "dataset") -> DataFrame:
+    """O3: datasets ranked by median length (ties by name)."""
+    m = length_percentiles(lengths, col, [0.5], [by]).select(by, F.col("q")[0].alias("median"))
+    return m.select(by, F.round("median", 6).alias("median"),
+                    F.row_number().over(Window.orderBy("median", by)).cast("bigint").alias("rank"))

@@ -124,3 +124,13 @@ FROM full_set GROUP BY source""")
 def q_source_share(spark, sf):
     """Source share of the output."""
     return share(full_set(spark, sf), "source")
+
+
+@register("balanced_output", with_ctes(MCQ, CLASSIFIED, VALID, BAL) + """
+SELECT "index", label, options FROM balanced""")
+def q_balanced_output(spark, sf):
+    """K3: the balanced set written as balanced_<name> JSON lines and read back."""
+    from mcqflow.session import scratch_path
+    from mcqflow.sources.sinks import save_balanced
+    p = save_balanced(balance_labels(valid(spark, sf)), scratch_path(spark, "balanced"), "documents")
+    return spark.read.schema("index bigint, label bigint, options array<string>").json(p)

@@ -93,3 +93,22 @@ def q_sink_rejects(spark, sf):
     save_rejects(classified(spark, sf), p)
     back = spark.read.json(p)
     return back.groupBy("dataset", "reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("clean_annotation_counts", with_ctes(MCQ, CLASSIFIED) + """
+SELECT dataset, count(*) FILTER (WHERE note IS NOT NULL AND reason IS NULL) AS deduped_kept,
+  count(*) FILTER (WHERE reason IS NULL) AS kept, count(*) FILTER (WHERE reason IS NOT NULL) AS invalid
+FROM classified GROUP BY dataset""")
+def q_clean_annotation_counts(spark, sf):
+    """A2: kept rows, merged-and-kept rows (annotation), invalid rows."""
+    from mcqflow.operators.clean import annotation_counts
+    return annotation_counts(classified(spark, sf), ["dataset"])
+
+
+@register("source_value_counts", with_ctes(MCQ, CLASSIFIED, VALID) + """
+SELECT source, n, CAST(row_number() OVER (ORDER BY n DESC, source) AS BIGINT) AS rank
+FROM (SELECT source, count(*) AS n FROM valid GROUP BY source)""")
+def q_source_value_counts(spark, sf):
+    """Frequency-descending source counts with an explicit rank."""
+    from mcqflow.operators.stats import value_counts
+    return value_counts(valid(spark, sf), "source")

@@ -205,3 +205,12 @@ def q_nested_composition(spark, sf):
     """Non-zero (dataset, length bucket) counts."""
     ln = lengths(spark, sf)
     return counts(ln.withColumn("bucket", length_bucket(F.col("length"))), "dataset", "bucket")
+
+
+@register("dataset_order", with_ctes(*LBASE) + """
+SELECT dataset, round(median, 6) AS median, CAST(row_number() OVER (ORDER BY median, dataset) AS BIGINT) AS rank
+FROM (SELECT dataset, quantile_cont(length, 0.5) AS median FROM lengths GROUP BY dataset)""")
+def q_dataset_order(spark, sf):
+    """O3: datasets ordered by median prompt length (stacked-histogram order)."""
+    from mcqflow.operators.stats import order_by_median
+    return order_by_median(lengths(spark, sf))

@@ -41,3 +41,10 @@ def save_by_status(df: DataFrame, path: str, status: str = "status") -> None:
 def save_report(df: DataFrame, path: str, fmt: str = "json") -> None:
     """K6: a report table (small) as JSON or Parquet."""
     df.write.mode("overwrite").format(fmt).save(path)
+
+
+def save_balanced(df: DataFrame, directory: str, name: str) -> str:
+    """K3: the balanced set as JSON lines under ``balanced_<name>``."""
+    path = f"{directory.rstrip('/')}/balanced_{name}"
+    df.select(*[c for c in MCQ_COLUMNS if c in df.columns]).write.mode("overwrite").json(path)
+    return path
