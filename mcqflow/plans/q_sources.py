@@ -19,6 +19,7 @@ from mcqflow.sources.native import (read_arc, read_balacopa, read_boolean, read_
                                     read_reclor, read_winogrande)
 
 OUT = ["doc_id", "text", "question", "options", "label"]
+ROWS_PER_ARRAY = 50_000
 MCQ_OUT = 'SELECT "index" AS doc_id, text, question, options, label FROM mcq'
 
 
@@ -69,11 +70,16 @@ def q_source_reclor(spark, sf):
     """ReClor JSON arrays (one array per file)."""
     p = scratch_path(spark, "reclor")
     m = _mcq(spark, sf)
-    j = m.select(F.to_json(F.struct("doc_id", F.col("text").alias("context"), "question",
-                                    F.col("options").alias("answers"), "label")).alias("j"))
-    # one JSON array per output partition (bounded by the partition size)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    arr = (j.repartition(n).select(F.spark_partition_id().alias("part"), "j").groupBy("part")
+    # one JSON array per file, at most ~ROWS_PER_ARRAY rows each: the number
+    # of files grows with the row count (a scalar subquery), so no group is
+    # larger than a file
+    n_files = F.greatest(F.lit(1), F.ceil(m.agg(F.count(F.lit(1)).alias("c")).select("c").scalar()
+                                          / ROWS_PER_ARRAY)).cast("bigint")
+    part = F.pmod(F.xxhash64("doc_id"), n_files)
+    arr = (m.select(part.alias("part"), F.to_json(F.struct(
+                "doc_id", F.col("text").alias("context"), "question", F.col("options").alias("answers"),
+                "label")).alias("j"))
+           .groupBy("part")
            .agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ",\n"), F.lit("]")).alias("value")))
     arr.write.partitionBy("part").text(p)  # one array per file
     return read_reclor(spark, p, keep=["doc_id"], extra=", doc_id bigint").select(*OUT)
