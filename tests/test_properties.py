@@ -91,3 +91,23 @@ def test_extraction_on_real_text_matches_python_re(spark):
     d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text", extract_answer("text").alias("x"))
     for row in d.collect():
         assert row.x == _py_extract(row.text)
+
+
+def test_clean_and_fingerprint_are_idempotent(spark):
+    from mcqflow.operators.clean import classify
+    from mcqflow.operators.dedup import fingerprint_dedupe
+    v = valid(spark, SF_SMALL).select("index", "text", "question", "options", "label", "dataset")
+    again = classify(v, ["dataset"])
+    assert again.where("reason is not null").count() == 0
+    once = fingerprint_dedupe(v.withColumn("g", F.lit(0)), ["g", "index"]).where("is_first")
+    twice = fingerprint_dedupe(once.drop("fp", "is_first"), ["g", "index"])
+    assert twice.where("not is_first").count() == 0
+
+
+def test_length_distribution_fallback_when_edges_collide(spark):
+    from mcqflow.operators.stats import length_distribution
+    df = spark.createDataFrame([(v,) for v in [1, 1, 1, 1, 2, 1, 1, 3]], "v int")
+    got = {r.key: r.value for r in length_distribution(df, "v").collect()}
+    vals = sorted([1, 1, 1, 1, 2, 1, 1, 3])
+    assert got == {"min": 1.0, "max": 3.0, "mean": round(sum(vals) / len(vals), 6),
+                   "median": float(vals[len(vals) // 2])}
