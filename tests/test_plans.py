@@ -34,3 +34,16 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>" in p
     d = E.queries()["source_dist"](spark, SF_SMALL)
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in _plan(d)
+
+
+def test_single_partition_exchanges_only_over_aggregates(spark):
+    """Every Exchange SinglePartition must sit on an aggregate (or on a table
+    of one row per group), never on row-level data."""
+    q = E.queries()
+    for name in ("split_flags", "pipeline_mix", "mix_ratio_sample", "stratified_sample", "source_trend_sliding",
+                 "length_fence", "batch_ids", "validation_stats"):
+        lines = _plan(q[name](spark, SF_SMALL)).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                assert "Aggregate" in lines[i + 1], (name, lines[i + 1])
+        assert "CartesianProduct" not in "\n".join(lines) and "BroadcastNestedLoopJoin" not in "\n".join(lines)
