@@ -92,6 +92,13 @@ def chat_transcript(turns: DataFrame, conv="conv_id", turn="turn", role="role",
     return g.select(conv, out.alias("transcript"))
 
 
+def render_messages(msgs: Column, add_generation_prompt: bool = True) -> Column:
+    """P12 on one row's message list (array<struct<role, content>>)."""
+    out = F.array_join(F.transform(msgs, lambda m: F.concat(
+        F.lit(IM_START), m["role"], F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(IM_END + "\n"))), "")
+    return F.concat(out, F.lit(IM_START + "assistant\n")) if add_generation_prompt else out
+
+
 # Built-in length measures for prompt-length analysis.  A real BPE tokenizer
 # is pluggable through ``token_length_udf``.
 TOKEN_PATTERN = r"\w+|[^\w\s]"

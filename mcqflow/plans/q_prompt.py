@@ -214,3 +214,14 @@ def q_dataset_order(spark, sf):
     """O3: datasets ordered by median prompt length (stacked-histogram order)."""
     from mcqflow.operators.stats import order_by_median
     return order_by_median(lengths(spark, sf))
+
+
+@register("chat_template_request", with_ctes(MCQ, CLASSIFIED, VALID) + f"""
+SELECT "index", '<|im_start|>system' || chr(10) || '{SYSTEM_PROMPT.replace("'", "''")}' || '<|im_end|>' || chr(10) ||
+  '<|im_start|>user' || chr(10) || {P_STEPS} || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)
+  AS rendered FROM valid""")
+def q_chat_template_request(spark, sf):
+    """P11 + P12: each row's system + user messages rendered with the chat template."""
+    from mcqflow.functions.prompt import messages, render_messages
+    return valid(spark, sf).select("index", render_messages(messages(SYSTEM_PROMPT, prompt_steps_style()))
+                                   .alias("rendered"))
