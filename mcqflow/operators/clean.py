@@ -104,20 +104,25 @@ def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",),
                      .otherwise(label)))
 
     # Step 8: the first row (by ``order``) of each key among rows valid so far
-    # wins; later ones are duplicate_sample.  min() per key is a partial
-    # aggregation, so a hot key never lands whole in one task.
+    # wins; later ones are duplicate_sample.  Only narrow (key, position)
+    # rows are shuffled: min() per key is a partial aggregation (a hot key
+    # is combined map-side), the duplicate positions come from a narrow join
+    # (AQE splits a hot key there), and that position set is joined back --
+    # broadcast by AQE when small, the usual case.  ``order`` must be unique
+    # within a dataset (it is the row position).
     x = x.withColumn("_key", F.when(F.col("reason").isNull(),
                                     _dup_key(F.col("_text_s"), F.col("_question_s"), F.col("options"))))
-    # Both sides of the join back read one spillable cached copy, so the text
-    # expressions run once (a lost block is recomputed from lineage).
+    # Both uses read one spillable cached copy, so the text expressions run
+    # once (a lost block is recomputed from lineage).
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    first = (x.where(F.col("_key").isNotNull())
-             .groupBy(*ds, "_key").agg(F.min(order).alias("_first")))
-    x = x.join(first, ds + ["_key"], "left")
-    x = x.withColumn("reason", F.when(F.col("reason").isNull() & (F.col(order) != F.col("_first")),
-                                      F.lit("duplicate_sample")).otherwise(F.col("reason")))
+    nk = x.where(F.col("_key").isNotNull()).select(*ds, "_key", F.col(order).alias("_pos"))
+    first = nk.groupBy(*ds, "_key").agg(F.min("_pos").alias("_first"))
+    dups = (nk.join(first, ds + ["_key"]).where(F.col("_pos") != F.col("_first"))
+            .select(*ds, F.col("_pos").alias(order), F.lit(True).alias("_dup")))
+    x = x.join(dups, ds + [order], "left")
+    x = x.withColumn("reason", F.when(F.col("_dup"), F.lit("duplicate_sample")).otherwise(F.col("reason")))
     return x.drop("_opts_s", "_lows", "_n_uniq", "_has_dup", "_uniq", "_text_s",
-                  "_question_s", "_key", "_first")
+                  "_question_s", "_key", "_dup")
 
 
 def reject_counts(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -22,16 +22,23 @@ def fingerprint(text="text", question="question", options="options") -> Column:
 
 
 def first_wins(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_first") -> DataFrame:
-    """Flags the first row of each key by ``order`` (lexicographic).
+    """Flags the first row of each key by ``order`` (lexicographic; ``order``
+    must identify a row).
 
-    min(struct(order)) per key is a partial aggregation; the join back on the
-    key lets AQE split a hot key's partition.  No window over a whole key.
+    Only narrow (key, order) rows are shuffled: min(struct(order)) per key is
+    a partial aggregation (a hot key is combined map-side); the later rows'
+    ``order`` values come from a narrow join (AQE splits a hot key there) and
+    are joined back -- broadcast by AQE when small.  No window over a key.
     """
-    ordv = F.struct(*[F.col(c) for c in order])
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # both join sides read one copy
-    firsts = df.groupBy(key).agg(F.min(ordv).alias("_first"))
-    return (df.join(firsts, key, "left")
-            .withColumn(flag, ordv == F.col("_first")).drop("_first"))
+    cols = list(order)
+    ordv = F.struct(*[F.col(c) for c in cols])
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # both uses read one copy
+    nk = df.select(key, *cols)
+    firsts = nk.groupBy(key).agg(F.min(ordv).alias("_first"))
+    later = (nk.join(firsts, key).where(ordv != F.col("_first"))
+             .select(*cols, F.lit(True).alias("_later")))
+    return (df.join(later, cols, "left")
+            .withColumn(flag, F.col("_later").isNull()).drop("_later"))
 
 
 def fingerprint_dedupe(df: DataFrame, order: Sequence[str] = ("grp_ord", "dataset_ord", "index")) -> DataFrame:
