@@ -77,3 +77,13 @@ def test_failfast_and_tagged(spark, tmp_path):
     _lines(tmp_path / "bad" / "x.jsonl", ["{oops"])
     with pytest.raises(Exception):
         read_mcq_jsonl(spark, str(tmp_path / "bad")).collect()
+
+
+def test_read_by_suffix(spark, tmp_path):
+    from mcqflow.sources.native import read_by_suffix
+    row = {"text": "t", "question": "q", "options": ["a", "b"], "label": 1, "source": "s"}
+    _lines(tmp_path / "d.jsonl", [row])
+    pd.DataFrame([row]).to_parquet(tmp_path / "d.parquet")
+    a = read_by_suffix(spark, str(tmp_path / "d.jsonl")).collect()[0]
+    b = read_by_suffix(spark, str(tmp_path / "d.parquet")).collect()[0]
+    assert a.label == b.label == 1 and list(a.options) == list(b.options) == ["a", "b"]
