@@ -225,3 +225,23 @@ def q_chat_template_request(spark, sf):
     from mcqflow.functions.prompt import messages, render_messages
     return valid(spark, sf).select("index", render_messages(messages(SYSTEM_PROMPT, prompt_steps_style()))
                                    .alias("rendered"))
+
+
+@register("kde_grid", with_ctes(*LBASE) + """,
+kx AS (SELECT dataset, length FROM lengths WHERE length <= (SELECT quantile_cont(length, 0.95) FROM lengths)),
+st AS (SELECT dataset, count(*) AS n, stddev_samp(length) AS sd, min(length)::DOUBLE AS mn, max(length)::DOUBLE AS mx
+       FROM kx GROUP BY dataset HAVING count(*) >= 2 AND stddev_samp(length) > 0),
+p AS (SELECT *, sd * pow(n, -0.2) AS h FROM st),
+p2 AS (SELECT *, mn - 3.0 * h AS lo, mx + 3.0 * h AS hi, ((mx + 3.0 * h) - (mn - 3.0 * h)) / 199 AS step FROM p),
+hist AS (SELECT dataset, length::DOUBLE AS v, count(*) AS c FROM kx GROUP BY 1, 2),
+grid AS (SELECT p2.*, g.gi, CASE WHEN g.gi = 199 THEN hi ELSE lo + g.gi * step END AS xg
+         FROM p2, (SELECT unnest(range(0, 200)) AS gi) g)
+SELECT grid.dataset, CAST(gi AS BIGINT) AS gi, round(xg, 6) AS x,
+  round(sum(c * exp(-0.5 * pow((xg - v) / h, 2))) / (n * h * sqrt(2 * pi())) * 1e6, 6) AS density_e6
+FROM grid JOIN hist USING (dataset) GROUP BY grid.dataset, gi, xg, n, h""")
+def q_kde_grid(spark, sf):
+    """Density curve per dataset for lengths <= the overall p95."""
+    from mcqflow.operators.stats import kde_grid
+    ln = lengths(spark, sf)
+    p95 = length_percentiles(ln, "length", [0.95]).select(F.col("q")[0]).scalar()
+    return kde_grid(ln, upper=p95)

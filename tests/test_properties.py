@@ -111,3 +111,20 @@ def test_length_distribution_fallback_when_edges_collide(spark):
     vals = sorted([1, 1, 1, 1, 2, 1, 1, 3])
     assert got == {"min": 1.0, "max": 3.0, "mean": round(sum(vals) / len(vals), 6),
                    "median": float(vals[len(vals) // 2])}
+
+
+def test_kde_matches_numpy_brute_force(spark):
+    import math
+
+    import numpy as np
+
+    from mcqflow.operators.stats import kde_grid
+    vals = [3, 5, 5, 8, 13, 21, 21, 21, 34]
+    df = spark.createDataFrame([("d", v) for v in vals], "dataset string, length bigint")
+    got = sorted((r.gi, r.density_e6) for r in kde_grid(df).collect())
+    x = np.array(vals, dtype=float)
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min() - 3 * h, x.max() + 3 * h, 200)
+    dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * math.sqrt(2 * math.pi))
+    assert len(got) == 200
+    assert all(abs(d - dens[i] * 1e6) < 1e-3 for i, d in got)
