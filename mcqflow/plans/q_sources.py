@@ -131,13 +131,14 @@ def _loader_lines(spark, sf):
     """Adapter rows as JSON lines; doc_id % 97 = 0 lines are not JSON,
     doc_id % 89 = 0 lines carry the label as a string."""
     m = _mcq(spark, sf)
-    good = F.to_json(F.struct("text", "question", "options", "label", "source"))
-    str_label = F.to_json(F.struct("text", "question", "options", F.col("label").cast("string").alias("label"),
-                                   "source"))
+    good = F.to_json(F.struct("doc_id", "text", "question", "options", "label", "source"))
+    str_label = F.to_json(F.struct("doc_id", "text", "question", "options",
+                                   F.col("label").cast("string").alias("label"), "source"))
     line = (F.when(F.col("doc_id") % 97 == 0, F.concat(F.lit("not json "), F.col("doc_id").cast("string")))
             .when(F.col("doc_id") % 89 == 0, str_label).otherwise(good))
     p = scratch_path(spark, "loader")
-    m.select(line.alias("value")).write.text(p)
+    # each file's lines in doc_id order, so line numbers can be checked
+    m.select("doc_id", line.alias("value")).sortWithinPartitions("doc_id").select("value").write.text(p)
     return load_validated(spark, p, "documents")
 
 
@@ -164,8 +165,17 @@ def q_loader_report(spark, sf):
     return loader_report(_loader_lines(spark, sf))
 
 
-@register("loader_line_numbers")
+@register("loader_line_numbers", with_ctes(MCQ) + f"""
+SELECT "index" AS doc_id, {LOADER_REASON} AS reason, true AS line_ok FROM mcq WHERE {LOADER_REASON} <> 'VALID'""")
 def q_loader_line_numbers(spark, sf):
-    """Rejected lines with their 1-based line number in their file."""
+    """Rejected lines with their 1-based line number; ``line_ok`` checks it
+    against the line's rank by doc_id within its file (files are written in
+    doc_id order), computed by an independent bucketed rank."""
+    from mcqflow.operators.index import int_bucket, ranked
     v = _loader_lines(spark, sf)
-    return v.where(F.col("reason").isNotNull()).select("file", "line_number", "reason", "raw")
+    doc = F.coalesce(F.get_json_object("raw", "$.doc_id"),
+                     F.regexp_extract("raw", r"^not json (\d+)$", 1)).cast("bigint")
+    v = v.withColumn("doc_id", doc)
+    r = ranked(v, ["doc_id"], int_bucket(F.col("doc_id")), ["file"], "_expect", max_keys=None, n_buckets=None)
+    return (r.where(F.col("reason").isNotNull())
+            .select("doc_id", "reason", (F.col("line_number") == F.col("_expect")).alias("line_ok")))

@@ -18,7 +18,7 @@ NAMES = ["clean_reject_counts", "option_dedupe_remap", "mix_validate", "dataset_
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(Q) - set(O)
-    assert rows_only <= {"loader_line_numbers"}
+    assert rows_only == set()
     assert set(O) <= set(Q)
 
 
