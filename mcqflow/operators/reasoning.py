@@ -103,10 +103,12 @@ def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame],
     pending = df
     done = None
     for attempt in range(1, max_attempts + 1):
-        got = materialize(call_model(pending, fn, attempt, concurrency=concurrency), f"attempt{attempt}")
+        got = call_model(pending, fn, attempt, concurrency=concurrency)
         if chat_body:  # P24: the message text of a chat-completions body
             got = got.withColumn("response", response_content(F.col("response")))
         got = got.withColumn("attempts", F.lit(attempt)).withColumn("accepted", judge(got))
+        # written with its verdict: the checks run once, next to the call
+        got = materialize(got, f"attempt{attempt}")
         ok = got.where("accepted")
         done = ok if done is None else done.unionByName(ok)
         pending_next = got.where(~F.col("accepted"))

@@ -18,7 +18,6 @@ from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, VALID, with_ctes
 from mcqflow.plans.q_clean import valid
 from mcqflow.plans.q_prompt import P_ANALYSIS, P_JSON, P_STEPS
 from mcqflow.plans.registry import register
-from mcqflow.session import materialize
 
 SYSTEM = "Solve the single-choice question step by step."
 
@@ -79,7 +78,8 @@ GEN_ROWS = """SELECT "index", CASE WHEN ok_at IS NULL THEN 'failed' ELSE 'ok' EN
 
 
 def _gen(spark, sf):
-    return materialize(generate_reasoning(valid(spark, sf), stub_text_model, SYSTEM), "generated")
+    # a union of the per-attempt tables already written by the operator
+    return generate_reasoning(valid(spark, sf), stub_text_model, SYSTEM)
 
 
 @register("generate_reasoning", with_ctes(MCQ, CLASSIFIED, VALID, GEN) + GEN_ROWS)
@@ -131,3 +131,15 @@ def q_retry_selection(spark, sf):
     """Failed rows of a generation run, ready as the next run's input."""
     return _gen(spark, sf).where(F.col("status") == "failed").select(
         "index", "text", "question", "options", "label", "source")
+
+
+@register("generation_outputs", with_ctes(MCQ, CLASSIFIED, VALID, GEN) + """
+SELECT CASE WHEN ok_at IS NULL THEN 'failed' ELSE 'ok' END AS status, count(*) AS n FROM gen3 GROUP BY 1""")
+def q_generation_outputs(spark, sf):
+    """K5: successes and failures written apart (one folder per status, the
+    row index kept in both), read back and counted."""
+    from mcqflow.session import scratch_path
+    from mcqflow.sources.sinks import save_by_status
+    p = scratch_path(spark, "generated_out")
+    save_by_status(_gen(spark, sf).select("index", "status", "attempts", "failure_reason", "reasoning"), p)
+    return spark.read.json(p).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
