@@ -73,12 +73,3 @@ def ranked(df: DataFrame, order: Sequence[str], bucket: Column,
     w = Window.partitionBy(*part, "_bk").orderBy(*order)
     return (joined.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("bigint"))
             .drop("_bk", "_off"))
-
-
-def group_sizes(df: DataFrame, partition: Sequence[str], name: str = "_size") -> DataFrame:
-    """Adds the size of each partition group (partial aggregation + small join;
-    a scalar subquery when there is no partition)."""
-    if not partition:
-        return df.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
-    sizes = df.groupBy(*partition).agg(F.count(F.lit(1)).alias(name))
-    return join_small(df, sizes, list(partition), bound=None)

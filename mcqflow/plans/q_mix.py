@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mcqflow.functions.text import blank_to_empty, norm
 from mcqflow.operators.clean import classify
 from mcqflow.operators.dedup import (duplicate_stats, fingerprint_dedupe, fingerprint_groups,
                                      incremental_dedupe, unique_fingerprints)
@@ -13,8 +12,8 @@ from mcqflow.operators.sample import (fence_stats, group_targets, outlier_filter
                                       outlier_refill, outlier_rows, ratio_mix, split_flags,
                                       stratified_sample, with_shuffle_rank, with_total_length)
 from mcqflow.operators.stats import length_distribution
-from mcqflow.plans.oracle_sql import (CLASSIFIED, GROUPS, LOWER_STRIP, MCQ, STRIP, TWINS,
-                                      VALID, classified_cte, with_ctes)
+from mcqflow.plans.oracle_sql import (CLASSIFIED, GROUPS, LOWER_STRIP, MCQ, TWINS, VALID,
+                                      classified_cte, with_ctes)
 from mcqflow.plans.q_clean import valid
 from mcqflow.plans.registry import register
 from mcqflow.session import materialize

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mcqflow.plans.oracle_sql import CLASSIFIED, GROUPS, MCQ, with_ctes
+from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, with_ctes
 from mcqflow.plans.pipelines import MixConfig, clean, mix
 from mcqflow.plans.q_mix import DRAWN, LEN, POOL, mix_total, pool
 from mcqflow.plans.registry import register

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mcqflow.functions.text import letter_label
+
 # Question texts the WinoGrande and BalaCOPA converters add.
 WINOGRANDE_QUESTION = "Which of the following options is the most appropriate one to fill in the blank?"
 BALACOPA_QUESTION = "Which may be the {}?"
@@ -20,8 +22,7 @@ BOOLEAN_OPTIONS = ["True", "False"]
 
 def letter_to_label(c: Column) -> Column:
     """'B' -> 1 (upper-cased); NULL unless exactly one character."""
-    u = F.upper(c.cast("string"))
-    return F.when(F.length(u) == 1, F.ascii(u) - 65).cast("bigint")
+    return letter_label(c.cast("string"))
 
 
 def coerce_options(cell: Column) -> Column:
