@@ -78,3 +78,9 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def release_cached(spark) -> None:
+    """Drop cached intermediates (de-dup inputs are persisted with
+    MEMORY_AND_DISK) once a pipeline's outputs are written."""
+    spark.catalog.clearCache()

@@ -128,3 +128,19 @@ def test_kde_matches_numpy_brute_force(spark):
     dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * math.sqrt(2 * math.pi))
     assert len(got) == 200
     assert all(abs(d - dens[i] * 1e6) < 1e-3 for i, d in got)
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holding a third of all rows: exactly one first row, and exact
+    ranks inside the hot group."""
+    from mcqflow.operators.dedup import first_wins
+    df = spark.range(0, 3000).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")))
+    f = first_wins(df, "k", ["id"])
+    hot = f.where("k = -1")
+    assert hot.where("is_first").collect()[0].id == 0
+    assert hot.where("not is_first").count() == 999
+    assert f.where("k <> -1 and not is_first").count() == 0
+    g = df.withColumn("grp", F.when(F.col("k") == -1, "hot").otherwise("cold"))
+    r = ranked(g, ["id"], int_bucket(F.col("id"), 128), ["grp"], "rn", max_keys=2, n_buckets=None)
+    hot_ranks = [row.rn for row in r.where("grp = 'hot'").orderBy("id").collect()]
+    assert hot_ranks == list(range(1, 1001))
