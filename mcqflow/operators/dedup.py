@@ -47,12 +47,19 @@ def fingerprint_dedupe(df: DataFrame, order: Sequence[str] = ("grp_ord", "datase
     return first_wins(df.withColumn("fp", fingerprint()), "fp", list(order))
 
 
-def duplicate_stats(flagged: DataFrame, by: str = "grp") -> DataFrame:
-    """D3: per group, rows read, duplicates removed, rows available."""
-    return (flagged.groupBy(by).agg(
+def duplicate_stats(flagged: DataFrame, by: str = "grp", raw: DataFrame | None = None) -> DataFrame:
+    """D3: per group, valid rows read, duplicates removed, rows available;
+    with ``raw`` (the rows before validation) also ``raw_count``."""
+    out = flagged.groupBy(by).agg(
         F.count(F.lit(1)).alias("original_count"),
         F.count_if(~F.col("is_first")).alias("duplicate_count"),
-        F.count_if(F.col("is_first")).alias("available_count")))
+        F.count_if(F.col("is_first")).alias("available_count"))
+    if raw is not None:
+        r = raw.groupBy(by).agg(F.count(F.lit(1)).alias("raw_count"))
+        out = r.join(out, by, "left").select(
+            by, "raw_count", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+                              for c in ("original_count", "duplicate_count", "available_count")])
+    return out
 
 
 def fingerprint_groups(flagged: DataFrame) -> DataFrame:

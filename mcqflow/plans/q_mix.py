@@ -160,11 +160,17 @@ def q_fingerprint_dedupe(spark, sf):
     return deduped_pool(spark, sf).select("index", "dataset", "grp", "is_first")
 
 
-@register("duplicate_stats", with_ctes(MCQ, POOL) + """
-SELECT grp, count(*) AS original_count, count(*) FILTER (WHERE NOT is_first) AS duplicate_count,
-       count(*) FILTER (WHERE is_first) AS available_count FROM fp GROUP BY grp""")
+@register("duplicate_stats", with_ctes(MCQ, POOL) + """,
+st AS (SELECT grp, count(*) AS original_count, count(*) FILTER (WHERE NOT is_first) AS duplicate_count,
+       count(*) FILTER (WHERE is_first) AS available_count FROM fp GROUP BY grp),
+raw AS (SELECT grp, count(*) AS raw_count FROM twins GROUP BY grp)
+SELECT raw.grp, raw_count, CAST(coalesce(original_count, 0) AS BIGINT) AS original_count,
+  CAST(coalesce(duplicate_count, 0) AS BIGINT) AS duplicate_count,
+  CAST(coalesce(available_count, 0) AS BIGINT) AS available_count
+FROM raw LEFT JOIN st USING (grp)""")
 def q_duplicate_stats(spark, sf):
-    return duplicate_stats(deduped_pool(spark, sf))
+    """D3 (+ Q12 raw_count): per group raw rows, valid rows, duplicates, available."""
+    return duplicate_stats(deduped_pool(spark, sf), raw=with_twins(load_mcq(spark, sf)))
 
 
 @register("fingerprint_groups", with_ctes(MCQ, POOL) + """
