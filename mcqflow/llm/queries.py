@@ -9,17 +9,28 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcqflow.llm import sql
-from mcqflow.llm import substring
+from mcqflow.llm import quality_rules, sharding, sql, substring, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.report(_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op8_substring_dedup)}
 ORACLE = sql.ORACLE

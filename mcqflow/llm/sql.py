@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from mcqflow.llm import quality_rules
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP8 = rf"""
@@ -19,4 +21,38 @@ SELECT x.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) A
 FROM x LEFT JOIN v USING (doc_id)
 """
 
-ORACLE = {"op8_substring_dedup": OP8}
+OP2 = r"""
+WITH c AS (SELECT page_id, nullif(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS host,
+  CAST('2024-01-01' AS DATE) + CAST((page_id * 37) % 366 AS INTEGER) AS fetched_at FROM pages),
+dom AS (SELECT DISTINCT host, CASE WHEN len(string_split(host, '.')) < 2 THEN host ELSE
+  array_to_string(string_split(host, '.')[i:], '.') END AS domain
+  FROM (SELECT host, unnest(range(1, greatest(2, len(string_split(host, '.'))))) AS i FROM (SELECT DISTINCT host FROM c WHERE host IS NOT NULL))),
+x AS (SELECT DISTINCT domain, md5(domain) AS x FROM dom),
+g AS (SELECT domain, ('0x' || x[1])::INT AS d1, ('0x' || x[3])::INT AS d3, ('0x' || x[4])::INT AS d4, ('0x' || x[5])::INT AS d5 FROM x),
+e AS (SELECT domain, CAST('2024-01-01' AS DATE) + 8 * d3 AS listed_at, true AS blocks FROM g WHERE d1 < 8
+  UNION ALL SELECT domain, CAST('2024-01-01' AS DATE) + (8 * d3 + 30 * (d4 + 1)), false FROM g WHERE d1 < 8
+  UNION ALL SELECT domain, CAST('2024-01-01' AS DATE) + 300, true FROM g WHERE d1 < 8 AND d5 >= 8),
+u AS (SELECT domain, listed_at, bool_or(blocks) AS blocks FROM e GROUP BY ALL),
+k AS (SELECT c.page_id, u.domain, u.listed_at, u.blocks,
+  row_number() OVER (PARTITION BY c.page_id ORDER BY length(u.domain) DESC, u.listed_at DESC) AS n
+  FROM c JOIN dom USING (host) JOIN u ON u.domain = dom.domain AND u.listed_at <= c.fetched_at)
+SELECT c.page_id, c.host, CAST(c.fetched_at AS VARCHAR) AS fetched_at, k.domain AS matched,
+       CAST(k.listed_at AS VARCHAR) AS listed_at, coalesce(k.blocks, false) AS blocked
+FROM c LEFT JOIN k ON k.page_id = c.page_id AND k.n = 1
+"""
+
+OP4 = r"""
+WITH tbl AS (SELECT list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v, i FROM range(256) r(i)),
+crc_table AS (SELECT list(v ORDER BY i) AS tab FROM tbl),
+b AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size,
+  list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM documents),
+z AS MATERIALIZED (SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+  lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1]))) AS text_crc32 FROM b, crc_table),
+o AS (SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size) - size AS before, sum(size) OVER () AS total FROM z),
+s AS (SELECT *, CAST(least(7, ((2 * before + size) * 8) // (2 * total)) AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
+ORACLE = {"op2_url_filter": OP2, "op3_quality_rules": quality_rules.oracle_sql(), "op4_sharding": OP4, "op8_substring_dedup": OP8}
