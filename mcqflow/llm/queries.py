@@ -9,7 +9,13 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcqflow.llm import quality_rules, sharding, sql, substring, urlfilter
+from mcqflow.llm import quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,5 +38,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op8_substring_dedup)}
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.report(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.report(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
 ORACLE = sql.ORACLE
