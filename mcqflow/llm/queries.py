@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcqflow.llm import quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
+from mcqflow.llm import quality_mil, quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
 
 
 def vocabulary(name: str) -> str:
@@ -34,6 +34,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(_table(spark, sf_dir, "documents"))
 
@@ -46,5 +50,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.report(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
 ORACLE = sql.ORACLE
