@@ -28,8 +28,10 @@ ITERATIONS = 25
 
 # rule: (bad if, good if), SQL over the statistics, the same for both engines; else it abstains
 RULES = {
-    "length": ("n_words < 20", "n_words >= 60"),
+    "length": ("n_words < 10", "n_words >= 60"),
     "symbols": ("10 * n_symbols > n_words", "100 * n_symbols <= n_words"),
+    "symbol_share": ("20 * n_symbols > word_chars", "200 * n_symbols <= word_chars"),
+    "symbol_ends": ("10 * n_symbol_ends > n_words", "100 * n_symbol_ends <= n_words"),
     "word_length": ("word_chars < 2 * n_words OR word_chars > 14 * n_words", "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
     "lines": ("10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0 AND n_lines >= 3"),
     "windows": ("10 * n_repeat_words > n_words", "n_repeat_words = 0 AND n_words >= 20"),
@@ -38,7 +40,9 @@ RULES = {
     "variety": ("5 * n_distinct < n_words", "10 * n_distinct >= 4 * n_words"),
     "sentences": ("n_stops = 0 AND n_words >= 40", "40 * n_stops >= n_words AND 2 * n_stops <= n_words"),
 }
-START = 0.8  # first guess of every rule's accuracy on either class
+# First guess: nine in ten documents are good; a good document breaks a rule
+# once in a hundred times, a bad one breaks each rule once in five.
+PRIOR, START_GOOD, START_BAD = 0.9, 0.99, 0.2
 LOW, HIGH = 0.02, 0.98  # estimates stay inside, so no single vote decides with certainty
 
 
@@ -76,6 +80,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         long(F.size("__l")).alias("n_lines"), long(F.size(F.array_distinct(w))).alias("n_distinct"),
         long(F.regexp_count("__t", F.lit(r"\p{Lu}"))).alias("n_capitals"),
         long(F.regexp_count("__t", F.lit("!"))).alias("n_marks"),
+        long(F.regexp_count("__t", F.lit(r"[#*$%&|<>][\x20\x09-\x0D]"))).alias("n_symbol_ends"),
         long(F.regexp_count("__t", F.lit(r"[.,;:?]"))).alias("n_stops"))
 
 
@@ -102,7 +107,7 @@ def estimates(stats: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     n = len(RULES)
     patterns = (stats.select(votes().alias("v")).groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("c"))
                 .agg(F.sort_array(F.collect_list(F.struct("v", "c"))).alias("pats")))  # at most 3 ** rules entries
-    start = F.struct(F.lit(START).alias("prior"), F.array(*[F.lit(START)] * n).alias("good"), F.array(*[F.lit(START)] * n).alias("bad"))
+    start = F.struct(F.lit(PRIOR).alias("prior"), F.array(*[F.lit(START_GOOD)] * n).alias("good"), F.array(*[F.lit(START_BAD)] * n).alias("bad"))
     pats = F.col("pats")
 
     def total(qs, weight):
@@ -120,9 +125,9 @@ def estimates(stats: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
                 gp, gn = hit(j, 1, lambda e: e["g"]), hit(j, -1, lambda e: e["g"])
                 bp, bn = hit(j, 1, lambda e: e["c"] - e["g"]), hit(j, -1, lambda e: e["c"] - e["g"])
                 # one pseudo-vote at the first guess keeps rules without votes defined
-                good.append(_bounded((gp + F.lit(START)) / (gp + gn + F.lit(1.0))))
-                bad.append(_bounded((bn + F.lit(START)) / (bp + bn + F.lit(1.0))))
-            return F.struct(_bounded(F.when(both > 0, g / both).otherwise(F.lit(START))).alias("prior"),
+                good.append(_bounded((gp + F.lit(START_GOOD)) / (gp + gn + F.lit(1.0))))
+                bad.append(_bounded((bn + F.lit(START_BAD)) / (bp + bn + F.lit(1.0))))
+            return F.struct(_bounded(F.when(both > 0, g / both).otherwise(F.lit(PRIOR))).alias("prior"),
                             F.array(*good).alias("good"), F.array(*bad).alias("bad"))
         return F.element_at(F.transform(F.array(qs), update), 1)
 
@@ -148,11 +153,11 @@ def oracle_sql() -> str:
         f"CASE v{j} WHEN 1 THEN ln(g{j} / (1 - b{j})) WHEN -1 THEN ln((1 - g{j}) / b{j}) ELSE 0 END" for j in range(len(names))])
     clip = lambda x: f"least({HIGH}, greatest({LOW}, {x}))"
     upd = ", ".join(
-        clip(f"(coalesce(sum(c * q) FILTER (v{j} = 1), 0) + {START}) / (coalesce(sum(c * q) FILTER (v{j} <> 0), 0) + 1)") + f" AS g{j}, "
-        + clip(f"(coalesce(sum(c * (1 - q)) FILTER (v{j} = -1), 0) + {START}) / (coalesce(sum(c * (1 - q)) FILTER (v{j} <> 0), 0) + 1)") + f" AS b{j}"
+        clip(f"(coalesce(sum(c * q) FILTER (v{j} = 1), 0) + {START_GOOD}) / (coalesce(sum(c * q) FILTER (v{j} <> 0), 0) + 1)") + f" AS g{j}, "
+        + clip(f"(coalesce(sum(c * (1 - q)) FILTER (v{j} = -1), 0) + {START_BAD}) / (coalesce(sum(c * (1 - q)) FILTER (v{j} <> 0), 0) + 1)") + f" AS b{j}"
         for j in range(len(names)))
     vs = ", ".join(f"v{j}" for j in range(len(names)))
-    init = ", ".join(f"CAST({START} AS DOUBLE) AS g{j}, CAST({START} AS DOUBLE) AS b{j}" for j in range(len(names)))
+    init = ", ".join(f"CAST({START_GOOD} AS DOUBLE) AS g{j}, CAST({START_BAD} AS DOUBLE) AS b{j}" for j in range(len(names)))
     return rf"""
 WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
@@ -165,11 +170,12 @@ s AS MATERIALIZED (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
   len(l) AS n_lines, len(list_distinct(w)) AS n_distinct,
   length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS n_capitals, length(regexp_replace(text, '[^!]', '', 'g')) AS n_marks,
-  length(regexp_replace(text, '[^.,;:?]', '', 'g')) AS n_stops
+  length(regexp_replace(text, '[^.,;:?]', '', 'g')) AS n_stops,
+  len(regexp_extract_all(text, '[#*$%&|<>][\x20\x09-\x0D]')) AS n_symbol_ends
   FROM w LEFT JOIN rw USING (doc_id)),
 v AS MATERIALIZED (SELECT *, {cols} FROM s),
 p AS MATERIALIZED (SELECT {vs}, CAST(count(*) AS DOUBLE) AS c FROM v GROUP BY ALL),
-em AS (SELECT 0 AS it, CAST({START} AS DOUBLE) AS prior, {init}
+em AS (SELECT 0 AS it, CAST({PRIOR} AS DOUBLE) AS prior, {init}
   UNION ALL
   SELECT it + 1, {clip("sum(c * q) / sum(c)")} AS prior, {upd}
   FROM (SELECT p.*, em.it, 1 / (1 + exp(-({logit}))) AS q FROM p, em WHERE em.it < {ITERATIONS}) GROUP BY it),
