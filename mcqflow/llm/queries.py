@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcqflow.llm import langid, quality_mil, quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
+from mcqflow.llm import decontam, langid, quality_mil, quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
 
 
 def vocabulary(name: str) -> str:
@@ -34,6 +34,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -54,5 +58,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.report(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op6_language_id, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op5_benchmark_decontamination, op6_language_id, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
 ORACLE = sql.ORACLE
