@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcqflow.llm import decontam, langid, quality_mil, quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
+from mcqflow.llm import decontam, jaccard, langid, quality_mil, quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
 
 
 def vocabulary(name: str) -> str:
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.report(_table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -58,5 +62,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.report(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_sharding, op5_benchmark_decontamination, op6_language_id, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filter, op3_quality_rules, op4_sharding, op5_benchmark_decontamination, op6_language_id, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
 ORACLE = sql.ORACLE

@@ -21,6 +21,22 @@ SELECT x.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) A
 FROM x LEFT JOIN v USING (doc_id)
 """
 
+OP1 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[p:p+4], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS sh FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b, sh, x.n AS na, y.n AS nb FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE sh * 1000 >= 800 * (x.n + y.n - sh)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+k AS (SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a)
+SELECT k.doc_id, k.class_id, CAST((SELECT count(*) FROM l WHERE l.a = k.doc_id) AS BIGINT) AS n_links,
+  least(k.doc_id, coalesce((SELECT min(l.b) FROM l WHERE l.a = k.doc_id AND l.sh = l.na AND l.sh = l.nb), k.doc_id)) AS copy_of,
+  CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles
+FROM k LEFT JOIN n USING (doc_id)
+"""
+
 OP2 = r"""
 WITH c AS (SELECT page_id, nullif(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS host,
   CAST('2024-01-01' AS DATE) + CAST((page_id * 37) % 366 AS INTEGER) AS fetched_at FROM pages),
@@ -55,4 +71,4 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, s
   row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
 """
 
-ORACLE = {"op2_url_filter": OP2, "op3_quality_rules": quality_rules.oracle_sql(), "op4_sharding": OP4, "op8_substring_dedup": OP8}
+ORACLE = {"op1_ngram_jaccard_join": OP1, "op2_url_filter": OP2, "op3_quality_rules": quality_rules.oracle_sql(), "op4_sharding": OP4, "op8_substring_dedup": OP8}

@@ -154,3 +154,12 @@ def string_column(buf: np.ndarray, off: np.ndarray, valid=None) -> pa.Array:
     if valid is not None and not valid.all():
         arr = pc.if_else(pa.array(valid), arr, pa.scalar(None, pa.large_string()))
     return arr.cast(pa.string()) if len(buf) < (1 << 31) - 1 else arr
+
+
+def windows_rows(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One 64-bit key of each band of MinHash values (as signed integers)."""
+    x = sig.reshape(len(sig), bands, rows).astype(np.uint64)
+    acc = x[:, :, 0] + np.uint64(1)
+    for k in range(1, rows):
+        acc = acc * np.uint64(0xD6E8FEB86659FD93) + x[:, :, k] + np.uint64(1)
+    return mix(acc).astype(np.int64)
