@@ -186,15 +186,17 @@ def _words_of(buf, starts, ends, pick):
 
 def _count_task(batches):
     for b in batches:
-        buf, off = W.text_bytes(b.column("text"))
-        langs = np.array(b.column("lang").to_pylist(), object)
-        s, e, h, first = W.scan(buf, off)
-        row_lang = np.repeat(langs, np.diff(first)) if len(langs) else langs
-        for lang in sorted(set(langs)):
-            own = np.flatnonzero(row_lang == lang)
-            _, at, n = np.unique(h[own], return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()),
-                                              "word": pa.array(_words_of(buf, s, e, own[at]), pa.string()), "n": pa.array(n, pa.int64())})
+        text, all_off = W.text_bytes(b.column("text"))
+        all_langs = np.array(b.column("lang").to_pylist(), object)
+        for lo, hi in W.slabs(all_off, 4 * W.SLAB_BYTES):
+            buf, off, langs = text[all_off[lo]:all_off[hi]], all_off[lo:hi + 1] - all_off[lo], all_langs[lo:hi]
+            s, e, h, first = W.scan(buf, off)
+            row_lang = np.repeat(langs, np.diff(first))
+            for lang in sorted(set(langs)):
+                own = np.flatnonzero(row_lang == lang)
+                _, at, n = np.unique(h[own], return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()),
+                                                  "word": pa.array(_words_of(buf, s, e, own[at]), pa.string()), "n": pa.array(n, pa.int64())})
 
 
 def _expect_task(path, langs, probs):

@@ -175,10 +175,11 @@ def _thin(x, pfirst, limit):
 def _encode_task(batches):
     for b in batches:
         buf, off = W.text_bytes(b.column("text"))
-        x, pf = _thin(*encode(buf, off), MAX_BAG)
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": b.column("doc_id"), "quality": b.column("quality").cast(pa.int32()),
-            "bag": pa.array([x[a:z].astype("<f4").tobytes() for a, z in zip(pf[:-1], pf[1:])], pa.binary())})
+        for lo, hi in W.slabs(off):
+            x, pf = _thin(*encode(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]), MAX_BAG)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": b.column("doc_id").slice(lo, hi - lo), "quality": b.column("quality").slice(lo, hi - lo).cast(pa.int32()),
+                "bag": pa.array([x[a:z].astype("<f4").tobytes() for a, z in zip(pf[:-1], pf[1:])], pa.binary())})
 
 
 def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, holdout_mod: int = 5) -> dict:
