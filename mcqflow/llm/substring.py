@@ -12,9 +12,10 @@ How a round runs.  Documents are dealt once to buckets by a hash of
 reads it again.  A bucket sends its distinct window hashes, cut into hash
 ranges, as packed binary rows: a hash that occurs any number of times in a
 bucket travels once, so a hot passage costs one entry a bucket.  The task of a
-hash range answers every bucket with one bit an entry (repeated or not), and
-the bits return to the buckets for the next round.  Nothing goes through the
-driver; a lost task recomputes from the shuffle files.
+hash range answers every bucket with one bit an entry (repeated or not), and the
+bits return to the buckets for the next round, with those of the rounds before,
+so each round is answered once.  Nothing goes through the driver; a lost task
+recomputes from the shuffle files.
 
 The first rounds only prune and compare 32 bits within a hash range (a false
 match merely keeps a candidate); the last compares 128 bits and the order of
@@ -41,8 +42,8 @@ from pyspark.sql import types as T
 from mcqflow.llm import words as W
 
 BUCKET = "__bucket"
-_BLOB = "g int, b int, fp binary, hb binary, doc binary"
-_MASK = "b int, level int, g int, mask binary"
+_BLOB = "g int, b int, fp binary, hb binary, doc binary, old array<binary>"
+_MASK = "b int, g int, masks array<binary>"
 _LAST = np.int64(np.iinfo(np.int64).max)
 
 
@@ -71,10 +72,10 @@ class _Level:
 def _masks(right: pa.Table, level: int, n: int, cuts: np.ndarray) -> np.ndarray:
     """The answered bits of a level, in the order of its sorted keys."""
     out = np.zeros(n, bool)
-    rows = right.filter(pc.equal(right.column("level"), level))
-    for g, m in zip(rows.column("g").to_pylist(), rows.column("mask").to_pylist()):
+    for g, m in zip(right.column("g").to_pylist(), right.column("masks").to_pylist()):
         lo, hi = cuts[g], cuts[g + 1]
-        out[lo:hi] = np.unpackbits(np.frombuffer(m, np.uint8), count=hi - lo).astype(bool)
+        if m[level]:
+            out[lo:hi] = np.unpackbits(np.frombuffer(m[level], np.uint8), count=hi - lo).astype(bool)
     return out
 
 
@@ -110,7 +111,8 @@ def _ask(level, lens, n_groups, id_col, text_col):
 
     def run(docs: pa.Table, right: pa.Table | None) -> pa.Table:
         bucket = docs.column(BUCKET)[0].as_py() if docs.num_rows else -1
-        cols = {n: [] for n in ("g", "b", "fp", "hb", "doc")}
+        cols = {n: [] for n in ("g", "b", "fp", "hb", "doc", "old")}
+        earlier = dict(zip(right.column("g").to_pylist(), right.column("masks").to_pylist())) if right is not None else {}
         if docs.num_rows:
             docs = _ordered(docs, id_col, text_col)
             buf, off = W.text_bytes(docs.column(text_col))
@@ -123,8 +125,9 @@ def _ask(level, lens, n_groups, id_col, text_col):
                 ids = pc.fill_null(docs.column(id_col).cast(pa.int64()), int(_LAST)).to_numpy()
                 doc = ids[np.searchsorted(first, at, "right") - 1].astype(np.int64)
                 second = W.mix(_second(h, at, lens[-1]))
-            for g in np.flatnonzero(np.diff(cuts)):
+            for g in sorted({*np.flatnonzero(np.diff(cuts)).tolist(), *earlier}):
                 lo, hi = cuts[g], cuts[g + 1]
+                cols["old"].append(earlier.get(g, [None] * level))
                 cols["g"].append(int(g))
                 cols["b"].append(bucket)
                 if last:
@@ -136,7 +139,8 @@ def _ask(level, lens, n_groups, id_col, text_col):
                     cols["hb"].append(None)
                     cols["doc"].append(None)
         return pa.table({"g": pa.array(cols["g"], pa.int32()), "b": pa.array(cols["b"], pa.int32()),
-                         **{n: pa.array(cols[n], pa.binary()) for n in ("fp", "hb", "doc")}})
+                         **{n: pa.array(cols[n], pa.binary()) for n in ("fp", "hb", "doc")},
+                         "old": pa.array(cols["old"], pa.list_(pa.binary()))})
 
     if level == 0:
         return lambda docs: run(docs, None)
@@ -151,7 +155,7 @@ def _second(h, at, n):
     return acc
 
 
-def _answer(level, last):
+def _answer(last):
     """Hash-range task: one bit an entry -- repeated elsewhere (or, at the last
     level, first met elsewhere)."""
 
@@ -181,11 +185,12 @@ def _answer(level, last):
             bit = np.zeros(len(fp), bool)
             bit[order] = same
         ends = np.cumsum(n)
-        keep = [i for i in range(len(b)) if bit[ends[i] - n[i]:ends[i]].any()]
+        own = [bit[z - k:z] for z, k in zip(ends, n)]
+        masks = [[*o, np.packbits(m).tobytes() if m.any() else None] for o, m in zip(t.column("old").to_pylist(), own)]
+        keep = [i for i, m in enumerate(masks) if any(m)]  # no row: nothing repeats
         return pa.table({"b": pa.array([b[i] for i in keep], pa.int32()),
-                         "level": pa.array([level] * len(keep), pa.int32()),
                          "g": pa.array([t.column("g")[i].as_py() for i in keep], pa.int32()),
-                         "mask": pa.array([np.packbits(bit[ends[i] - n[i]:ends[i]]).tobytes() for i in keep], pa.binary())})
+                         "masks": pa.array([masks[i] for i in keep], pa.list_(pa.binary()))})
     return run
 
 
@@ -254,7 +259,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     lens = [base << k for k in range(levels)]
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets, n_groups = 2 * parts, parts
+    n_buckets, n_groups = 3 * parts, max(1, parts // 2)
     docs = docs.drop("n_words", "n_removed", "kept_sha256", BUCKET)
     out_schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()),
                                T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
@@ -266,8 +271,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             blobs = dealt.groupBy(BUCKET).applyInArrow(ask, _BLOB)
         else:
             blobs = dealt.groupBy(BUCKET).cogroup(masks.groupBy("b")).applyInArrow(ask, _BLOB)
-        new = blobs.groupBy("g").applyInArrow(_answer(k, k == levels - 1), _MASK)
-        masks = new if masks is None else masks.unionByName(new)
+        masks = blobs.groupBy("g").applyInArrow(_answer(k == levels - 1), _MASK)
     from pyspark.sql.pandas.types import to_arrow_schema
     finish = _finish(lens, n_groups, id_col, text_col, to_arrow_schema(out_schema))
     return dealt.groupBy(BUCKET).cogroup(masks.groupBy("b")).applyInArrow(finish, out_schema)
