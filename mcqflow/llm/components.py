@@ -17,7 +17,11 @@ def components(edges: DataFrame, a: str = "u", b: str = "v", max_rounds: int = 6
     list.  Each round's labels are written to the shared folder; only the
     number of changes reaches the driver.
     """
-    both = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("s"), F.col(b).alias("t"))
+    own = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("s"), F.least(a, b).alias("t")).distinct()
+    least = own.groupBy("s").agg(F.min("t").alias("m"))
+    # tie every node to its least neighbour, and its other neighbours to that one: few distinct edges stay
+    both = (own.join(least, "s").select(F.explode(F.array(F.struct(F.col("s"), F.col("m").alias("t")), F.struct(F.col("t").alias("s"), F.col("m").alias("t")))).alias("e"))
+            .select("e.s", "e.t").where("s <> t").distinct())
     both = materialize(both.union(both.select(F.col("t"), F.col("s"))).distinct(), "component-edges")
     labels = materialize(both.groupBy(F.col("s").alias("node")).agg(F.least(F.min("t"), F.col("node")).alias("label")), "component-labels")
     for _ in range(max_rounds):

@@ -282,8 +282,10 @@ def links(docs: DataFrame, sign: DataFrame, threshold: float = THRESHOLD, id_col
              .select("sid", F.posexplode("bands").alias("band", "key")))
     keyed = materialize(keyed, "shingle-bands")
     shared = keyed.groupBy("band", "key").agg(F.min("sid").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    edges = keyed.join(shared, ["band", "key"]).where("sid <> hub").select(F.col("sid").alias("u"), F.col("hub").alias("v")).distinct()
-    groups = components(edges).select(F.col("node").alias("sid"), F.col("label").alias("grp"))
+    # a class has at most BANDS hubs: tie it to the least, and the others to that one
+    hubs = (keyed.join(shared, ["band", "key"]).groupBy("sid").agg(F.min("hub").alias("v"), F.collect_set("hub").alias("hubs"))
+            .select("v", F.explode(F.array_union("hubs", F.array("sid"))).alias("u")).where("u <> v").distinct())
+    groups = components(hubs).select(F.col("node").alias("sid"), F.col("label").alias("grp"))
     size = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n_grp"))
     members = materialize(groups.join(size, "grp").join(classes.select("sid", "n_rows", "rk"), "sid")
                           .join(has.select("sid", "rk", "sig"), ["sid", "rk"]).dropDuplicates(["sid"]), "candidate-members")
