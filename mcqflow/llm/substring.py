@@ -119,6 +119,7 @@ def _ask(level, lens, n_groups, id_col, text_col):
             _, _, h, first = W.scan(buf, off)
             lv, _ = _survivors(h, first, lens, right, level, n_groups)
             cuts = _cuts(lv.keys, n_groups)
+            second, doc = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             if last and len(lv.keys):
                 at = np.full(len(lv.keys), len(h), np.int64)
                 np.minimum.at(at, lv.inv, lv.pos)
