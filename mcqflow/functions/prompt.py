@@ -101,7 +101,8 @@ def render_messages(msgs: Column, add_generation_prompt: bool = True) -> Column:
 
 # Built-in length measures for prompt-length analysis.  A real BPE tokenizer
 # is pluggable through ``token_length_udf``.
-TOKEN_PATTERN = r"\w+|[^\w\s]"
+# word characters of any script, spelled out so that every engine agrees
+TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"
 
 
 def char_length(prompt: Column) -> Column:

@@ -21,7 +21,7 @@ def balance_labels(df: DataFrame, order: str = "index") -> DataFrame:
     """B1: adds ``target`` and returns options/label after the swap, plus
     ``answer_kept`` (B2: options[label] equals the old right answer)."""
     x = df.withColumn("opt_count", F.size("options"))
-    x = ranked(x, [order], int_bucket(F.col(order)), ["opt_count"], "_pos",
+    x = ranked(x, [order], int_bucket(x, order), ["opt_count"], "_pos",
                max_keys=MAX_OPTION_COUNT, n_buckets=None)
     x = x.withColumn("target", F.pmod(F.col("_pos") - 1, F.col("opt_count")).cast("bigint"))
     old = F.col("options")

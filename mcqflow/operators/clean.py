@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +61,8 @@ def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",),
     ``original_options``/``original_label`` (NULL if untouched), ``note``.
     """
     ds = list(dataset)
-    x = option_columns(df)
+    rid = F.xxhash64("text", "question", "options", "label")
+    x = option_columns(df.withColumn("_rid", rid))
     opts = F.col("options")
     label = F.col("label")
     text_s = py_strip(blank_to_empty("text"))
@@ -108,21 +108,19 @@ def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",),
     # rows are shuffled: min() per key is a partial aggregation (a hot key
     # is combined map-side), the duplicate positions come from a narrow join
     # (AQE splits a hot key there), and that position set is joined back --
-    # broadcast by AQE when small, the usual case.  ``order`` must be unique
-    # within a dataset (it is the row position).
+    # broadcast by AQE when small, the usual case.  Rows that share a position
+    # are told apart by a hash of their content, so none is multiplied.
     x = x.withColumn("_key", F.when(F.col("reason").isNull(),
                                     _dup_key(F.col("_text_s"), F.col("_question_s"), F.col("options"))))
-    # Both uses read one spillable cached copy, so the text expressions run
-    # once (a lost block is recomputed from lineage).
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    nk = x.where(F.col("_key").isNotNull()).select(*ds, "_key", F.col(order).alias("_pos"))
+    pos = F.struct(F.col(order).alias("p"), F.col("_rid").alias("r"))
+    nk = x.where(F.col("_key").isNotNull()).select(*ds, "_key", pos.alias("_pos"))
     first = nk.groupBy(*ds, "_key").agg(F.min("_pos").alias("_first"))
     dups = (nk.join(first, ds + ["_key"]).where(F.col("_pos") != F.col("_first"))
-            .select(*ds, F.col("_pos").alias(order), F.lit(True).alias("_dup")))
-    x = x.join(dups, ds + [order], "left")
+            .select(*ds, F.col("_pos.p").alias(order), F.col("_pos.r").alias("_rid"), F.lit(True).alias("_dup")).distinct())
+    x = x.join(dups, ds + [order, "_rid"], "left")
     x = x.withColumn("reason", F.when(F.col("_dup"), F.lit("duplicate_sample")).otherwise(F.col("reason")))
     return x.drop("_opts_s", "_lows", "_n_uniq", "_has_dup", "_uniq", "_text_s",
-                  "_question_s", "_key", "_dup")
+                  "_question_s", "_key", "_dup", "_rid")
 
 
 def reject_counts(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:

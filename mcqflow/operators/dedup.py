@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,24 +20,29 @@ def fingerprint(text="text", question="question", options="options") -> Column:
                           F.to_json(F.transform(F.col(options), lambda o: norm(o)))))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Tells rows that share a position apart (equal rows share it)."""
+    return F.xxhash64(*df.columns)
+
+
 def first_wins(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_first") -> DataFrame:
-    """Flags the first row of each key by ``order`` (lexicographic; ``order``
-    must identify a row).
+    """Flags the first row of each key by ``order`` (lexicographic; rows that
+    share a position are ordered by a hash of their content).
 
     Only narrow (key, order) rows are shuffled: min(struct(order)) per key is
     a partial aggregation (a hot key is combined map-side); the later rows'
     ``order`` values come from a narrow join (AQE splits a hot key there) and
     are joined back -- broadcast by AQE when small.  No window over a key.
     """
-    cols = list(order)
+    cols = [*order, "_rid"]
     ordv = F.struct(*[F.col(c) for c in cols])
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # both uses read one copy
+    df = df.withColumn("_rid", row_hash(df))
     nk = df.select(key, *cols)
     firsts = nk.groupBy(key).agg(F.min(ordv).alias("_first"))
     later = (nk.join(firsts, key).where(ordv != F.col("_first"))
-             .select(*cols, F.lit(True).alias("_later")))
+             .select(*cols, F.lit(True).alias("_later")).distinct())
     return (df.join(later, cols, "left")
-            .withColumn(flag, F.col("_later").isNull()).drop("_later"))
+            .withColumn(flag, F.col("_later").isNull()).drop("_later", "_rid"))
 
 
 def fingerprint_dedupe(df: DataFrame, order: Sequence[str] = ("grp_ord", "dataset_ord", "index")) -> DataFrame:

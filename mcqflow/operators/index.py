@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 2_000_000
 # 16^4 = 65,536 hash buckets: ~1.5M rows per window task at 1e11 rows.
 HEX_DIGITS = 4
-# Integer positions are cut into ranges of 2^20.
+# Integer positions are cut into ranges of 2^20, or wider ones where the values
+# are spread so far that more than MAX_INT_BUCKETS ranges would result.
 INT_BUCKET_WIDTH = 1 << 20
+MAX_INT_BUCKETS = 4096
 
 
 def seeded_hash(seed, *keys) -> Column:
@@ -33,9 +35,13 @@ def hex_bucket(h: Column, digits: int = HEX_DIGITS) -> Column:
     return F.substring(h, 1, digits)
 
 
-def int_bucket(pos: Column, width: int = INT_BUCKET_WIDTH) -> Column:
-    """Ordered bucket of an integer position."""
-    return F.floor(pos / F.lit(width)).cast("bigint")
+def int_bucket(df: DataFrame, pos: str, width: int = INT_BUCKET_WIDTH, most: int = MAX_INT_BUCKETS) -> Column:
+    """Ordered bucket of an integer column: at most ``most`` + 1 buckets, also
+    for sparse or hashed 64-bit values (the range is a scalar subquery)."""
+    v = F.col(pos).cast("double")
+    lo = df.agg(F.min(v).alias("lo")).select("lo").scalar()
+    span = df.agg((F.max(v) - F.min(v)).alias("span")).select("span").scalar()
+    return F.floor((v - lo) / F.greatest(F.lit(float(width)), span / F.lit(float(most)))).cast("bigint")
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -69,7 +75,11 @@ def ranked(df: DataFrame, order: Sequence[str], bucket: Column,
     offsets = counts.select(*part, "_bk",
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).cast("bigint").alias("_off"))
     bound = max_keys * n_buckets if (max_keys and n_buckets) else None
-    joined = join_small(b, offsets, part + ["_bk"], bound=bound)
+    # null-safe: rows with a NULL order or partition key keep their rank
+    keys = part + ["_bk"]
+    offsets = offsets.select("_off", *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)])
+    on = [b[k].eqNullSafe(offsets[f"_o{i}"]) for i, k in enumerate(keys)]
+    joined = join_small(b, offsets, on, bound=bound).drop(*[f"_o{i}" for i in range(len(keys))])
     w = Window.partitionBy(*part, "_bk").orderBy(*order)
     return (joined.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("bigint"))
             .drop("_bk", "_off"))

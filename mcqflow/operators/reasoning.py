@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mcqflow.functions.answers import (answer_correct, extract_answer, has_conclusion,
                                        has_step_marker, reasoning_problems, response_content)
-from mcqflow.operators.index import int_bucket, ranked
+from mcqflow.operators.index import MAX_INT_BUCKETS, int_bucket, ranked
 
 
 def validation_stats(df: DataFrame, reasoning: str = "reasoning", label: str = "label",
@@ -54,7 +54,7 @@ def accuracy_by_type(df: DataFrame, label: str = "label") -> DataFrame:
 def index_slice(df: DataFrame, start: int = 0, end: int | None = None, order: str = "index") -> DataFrame:
     """Rows at input positions [start, end); NULL end = to the end, 0 = none.
     Adds ``pos`` (0-based position) and ``slice_index`` = pos - start."""
-    r = ranked(df, [order], int_bucket(F.col(order)), (), "_p", n_buckets=None)
+    r = ranked(df, [order], int_bucket(df, order), (), "_p", n_buckets=MAX_INT_BUCKETS + 1)
     r = r.withColumn("pos", F.col("_p") - 1).drop("_p")
     cond = F.col("pos") >= start
     if end is not None:
@@ -175,7 +175,7 @@ def analysis_run(df: DataFrame, fn, system_prompt: str, model: str = "model",
     got = materialize(call_model(x, fn, 1, concurrency=concurrency), "analysis")
     if chat_body:
         got = got.withColumn("response", response_content(F.col("response")))
-    a = F.from_json("response", ANALYSIS_STRUCT)
+    a = F.when(F.expr("try_parse_json(response)").isNotNull(), F.from_json("response", ANALYSIS_STRUCT))
     got = got.withColumn("analysis", a).where(F.col("analysis").isNotNull())
     return got.withColumn("is_correct", exact_answer_correct(F.col("analysis.correct_answer"), F.col("label")))
 

@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mcqflow.functions.text import total_length
+from mcqflow.functions.text import total_length, blank_to_empty
 from mcqflow.operators.index import hex_bucket, join_small, ranked, seeded_hash
 
 SEED = 42
@@ -110,7 +110,6 @@ def outlier_filter(df: DataFrame, col: str = "length") -> DataFrame:
 
 def outlier_rows(df: DataFrame, col: str = "length") -> DataFrame:
     """Outlier report rows: length parts and source."""
-    from mcqflow.functions.text import blank_to_empty
     return (outlier_flag(df, col).where("is_outlier")
             .select("index", "source", F.col(col).alias("length"),
                     F.length(blank_to_empty("text")).cast("bigint").alias("text_length"),
@@ -155,7 +154,7 @@ def split_flags(df: DataFrame, keys=("dataset", "index"), seed=SEED,
     n_peft = F.floor(n * F.lit(float(peft_r)))
     is_eval = F.col("rn") > n - n_eval
     return (r.withColumn("is_eval", is_eval)
-            .withColumn("is_full", ~is_eval & (F.col("rn") <= n_full))
+            .withColumn("is_full", ~is_eval & ((F.col("rn") <= n_full) | (n < 10)))
             .withColumn("is_peft", ~is_eval & (F.col("rn") <= n_peft))
             .withColumn("split", F.when(F.col("is_eval"), "eval").when(F.col("is_full"), "train")
                         .otherwise("unassigned")))
@@ -183,7 +182,7 @@ def stratified_sample(df: DataFrame, target: int, keys=("dataset", "index"), see
     """M2: strata = source x option count x text-length quintile; each stratum
     gets floor(target * share), all of it when short."""
     x = with_quintile_bin(df.withColumn("opt_count", F.size("options"))
-                          .withColumn("text_length", F.length("text")), "text_length")
+                          .withColumn("text_length", F.length(blank_to_empty("text"))), "text_length")
     x = x.withColumn("stratum", F.concat_ws("_", "source", "opt_count", "length_bin"))
     n = x.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     sizes = x.groupBy("stratum").agg(F.count(F.lit(1)).alias("_s"))

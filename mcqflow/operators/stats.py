@@ -28,6 +28,7 @@ def share(df: DataFrame, key: str, digits: int = 6) -> DataFrame:
 def length_distribution(df: DataFrame, col: str) -> DataFrame:
     """A5: quintile bin counts (right-closed qcut bins); when two edges are
     equal: min, max, mean and the upper median instead.  (key, value)."""
+    df = df.withColumn(col, F.coalesce(F.col(col), F.lit(0)))  # no text: length 0
     v = F.col(col)
     e = length_percentiles(df, col, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]).select("q").scalar()
     ok = F.size(F.array_distinct(e)) == 6
@@ -140,11 +141,11 @@ def _source_list(df: DataFrame, source: str = "source") -> Column:
     return df.agg(F.sort_array(F.collect_set(source)).alias("s")).select("s").scalar()
 
 
-def chunk_source_counts(df: DataFrame, pos: str = "pos", chunk: int = 100, first: int = 10,
+def chunk_source_counts(df: DataFrame, pos: str = "pos", chunk: int = 100, first: int | None = None,
                         source: str = "source") -> DataFrame:
-    """A10 + J5: counts per (chunk, source) for the first ``first`` chunks,
-    zero cells included, with % of the chunk."""
-    x = df.where(F.col(pos) < chunk * first).withColumn("chunk", F.floor(F.col(pos) / chunk).cast("bigint"))
+    """A10 + J5: counts per (chunk, source), zero cells included, with % of
+    the chunk; all chunks, or the first ``first`` for a chart (O5)."""
+    x = (df if first is None else df.where(F.col(pos) < chunk * first)).withColumn("chunk", F.floor(F.col(pos) / chunk).cast("bigint"))
     c = x.groupBy("chunk", source).agg(F.count(F.lit(1)).alias("n"))
     sizes = x.groupBy("chunk").agg(F.count(F.lit(1)).alias("_t"))
     grid = sizes.select("chunk", "_t", F.explode(_source_list(df, source)).alias(source))
@@ -165,18 +166,16 @@ def source_trend(df: DataFrame, pos: str = "pos", chunk: int = 100, window: int
     """Average count per chunk of each source, per window.
 
     Tumbling (default): window w covers rows [w*chunk*window, (w+1)*chunk*window).
-    ``stride`` given: window w covers rows [w*stride, w*stride + chunk*window)
-    for w*stride < #chunks (the source report's loop).  Rows are first
-    counted per block of ``stride`` rows, so each (source, block) count
-    reaches at most chunk*window/stride windows.  Zero cells included.
+    ``stride`` given (it divides chunk*window): window w covers rows
+    [w*stride, w*stride + chunk*window) for every w with w*stride < #rows.
+    Rows are first counted per block of ``stride`` rows, so each (source,
+    block) count reaches at most chunk*window/stride windows.  Zero cells
+    included; positions are dense, so the windows are those of the blocks.
     """
     span = chunk * window
-    n = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    n_chunks = F.ceil(n / chunk)
     if stride is None:
         c = (df.groupBy(F.floor(F.col(pos) / span).cast("bigint").alias("window"), source)
              .agg(F.count(F.lit(1)).alias("_c")))
-        n_windows = F.ceil(n / span)
     else:
         per = span // stride
         blk = (df.groupBy(F.floor(F.col(pos) / stride).cast("bigint").alias("_b"), source)
@@ -184,10 +183,8 @@ def source_trend(df: DataFrame, pos: str = "pos", chunk: int = 100, window: int
         # block b lies in windows b-per+1 .. b
         w = blk.select(source, "_c", F.explode(F.sequence(
             F.greatest(F.col("_b") - per + 1, F.lit(0)), F.col("_b"))).alias("window"))
-        n_windows = F.ceil(n_chunks / stride)
-        c = w.where(F.col("window") < n_windows).groupBy("window", source).agg(F.sum("_c").alias("_c"))
-    wins = df.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), (n_windows - 1).cast("bigint"))).alias("window"))
+        c = w.groupBy("window", source).agg(F.sum("_c").alias("_c"))
+    wins = c.select("window").distinct()
     grid = wins.select("window", F.explode(_source_list(df, source)).alias(source))
     return (grid.join(c, ["window", source], "left")
             .select("window", source, F.round(F.coalesce("_c", F.lit(0)) / F.lit(float(window)), 6)

@@ -50,8 +50,8 @@ REASONING = """reasoning AS (SELECT *, CASE "index" % 12
     WHEN 9 THEN ''
     WHEN 10 THEN 'first think. ' || L || ': because'
     ELSE 'the answer is Although ' || L END AS reasoning
-  FROM (SELECT *, chr(CAST(65 + label AS INTEGER)) AS L,
-      CASE WHEN label = 0 THEN 'B' ELSE 'A' END AS W FROM mcq WHERE label BETWEEN 0 AND 4))"""
+  FROM (SELECT *, CASE WHEN label BETWEEN 0 AND 4 THEN chr(CAST(65 + label AS INTEGER)) ELSE 'A' END AS L,
+      CASE WHEN label BETWEEN 1 AND 4 THEN 'A' ELSE 'B' END AS W FROM mcq))"""
 
 ANALYSIS = """analysis AS (SELECT *, CASE WHEN "index" % 10 <> 9 THEN
       CASE WHEN "index" % 4 <> 0 THEN chr(CAST(65 + label AS INTEGER)) WHEN label = 0 THEN 'B' ELSE 'A' END END
@@ -63,10 +63,10 @@ ANALYSIS = """analysis AS (SELECT *, CASE WHEN "index" % 10 <> 9 THEN
 JSONRESP = """jresp AS (SELECT *,
     "index" % 10 <> 9 AS answered,
     "index" % 10 <> 9 AND "index" % 9 <> 0 AS has_all,
-    CASE WHEN "index" % 10 = 9 THEN NULL WHEN "index" % 4 = 0 THEN (CASE WHEN label = 0 THEN 'B' ELSE 'A' END)
-         WHEN "index" % 4 = 1 THEN ' ' || lower(chr(CAST(65 + label AS INTEGER))) || ' '
-         ELSE chr(CAST(65 + label AS INTEGER)) END AS answer
-  FROM mcq WHERE label BETWEEN 0 AND 4)"""
+    CASE WHEN "index" % 10 = 9 THEN NULL WHEN "index" % 4 = 0 THEN (CASE WHEN label BETWEEN 1 AND 4 THEN 'A' ELSE 'B' END)
+         WHEN "index" % 4 = 1 THEN ' ' || lower(L) || ' '
+         ELSE L END AS answer
+  FROM (SELECT *, CASE WHEN label BETWEEN 0 AND 4 THEN chr(CAST(65 + label AS INTEGER)) ELSE 'A' END AS L FROM mcq))"""
 
 R = "reasoning"
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mcqflow.functions.text import blank_to_empty
 from mcqflow.operators.clean import classify
 from mcqflow.operators.dedup import (duplicate_stats, fingerprint_dedupe, fingerprint_groups,
                                      incremental_dedupe, unique_fingerprints)
-from mcqflow.operators.index import int_bucket, ranked
+from mcqflow.operators.index import MAX_INT_BUCKETS, int_bucket, ranked
 from mcqflow.operators.sample import (fence_stats, group_targets, outlier_filter, outlier_flag,
                                       outlier_refill, outlier_rows, ratio_mix, split_flags,
                                       stratified_sample, with_shuffle_rank, with_total_length)
@@ -89,7 +90,7 @@ split AS (SELECT *, NOT is_eval AND rn <= floor(n * 0.9::DOUBLE) AS is_full,
 
 # ------------------------------------------------------------- stats -------
 @register("dataset_stats", with_ctes(MCQ, CLASSIFIED, VALID) + """
-SELECT source AS dataset, count(*) AS n, round(avg(length(text)), 6) AS avg_text_length,
+SELECT source AS dataset, count(*) AS n, round(avg(length(coalesce(text, ''))), 6) AS avg_text_length,
        round(avg(len(options)), 6) AS avg_opt_count
 FROM valid GROUP BY source""")
 def dataset_stats(spark, sf):
@@ -97,7 +98,7 @@ def dataset_stats(spark, sf):
     v = valid(spark, sf)
     return v.groupBy(F.col("source").alias("dataset")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(F.length("text")), 6).alias("avg_text_length"),
+        F.round(F.avg(F.length(blank_to_empty("text"))), 6).alias("avg_text_length"),
         F.round(F.avg(F.size("options")), 6).alias("avg_opt_count"))
 
 
@@ -149,7 +150,7 @@ SELECT * FROM (
      WHERE cum >= (SELECT count(*) FROM tl) // 2 + 1) WHERE NOT (SELECT ok FROM ok)""")
 def length_quintiles(spark, sf):
     """A5: text-length quintile counts; min/max/mean/upper-median when edges collide."""
-    return length_distribution(valid(spark, sf).withColumn("v", F.length("text")), "v")
+    return length_distribution(valid(spark, sf).withColumn("v", F.length(blank_to_empty("text"))), "v")
 
 
 # ------------------------------------------------------------- dedup -------
@@ -256,7 +257,8 @@ def q_shuffle_rank(spark, sf):
 SELECT "index", CAST((row_number() OVER (ORDER BY "index") - 1) // 50 AS BIGINT) AS batch_id FROM valid""")
 def q_batch_ids(spark, sf):
     """W1+W3: position in input order, batches of 50 rows."""
-    r = ranked(valid(spark, sf), ["index"], int_bucket(F.col("index")), (), "pos")
+    v = valid(spark, sf)
+    r = ranked(v, ["index"], int_bucket(v, "index"), (), "pos", n_buckets=MAX_INT_BUCKETS + 1)
     return r.select("index", F.floor((F.col("pos") - 1) / 50).cast("bigint").alias("batch_id"))
 
 

@@ -68,7 +68,7 @@ for _name, _style, _sql in (("prompt_render_length", prompt_length_style, P_LENG
 
 
 @register("prompt_token_length", with_ctes(MCQ, CLASSIFIED, VALID) + f"""
-SELECT "index", CAST(len(regexp_extract_all({P_LENGTH}, '\\w+|[^\\w\\s]')) AS BIGINT) AS tokens FROM valid""")
+SELECT "index", CAST(len(regexp_extract_all({P_LENGTH}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+|[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]')) AS BIGINT) AS tokens FROM valid""")
 def q_prompt_token_length(spark, sf):
     """P21 with the built-in regex token measure."""
     return valid(spark, sf).select("index", regex_token_length(prompt_length_style()).alias("tokens"))

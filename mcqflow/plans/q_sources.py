@@ -85,15 +85,28 @@ def q_source_reclor(spark, sf):
     return read_reclor(spark, p, keep=["doc_id"], extra=", doc_id bigint").select(*OUT)
 
 
+def _two_options(m):
+    """The chosen option (the first where the label points outside) and the
+    next one; in even rows the chosen one comes first."""
+    n = F.size("options")
+    c = F.when(F.col("label").between(0, n - 1), F.col("label")).otherwise(F.lit(0)).cast("int")
+    right, other = F.get("options", c), F.get("options", (c + 1) % n)
+    even = F.col("doc_id") % 2 == 0
+    return (m.withColumn("o1", F.when(even, right).otherwise(other)).withColumn("o2", F.when(even, other).otherwise(right))
+            .withColumn("label", (F.col("doc_id") % 2).cast("bigint")))
+
+
 @register("source_winogrande", with_ctes(MCQ) + """
 SELECT "index" AS doc_id, text,
   'Which of the following options is the most appropriate one to fill in the blank?' AS question,
-  [options[1], options[2]] AS options, label FROM mcq""")
+  CASE WHEN "index" % 2 = 0 THEN [options[c], options[c % len(options) + 1]] ELSE [options[c % len(options) + 1], options[c]] END AS options,
+  CAST("index" % 2 AS BIGINT) AS label
+FROM (SELECT *, CASE WHEN label >= 0 AND label < len(options) THEN CAST(label AS INTEGER) + 1 ELSE 1 END AS c FROM mcq)""")
 def q_source_winogrande(spark, sf):
-    """WinoGrande JSON lines (first two options, answer '1'/'2')."""
+    """WinoGrande JSON lines (the chosen option and another, answer '1'/'2')."""
     p = scratch_path(spark, "winogrande")
-    (_mcq(spark, sf).select("doc_id", F.col("text").alias("sentence"), F.get("options", 0).alias("option1"),
-                            F.get("options", 1).alias("option2"),
+    (_two_options(_mcq(spark, sf))
+     .select("doc_id", F.col("text").alias("sentence"), F.col("o1").alias("option1"), F.col("o2").alias("option2"),
                             (F.col("label") + 1).cast("string").alias("answer"))
      .write.option("ignoreNullFields", "false").json(p))
     return read_winogrande(spark, p, keep=["doc_id"], extra=", doc_id bigint").select(*OUT)
@@ -102,15 +115,17 @@ def q_source_winogrande(spark, sf):
 @register("source_balacopa", with_ctes(MCQ) + """
 SELECT "index" AS doc_id, text,
   'Which may be the ' || CASE WHEN "index" % 2 = 0 THEN 'cause' ELSE 'effect' END || '?' AS question,
-  [options[1], options[2]] AS options, label FROM mcq""")
+  CASE WHEN "index" % 2 = 0 THEN [options[c], options[c % len(options) + 1]] ELSE [options[c % len(options) + 1], options[c]] END AS options,
+  CAST("index" % 2 AS BIGINT) AS label
+FROM (SELECT *, CASE WHEN label >= 0 AND label < len(options) THEN CAST(label AS INTEGER) + 1 ELSE 1 END AS c FROM mcq)""")
 def q_source_balacopa(spark, sf):
     """BalaCOPA XML items (premise, two alternatives, attributes)."""
     p = scratch_path(spark, "balacopa")
-    m = _mcq(spark, sf)
+    m = _two_options(_mcq(spark, sf))
     (m.select(F.when(F.col("doc_id") % 2 == 0, "cause").otherwise("effect").alias("_asks-for"),
               (F.col("label") + 1).cast("string").alias("_most-plausible-alternative"),
               F.col("doc_id").cast("string").alias("_id"),
-              F.col("text").alias("p"), F.get("options", 0).alias("a1"), F.get("options", 1).alias("a2"))
+              F.col("text").alias("p"), F.col("o1").alias("a1"), F.col("o2").alias("a2"))
      .write.format("xml").option("rowTag", "item").option("rootTag", "items").save(p))
     r = read_balacopa(spark, p, keep=[F.col("_id").cast("bigint").alias("doc_id")])
     return r.select(*OUT)
@@ -176,6 +191,6 @@ def q_loader_line_numbers(spark, sf):
     doc = F.coalesce(F.get_json_object("raw", "$.doc_id"),
                      F.regexp_extract("raw", r"^not json (\d+)$", 1)).cast("bigint")
     v = v.withColumn("doc_id", doc)
-    r = ranked(v, ["doc_id"], int_bucket(F.col("doc_id")), ["file"], "_expect", max_keys=None, n_buckets=None)
+    r = ranked(v, ["doc_id"], int_bucket(v, "doc_id"), ["file"], "_expect", max_keys=None, n_buckets=None)
     return (r.where(F.col("reason").isNotNull())
             .select("doc_id", "reason", (F.col("line_number") == F.col("_expect")).alias("line_ok")))

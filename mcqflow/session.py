@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:  # unset: tests and local runs only
+        if sc is not None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="mcqflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -78,9 +80,3 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def release_cached(spark) -> None:
-    """Drop cached intermediates (de-dup inputs are persisted with
-    MEMORY_AND_DISK) once a pipeline's outputs are written."""
-    spark.catalog.clearCache()

@@ -161,16 +161,22 @@ def _template_col(i: int, L: Column, W: Column) -> Column:
     return F.concat(*parts)
 
 
+def _answer_letter() -> Column:
+    label = F.col("label")
+    return F.when(label.between(0, 4), F.char(F.lit(65) + label)).otherwise(F.lit("A"))
+
+
 def with_reasoning(mcq: DataFrame) -> DataFrame:
-    """Rows with label 0..4 get a synthetic ``reasoning`` text."""
-    L = F.char(F.lit(65) + F.col("label"))
+    """Every row gets a synthetic ``reasoning`` text (letter A where the label
+    is not 0..4, which a check must call wrong)."""
+    L = _answer_letter()
     W = F.when(L == "A", F.lit("B")).otherwise(F.lit("A"))
     k = F.col("index") % 12
     expr = None
     for i in range(12):
         c = _template_col(i, L, W)
         expr = F.when(k == i, c) if expr is None else expr.when(k == i, c)
-    return mcq.where(F.col("label").between(0, 4)).withColumn("reasoning", expr)
+    return mcq.withColumn("reasoning", expr)
 
 
 def with_analysis(mcq: DataFrame) -> DataFrame:
@@ -190,11 +196,11 @@ def with_analysis(mcq: DataFrame) -> DataFrame:
 
 
 def with_json_response(mcq: DataFrame) -> DataFrame:
-    """Recorded structured-reasoning responses (JSON text) for rows with label
-    0..4: none when index % 10 = 9; 'reasoning_pattern' missing when
+    """Recorded structured-reasoning responses (JSON text; letter A where the
+    label is not 0..4): none when index % 10 = 9; 'reasoning_pattern' missing when
     index % 9 = 0; answer = wrong letter (index % 4 = 0), ' l ' lower case
     with spaces (index % 4 = 1), else the right letter."""
-    L = F.char(F.lit(65) + F.col("label"))
+    L = _answer_letter()
     W = F.when(L == "A", F.lit("B")).otherwise(F.lit("A"))
     d = F.col("index")
     answer = (F.when(d % 4 == 0, W).when(d % 4 == 1, F.concat(F.lit(" "), F.lower(L), F.lit(" ")))
@@ -207,4 +213,4 @@ def with_json_response(mcq: DataFrame) -> DataFrame:
     full = F.to_json(F.struct(*base, F.lit("elimination").alias("reasoning_pattern")))
     part = F.to_json(F.struct(*base))
     resp = F.when(d % 10 == 9, F.lit(None).cast("string")).when(d % 9 == 0, part).otherwise(full)
-    return mcq.where(F.col("label").between(0, 4)).withColumn("response", resp)
+    return mcq.withColumn("response", resp)

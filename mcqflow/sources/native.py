@@ -28,13 +28,17 @@ def letter_to_label(c: Column) -> Column:
 def coerce_options(cell: Column) -> Column:
     """An options cell that may be a list, a JSON list string or a
     Python list string ("['a', 'b']", escaped quotes allowed); fallback:
-    strip the brackets and split on commas."""
+    strip the brackets and split on commas.  A cell that holds a dict
+    ("{'text': [...], ...}") gives its ``text`` list."""
     s = cell.cast("string")
+    inner = F.from_json(s, T.StructType([T.StructField("text", T.ArrayType(T.StringType()))]),
+                        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+                         "mode": "PERMISSIVE"})["text"]
     parsed = F.from_json(s, T.ArrayType(T.StringType()),
                          {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
                           "mode": "PERMISSIVE"})
     fallback = F.split(F.regexp_replace(s, r"^\[|\]$", ""), ",")
-    return F.coalesce(parsed, fallback)
+    return F.when(F.ltrim(s).startswith("{"), inner).otherwise(F.coalesce(parsed, fallback))
 
 
 def _out(df: DataFrame, text: Column, question: Column, options: Column, label: Column,
@@ -104,7 +108,7 @@ def read_boolean(spark: SparkSession, path: str, keep: Sequence[str] = (), extra
     df = spark.read.schema(BOOLEAN_SCHEMA + extra).json(path)
     q = F.concat(F.upper(F.substring("question", 1, 1)), F.expr("substring(question, 2)"), F.lit("?"))
     return _out(df, F.col("passage"), q, F.array(*[F.lit(o) for o in BOOLEAN_OPTIONS]),
-                F.when(F.col("answer"), 0).otherwise(1), keep)
+                F.when(F.col("answer"), 0).when(~F.col("answer"), 1), keep)  # missing or unparsable: NULL
 
 
 MCQ_JSON_SCHEMA = "text string, question string, options array<string>, label bigint, source string"

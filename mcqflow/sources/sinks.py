@@ -17,13 +17,17 @@ def save_dataset(df: DataFrame, path: str, formats: Sequence[str] = ("json", "pa
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
+        if fmt == "json":
+            w = w.option("ignoreNullFields", "false")  # a NULL field stays in its line
         w.format(fmt).save(f"{path.rstrip('/')}/{fmt}")
 
 
 def save_mixed(df: DataFrame, path: str, position: str = "pos") -> None:
-    """K2: the six canonical fields with ``index`` = output position."""
+    """K2: the six canonical fields with ``index`` = output position, files and
+    lines in that order."""
     out = df.withColumn("index", F.col(position).cast("bigint")).select(*MCQ_COLUMNS)
-    out.write.mode("overwrite").json(path)
+    out = out.repartitionByRange("index").sortWithinPartitions("index")
+    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def save_rejects(classified: DataFrame, path: str, by: Sequence[str] = ("dataset",)) -> DataFrame:
@@ -46,5 +50,5 @@ def save_report(df: DataFrame, path: str, fmt: str = "json") -> None:
 def save_balanced(df: DataFrame, directory: str, name: str) -> str:
     """K3: the balanced set as JSON lines under ``balanced_<name>``."""
     path = f"{directory.rstrip('/')}/balanced_{name}"
-    df.select(*[c for c in MCQ_COLUMNS if c in df.columns]).write.mode("overwrite").json(path)
+    df.select(*[c for c in MCQ_COLUMNS if c in df.columns]).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
