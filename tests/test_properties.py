@@ -2,6 +2,7 @@
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
@@ -22,8 +23,8 @@ def test_ranked_equals_global_row_number(spark):
 
 def test_rank_independent_of_partitioning(spark):
     df = spark.range(0, 3000).withColumn("g", F.col("id") % 3)
-    a = ranked(df.repartition(1), ["id"], int_bucket(F.col("id"), 64), ["g"], "rn", max_keys=3, n_buckets=None)
-    b = ranked(df.repartition(13), ["id"], int_bucket(F.col("id"), 64), ["g"], "rn", max_keys=3, n_buckets=None)
+    a = ranked(df.repartition(1), ["id"], int_bucket(df, "id", 64), ["g"], "rn", max_keys=3, n_buckets=None)
+    b = ranked(df.repartition(13), ["id"], int_bucket(df, "id", 64), ["g"], "rn", max_keys=3, n_buckets=None)
     assert sorted(a.collect()) == sorted(b.collect())
 
 
@@ -77,11 +78,12 @@ def _py_extract(text, letters="ABCD"):
 
 
 def test_extraction_matches_python_re(spark):
-    r = with_reasoning(load_mcq(spark, SF_MID)).select("reasoning", extract_answer("reasoning").alias("x"))
+    r = with_reasoning(load_mcq(spark, SF_MID)).select("label", "reasoning", extract_answer("reasoning").alias("x"))
     rows = r.collect()
+    assert len(rows) == 1000  # every row, also those whose label is not 0..4
     assert all(row.x == _py_extract(row.reasoning) for row in rows)
     hist = {}
-    for row in rows:
+    for row in (x for x in rows if 0 <= x.label <= 4):
         hist[row.x] = hist.get(row.x, 0) + 1
     # golden (FIXTURES.md, sf 0.01, letters ABCD)
     assert hist == {"": 243, "A": 276, "B": 339, "C": 53, "D": 60}
@@ -141,6 +143,25 @@ def test_hot_key_third_of_rows(spark):
     assert hot.where("not is_first").count() == 999
     assert f.where("k <> -1 and not is_first").count() == 0
     g = df.withColumn("grp", F.when(F.col("k") == -1, "hot").otherwise("cold"))
-    r = ranked(g, ["id"], int_bucket(F.col("id"), 128), ["grp"], "rn", max_keys=2, n_buckets=None)
+    r = ranked(g, ["id"], int_bucket(g, "id", 128), ["grp"], "rn", max_keys=2, n_buckets=None)
     hot_ranks = [row.rn for row in r.where("grp = 'hot'").orderBy("id").collect()]
     assert hot_ranks == list(range(1, 1001))
+
+
+def test_rank_keeps_null_keys_and_bounds_buckets_of_sparse_ids(spark):
+    rows = [(None, 1), (None, 2), ("g", None), ("g", 5), ("g", -9_000_000_000_000_000_000), ("g", 9_000_000_000_000_000_000)]
+    rows += [("h", (i * 0x9E3779B97F4A7C15) % (1 << 63)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, id long")
+    r = ranked(df, ["id"], int_bucket(df, "id", most=64), ["g"], "rn", max_keys=None, n_buckets=None)
+    w = Window.partitionBy("g").orderBy("id")
+    assert sorted(map(str, r.collect())) == sorted(map(str, df.withColumn("rn", F.row_number().over(w).cast("bigint")).collect()))
+    assert df.select(int_bucket(df, "id", most=64).alias("b")).distinct().count() <= 66
+
+
+def test_repeated_positions_do_not_multiply_rows(spark):
+    from mcqflow.operators.clean import classify
+    row = ("d", 1, "t", "q", ["a", "b"], 0)
+    rows = [row, ("d", 1, "t2", "q", ["a", "b"], 0), ("d", 1, "T", "q", ["a", "b"], 0), ("d", 2, "t", "q", ["a", "b"], 1)]
+    df = spark.createDataFrame(rows, "dataset string, index long, text string, question string, options array<string>, label long")
+    out = classify(df).collect()
+    assert len(out) == 4 and sum(r.reason == "duplicate_sample" for r in out) == 2
