@@ -161,7 +161,7 @@ def test_rank_keeps_null_keys_and_bounds_buckets_of_sparse_ids(spark):
 def test_repeated_positions_do_not_multiply_rows(spark):
     from mcqflow.operators.clean import classify
     row = ("d", 1, "t", "q", ["a", "b"], 0)
-    rows = [row, ("d", 1, "t2", "q", ["a", "b"], 0), ("d", 1, "T", "q", ["a", "b"], 0), ("d", 2, "t", "q", ["a", "b"], 1)]
+    rows = [row, ("d", 1, "t2", "q", ["a", "b"], 0), ("d", 1, " t ", "q", ["a", "b"], 0), ("d", 2, "t", "q", ["a", "b"], 1)]
     df = spark.createDataFrame(rows, "dataset string, index long, text string, question string, options array<string>, label long")
     out = classify(df).collect()
     assert len(out) == 4 and sum(r.reason == "duplicate_sample" for r in out) == 2
