@@ -51,6 +51,17 @@ def accuracy_by_type(df: DataFrame, label: str = "label") -> DataFrame:
     return overall.unionByName(per)
 
 
+def pair_responses(requests: DataFrame, responses: DataFrame, key: str = "index") -> DataFrame:
+    """Requests and recorded responses (key, attempt, response) joined on ``key``.
+    ``pair_status`` is paired, missing (no response) or extra (no request), so no row
+    of either side is lost; of several responses to one key the latest attempt counts."""
+    last = (responses.groupBy(key).agg(F.max(F.struct("attempt", "response")).alias("_r"))
+            .select(key, F.col("_r.response").alias("response"), F.lit(True).alias("_resp")))
+    req = requests.drop("response", "pair_status").withColumn("_req", F.lit(True))
+    status = F.when(F.col("_req").isNull(), "extra").when(F.col("_resp").isNull(), "missing").otherwise("paired")
+    return req.join(last, key, "full_outer").withColumn("pair_status", status).drop("_req", "_resp")
+
+
 def index_slice(df: DataFrame, start: int = 0, end: int | None = None, order: str = "index") -> DataFrame:
     """Rows at input positions [start, end); NULL end = to the end, 0 = none.
     Adds ``pos`` (0-based position) and ``slice_index`` = pos - start."""

@@ -8,12 +8,12 @@ from mcqflow.functions.answers import (CONCLUSION_MARKERS, STEP_COUNT_PATTERNS,
                                        answer_correct, answer_patterns, exact_answer_correct,
                                        extract_answer, has_conclusion, has_fields,
                                        has_step_marker, json_answer_correct, step_count)
-from mcqflow.operators.reasoning import accuracy_by_type, index_slice, validation_stats
+from mcqflow.operators.reasoning import accuracy_by_type, index_slice, pair_responses, validation_stats
 from mcqflow.plans.oracle_sql import MCQ, STRIP, with_ctes
 from mcqflow.plans.registry import register
 from mcqflow.schema import REASONING_FIELDS, REASONING_STRUCT
-from mcqflow.sources.fixtures import (load_mcq, read_table, with_analysis, with_json_response,
-                                      with_reasoning)
+from mcqflow.sources.fixtures import (load_mcq, read_table, recorded_responses, with_analysis,
+                                      with_json_response, with_reasoning)
 
 
 def _sq(s: str) -> str:
@@ -213,6 +213,25 @@ def q_accuracy_by_type(spark, sf):
     return accuracy_by_type(x)
 
 
+@register("offline_evaluation", with_ctes(MCQ, REASONING) + f""",
+resp AS (SELECT "index" AS i, 1 AS attempt, reasoning AS response FROM reasoning WHERE "index" % 11 <> 0
+  UNION ALL SELECT "index", 0, 'ANSWER: A' FROM reasoning WHERE "index" % 11 <> 0 AND "index" % 7 = 0
+  UNION ALL SELECT -"index" - 1, 0, reasoning FROM reasoning WHERE "index" % 13 = 0),
+last AS (SELECT i, response FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY attempt DESC) AS n FROM resp) WHERE n = 1),
+paired AS (SELECT coalesce(m."index", i) AS "index", label,
+    CASE WHEN m."index" IS NULL THEN 'extra' WHEN i IS NULL THEN 'missing' ELSE 'paired' END AS pair_status,
+    {extract_sql('response')} AS letter
+  FROM mcq m FULL OUTER JOIN last ON m."index" = i)
+SELECT "index", pair_status, letter, coalesce(letter <> '' AND ascii(letter) - 65 = label, false) AS correct FROM paired""")
+def q_offline_evaluation(spark, sf):
+    """Requests joined with separately recorded responses on ``index``."""
+    m = load_mcq(spark, sf)
+    x = pair_responses(m.select("index", "label"), recorded_responses(m))
+    letter = extract_answer("response")
+    return x.select("index", "pair_status", letter.alias("letter"),
+                    F.coalesce(answer_correct(letter, F.col("label")), F.lit(False)).alias("correct"))
+
+
 @register("index_slice", with_ctes(MCQ) + """
 SELECT "index", pos, pos - 100 AS slice_index FROM (
   SELECT "index", CAST(row_number() OVER (ORDER BY "index") - 1 AS BIGINT) AS pos FROM mcq) WHERE pos >= 100""")

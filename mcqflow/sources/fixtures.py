@@ -179,6 +179,18 @@ def with_reasoning(mcq: DataFrame) -> DataFrame:
     return mcq.withColumn("reasoning", expr)
 
 
+def recorded_responses(mcq: DataFrame) -> DataFrame:
+    """Responses as their own table (index, attempt, response): none for every 11th
+    request, a superseded first attempt for every 7th, and for every 13th one more
+    under an index that no request has."""
+    d = F.col("index")
+    row = lambda i, a, r: F.struct(i.alias("index"), F.lit(a).alias("attempt"), r.alias("response"))
+    rows = F.array(F.when(d % 11 != 0, row(d, 1, F.col("reasoning"))),
+                   F.when((d % 11 != 0) & (d % 7 == 0), row(d, 0, F.lit("ANSWER: A"))),
+                   F.when(d % 13 == 0, row(-d - 1, 0, F.col("reasoning"))))
+    return with_reasoning(mcq).select(F.inline(F.filter(rows, lambda x: x.isNotNull())))
+
+
 def with_analysis(mcq: DataFrame) -> DataFrame:
     """Recorded analysis responses: answered iff index % 10 != 9."""
     L = F.char(F.lit(65) + F.col("label"))

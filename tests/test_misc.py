@@ -81,3 +81,12 @@ def test_generation_retries_and_failures(spark):
         else:
             assert r.status == "failed" and r.failure_reason == "answer_mismatch" and r.attempts == 3
     assert {x.status for x in status_counts(g).collect()} <= {"ok", "failed"}
+
+
+def test_pair_responses_keeps_both_sides(spark):
+    from mcqflow.operators.reasoning import pair_responses
+    req = spark.createDataFrame([(1, 0), (2, 1), (3, 2), (None, 3)], "index long, label int")
+    resp = spark.createDataFrame([(1, 0, "old"), (1, 1, "new"), (2, 0, None), (9, 0, "x")], "index long, attempt int, response string")
+    got = {(r["index"], r["label"], r["response"], r["pair_status"]) for r in pair_responses(req, resp).collect()}
+    assert got == {(1, 0, "new", "paired"), (2, 1, None, "paired"), (3, 2, None, "missing"), (None, 3, None, "missing"), (9, None, "x", "extra")}
+    assert pair_responses(req.limit(0), resp.limit(0)).count() == 0
