@@ -36,6 +36,7 @@ from mcqflow.session import materialize
 MAX_FIT = 4000
 ROUNDS = 3
 SMOOTH = 0.01  # pseudo-count of every piece
+LONG = 40  # words of more characters are summed with scaling
 UNKNOWN = 1e-7  # probability of a character outside the vocabulary
 MARK = "▁"
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -121,7 +122,7 @@ def forward(lat, c, prob):
         u = np.flatnonzero(unknown[:, j - 1])
         if len(u):
             a[u] += alpha[j - 1, u] * UNKNOWN
-        if n > 40 and j % 8 == 0:  # long words: rescale the columns that later ones read
+        if n > LONG and j % 8 == 0:  # rescale the columns that later ones read
             top = np.maximum(a, 1e-290)
             lo = max(0, j - lat.longest)
             alpha[lo:j + 1] /= top
@@ -151,10 +152,35 @@ def word_scores(lat, words, prob):
     return out
 
 
+def _expected_long(lat, c, counts, prob, into):
+    """As ``expected`` for long words, in logarithms, so that no sum underflows."""
+    edges, unknown = lat.edges(c)
+    n_rows, n = c.shape
+    logp, none = np.log(prob), np.log(UNKNOWN)
+    a = np.full((n + 1, n_rows), -np.inf)
+    b = a.copy()
+    a[0] = b[n] = 0.0
+    for j in range(1, n + 1):
+        for size, rows, piece in edges[j]:  # a row has one piece of a size at a column
+            a[j, rows] = np.logaddexp(a[j, rows], a[j - size, rows] + logp[piece])
+        u = unknown[:, j - 1]
+        a[j, u] = np.logaddexp(a[j, u], a[j - 1, u] + none)
+    for j in range(n, 0, -1):
+        for size, rows, piece in edges[j]:
+            b[j - size, rows] = np.logaddexp(b[j - size, rows], b[j, rows] + logp[piece])
+        u = unknown[:, j - 1]
+        b[j - 1, u] = np.logaddexp(b[j - 1, u], b[j, u] + none)
+    for j in range(1, n + 1):
+        for size, rows, piece in edges[j]:
+            x = np.exp(a[j - size, rows] + logp[piece] + b[j, rows] - a[n, rows])
+            into += np.bincount(piece, x * counts[rows], minlength=len(into))
+
+
 def expected(lat, words, counts, prob, into):
     """Add the expected piece counts of counted words of one language."""
     for idx, c in _blocks(words):
-        if c.shape[1] > 40:  # counting needs no words of this length
+        if c.shape[1] > LONG:
+            _expected_long(lat, c, counts[idx], prob[:, 0], into)
             continue
         edges, unknown, alpha, _ = forward(lat, c, prob)
         n = c.shape[1]
