@@ -138,7 +138,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """Statistics, posterior and verdict of every document."""
     stats = materialize(statistics(docs, id_col, text_col), "quality-stats")
     m = materialize(estimates(stats), "quality-model")  # one row
-    df = stats.crossJoin(F.broadcast(m))  # one row on the right: no pairs
+    df = stats.withColumn("m", m.scalar())
     df = df.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     df = df.withColumn("__p", _posterior(votes(), F.col("m")))
     return df.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
