@@ -218,6 +218,8 @@ def _writer(path: str, folder: str, end_id: int, dtype: str):
                 for lo, hi in W.slabs(W.text_bytes(b.column(1))[1], CHUNK_BYTES):
                     c = b.slice(lo, hi - lo)
                     ids, n = _with_end(*enc.encode_rows(c.column(1)), end_id)
+                    if len(ids) and int(ids.max()) > np.iinfo(dtype).max:
+                        raise ValueError(f"token id {int(ids.max())} does not fit {dtype}")
                     out.write(ids.astype(dtype).tobytes())
                     docs.append(pc.fill_null(c.column(0), 0).to_numpy(zero_copy_only=False).astype("<i8"))
                     valid.append(pc.is_valid(c.column(0)).to_numpy(zero_copy_only=False).astype("<i8"))
