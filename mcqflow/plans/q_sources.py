@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mcqflow.plans.oracle_sql import MCQ, LOWER_STRIP, STRIP, with_ctes
+from mcqflow.operators.clean import classify, reject_counts
+from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, LOWER_STRIP, STRIP, with_ctes
 from mcqflow.plans.registry import register
 from mcqflow.session import scratch_path
 from mcqflow.sources.fixtures import load_mcq
 from mcqflow.sources.jsonl import load_validated, loader_report
-from mcqflow.sources.native import (read_arc, read_balacopa, read_boolean, read_logiqa, read_race,
+from mcqflow.sources.native import (read_arc, read_balacopa, read_boolean, read_catalogue, read_logiqa, read_race,
                                     read_reclor, read_winogrande)
 
 OUT = ["doc_id", "text", "question", "options", "label"]
@@ -194,3 +195,35 @@ def q_loader_line_numbers(spark, sf):
     r = ranked(v, ["doc_id"], int_bucket(v, "doc_id"), ["file"], "_expect", max_keys=None, n_buckets=None)
     return (r.where(F.col("reason").isNotNull())
             .select("doc_id", "reason", (F.col("line_number") == F.col("_expect")).alias("line_ok")))
+
+
+@register("catalogue_read", with_ctes(MCQ) + """
+SELECT 'race' AS dataset, count(*) AS n, count(*) AS n_index, 0 AS first_index, count(*) - 1 AS last_index FROM mcq
+UNION ALL SELECT 'logiqa', count(*), count(*), 0, count(*) - 1 FROM mcq""")
+def q_catalogue_read(spark, sf):
+    """S13 + W1: two native sources by catalogue; the positions are gapless."""
+    return (_catalogue(spark, sf).groupBy("dataset")
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("index").alias("n_index"),
+                 F.min("index").alias("first_index"), F.max("index").alias("last_index")))
+
+
+@register("pipeline_convert", with_ctes(MCQ, CLASSIFIED) + """
+SELECT d.dataset, coalesce(reason, 'VALID') AS reason, count(*) AS n
+FROM classified, (VALUES ('race'), ('logiqa')) AS d(dataset) GROUP BY 1, 2""")
+def q_pipeline_convert(spark, sf):
+    """E1 on native files: the adapter rows in two formats, read back by
+    catalogue, cleaned and counted."""
+    return reject_counts(classify(_catalogue(spark, sf)), ["dataset"])
+
+
+def _catalogue(spark, sf):
+    """Adapter rows as RACE Parquet and LogiQA JSON lines, in doc_id order, read by catalogue.
+    A RACE answer has no letter where the label is negative, so both files keep labels from 0 up
+    and write the others as '?' and -1."""
+    base, m = scratch_path(spark, "catalogue"), _mcq(spark, sf)
+    m = m.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    (m.select(F.col("text").alias("article"), "question", "options",
+              F.when(F.col("label") >= 0, F.char(F.lit(65) + F.col("label"))).otherwise(F.lit("?")).alias("answer"))
+     .write.parquet(f"{base}/race"))
+    m.select("text", "question", "options", F.col("label").alias("answer")).write.option("ignoreNullFields", "false").json(f"{base}/logiqa")
+    return read_catalogue(spark, [("race", "race", f"{base}/race"), ("logiqa", "logiqa", f"{base}/logiqa")])

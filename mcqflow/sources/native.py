@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mcqflow.functions.text import letter_label
+from mcqflow.operators.index import ranked
 
 # Question texts the WinoGrande and BalaCOPA converters add.
 WINOGRANDE_QUESTION = "Which of the following options is the most appropriate one to fill in the blank?"
@@ -140,6 +141,24 @@ def read_tagged(spark: SparkSession, directory: str, glob: str = "*.jsonl",
     return df
 
 
+# Where a row stands in its source: file, split of the file, row of the split.
+def _place() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_blk"),
+            F.monotonically_increasing_id().alias("_mid")]
+
+
+def read_indexed(spark: SparkSession, fmt: str, path: str, source: str) -> DataFrame:
+    """A source's rows with ``index`` (0-based position over its files in
+    path order) and ``source`` (its name), as the cleaning step takes them."""
+    if fmt == "mcq":
+        df = read_mcq_jsonl(spark, path).select("text", "question", "options", "label", *_place())
+    else:
+        df = READERS[fmt](spark, path, keep=_place())
+    at = ["_file", "_blk", "_mid"]
+    df = ranked(df, at, F.struct("_file", "_blk"), (), "_rn", max_keys=None, n_buckets=None)
+    return df.select((F.col("_rn") - 1).alias("index"), "text", "question", "options", "label", F.lit(source).alias("source"))
+
+
 READERS: dict[str, Callable[..., DataFrame]] = {
     "race": read_race,
     "arc": read_arc,
@@ -167,11 +186,11 @@ def check_catalogue(spark: SparkSession, entries: Sequence[tuple[str, str, str]]
 
 
 def read_catalogue(spark: SparkSession, entries: Sequence[tuple[str, str, str]], mode: str = "skip") -> DataFrame:
-    """S13 + U1: read every present source with its converter and union them
-    with a ``dataset`` column (the catalogue name)."""
+    """S13 + U1: read every present source with its converter and union them,
+    with ``index`` and ``source`` and a ``dataset`` column (the catalogue name)."""
     present, _ = check_catalogue(spark, entries, mode)
     out = None
     for name, fmt, path in present:
-        df = READERS[fmt](spark, path).withColumn("dataset", F.lit(name))
+        df = read_indexed(spark, fmt, path, name).withColumn("dataset", F.lit(name))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out

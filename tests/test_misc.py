@@ -27,6 +27,8 @@ def test_catalogue_skip_and_fail(spark, tmp_path):
     present, missing = check_catalogue(spark, entries)
     assert [p[0] for p in present] == ["a"] and [m[0] for m in missing] == ["b"]
     assert read_catalogue(spark, entries).collect()[0].dataset == "a"
+    row = read_catalogue(spark, entries).collect()[0]
+    assert (row["index"], row.source) == (0, "a")
     try:
         check_catalogue(spark, entries, mode="fail")
         assert False
