@@ -218,8 +218,7 @@ def q_pipeline_convert(spark, sf):
 
 def _catalogue(spark, sf):
     """Adapter rows as RACE Parquet and LogiQA JSON lines, in doc_id order, read by catalogue.
-    A RACE answer has no letter where the label is negative, so both files keep labels from 0 up
-    and write the others as '?' and -1."""
+    A negative label has no letter; RACE writes '?' for it, which reads as out of range too."""
     base, m = scratch_path(spark, "catalogue"), _mcq(spark, sf)
     m = m.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     (m.select(F.col("text").alias("article"), "question", "options",
