@@ -6,9 +6,12 @@ segmentations into pieces, found by the forward algorithm, and a text's score
 is the product over its words (words marked at their start, as the vocabulary
 marks them).  The language with the greatest posterior wins.
 
-Learning: word counts by language of a bounded sample (``MAX_FIT`` documents
-expected, chosen by a hash of doc_id among rows with a language whose
-crc32(doc_id as text) mod 3 is not 1), then expectation-maximisation: expected
+Learning: labelled rows (a language, a doc_id, a letter in the text, and
+crc32(doc_id as text) mod 3 not 1) are counted by language; the counts are the
+prior.  Word counts come from a bounded sample of each language (``QUOTA``
+documents of it expected, all if it has no more, and always the row with the
+least hash of doc_id, so no labelled language is without words), then
+expectation-maximisation: expected
 piece counts from the forward and backward sums, by Spark over the counted
 words; only the sums (languages x vocabulary) reach the driver.
 
@@ -33,7 +36,7 @@ from pyspark.sql import types as T
 from mcqflow.llm import words as W
 from mcqflow.session import materialize
 
-MAX_FIT = 4000
+QUOTA = 1000  # documents of each language in the fitted sample, in expectation
 ROUNDS = 3
 SMOOTH = 0.01  # pseudo-count of every piece
 LONG = 40  # words of more characters are summed with scaling
@@ -130,14 +133,14 @@ def forward(lat, c, prob):
     return edges, unknown, alpha, np.log(np.maximum(alpha[n], 1e-290)) + scale
 
 
-def _blocks(words):
+def _blocks(words, langs=1):
     """Marked words of equal length as code-point matrices: (row numbers, matrix)."""
     lens = np.array([len(w) for w in words], np.int64) + 1
     order = np.argsort(lens, kind="stable")
     cut = np.flatnonzero(np.diff(lens[order])) + 1
     for idx in np.split(order, cut) if len(order) else []:
         n = int(lens[idx[0]])
-        step = max(1, 400_000 // n)
+        step = max(1, 400_000 // (n * max(1, langs // 4)))  # bounds the memory
         for a in range(0, len(idx), step):
             part = idx[a:a + step]
             flat = np.frombuffer("".join([MARK + words[i] for i in part.tolist()]).encode("utf-32-le"), np.uint32)
@@ -147,7 +150,7 @@ def _blocks(words):
 def word_scores(lat, words, prob):
     """log P(word | language), words x languages."""
     out = np.zeros((len(words), prob.shape[1]))
-    for idx, c in _blocks(words):
+    for idx, c in _blocks(words, prob.shape[1]):
         out[idx] = forward(lat, c, prob)[3]
     return out
 
@@ -242,17 +245,20 @@ def _expect_task(path, langs, probs):
     return run
 
 
-def train(docs: DataFrame, path: str, max_fit: int = MAX_FIT, rounds: int = ROUNDS) -> dict:
-    """Piece probabilities and prior of every language."""
+def train(docs: DataFrame, path: str, quota: int = QUOTA, rounds: int = ROUNDS) -> dict:
+    """Piece probabilities and prior of every language that has a labelled row."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
-    own = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold != 1))
-    n = own.select("doc_id").count()
-    if n > max_fit:
-        own = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_fit / n))
+    own = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold != 1) & has_letter())
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    rows = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("least")).collect()  # one row a language
+    share = {r.lang: r.n for r in rows}
+    langs = sorted(share)
+    upto = [(r.lang, max(r.least, int((1 << 30) * min(1.0, quota / r.n)) - 1)) for r in rows]
+    limits = docs.sparkSession.createDataFrame(upto, "lang string, __upto long")
+    # one row a language, a proven broadcast bound
+    own = own.join(F.broadcast(limits), "lang").where(spot <= F.col("__upto"))
     counted = materialize(own.select("lang", "text").mapInArrow(_count_task, "lang string, word string, n long")
                           .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
-    share = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row a language
-    langs = sorted(share)
     size = len(vocabulary(path))
     probs = np.full((size, len(langs)), 1.0 / size)
     for _ in range(rounds if langs else 0):
@@ -279,7 +285,7 @@ def _score_task(path, model, schema):
                 buf, off = W.text_bytes(c.column("__text"))
                 s, e, h, first = W.scan(buf, off)
                 keys, at, inv = np.unique(h, return_index=True, return_inverse=True)
-                if len(known) > 1_500_000:  # bounds the memory
+                if len(known) * len(langs) > 6_000_000:  # bounds the memory
                     known, scores = known[:0], scores[:0]
                 pos = np.searchsorted(known, keys)
                 have = np.zeros(len(keys), bool)

@@ -135,6 +135,18 @@ def test_language_held_out_and_edges(spark):
     assert langid.identify(spark.createDataFrame(EDGE, DOCS), none, path).where("lang_pred <> 'und'").count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(40000)]
+    rows += [(50001, "der hund und die katze", "de"), (50004, "le chien et le chat", "fr"), (50002, "123", "xx"), (50003, None, "yy")]
+    path = queries.vocabulary("piece_bpe_32k.model")
+    model = langid.train(spark.createDataFrame(rows, DOCS + ", lang string"), path, rounds=1)
+    assert model["langs"] == ["de", "en", "fr"]
+    n = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(40000))
+    assert np.allclose(model["prior"], np.array([1, n, 1]) / (n + 2))
+    got = langid.identify(spark.createDataFrame([(1, "die katze"), (2, "le chat"), (3, "the mat")], DOCS), model, path).collect()
+    assert [r.lang_pred for r in got] == ["de", "fr", "en"]
+
+
 def test_quality_held_out_and_edges(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     got = [r for r in queries.QUERIES["op7_quality_classifier"](spark, "/root/testdata/sf0.01").collect() if r.held_out and r.doc_id in labels]
