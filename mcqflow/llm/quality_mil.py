@@ -10,8 +10,9 @@ document labels alone (binary cross entropy, Adam, fixed seed).
 
 The model is fitted on a bounded sample of labelled rows (``MAX_FIT`` documents
 expected, chosen by a hash of doc_id, so the choice does not depend on the
-partitioning) whose crc32(doc_id as text) mod 5 is not 0, at most
-``MAX_BAG`` evenly spaced passages each while fitting; scoring reads every
+partitioning) whose crc32(doc_id as text) mod 5 is not 0, with every passage
+of a sampled document; if these have more than ``MAX_PASSAGES`` passages, the
+hash range is narrowed to hold so many in expectation.  Scoring reads every
 passage of every document.  Only text enters a score.
 
 Defined cases: null and empty texts score as a bag of one zero passage; null
@@ -31,10 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mcqflow.llm import words as W
+from mcqflow.session import materialize
 
 PASSAGE = 32
 MAX_FIT = 6000
-MAX_BAG = 48
+MAX_PASSAGES = 400_000  # 136 bytes each on the driver, some copies while fitting
 HIDDEN, GATE = 24, 12
 EPOCHS = 60
 THRESHOLD = 0.3
@@ -165,34 +167,33 @@ def score(p, x, pfirst):
     return _forward(p, z, pfirst)[0].astype(np.float64)
 
 
-def _thin(x, pfirst, limit):
-    """At most ``limit`` evenly spaced passages of each row."""
-    n = np.diff(pfirst)
-    pick = [a + np.unique(np.linspace(0, k - 1, min(k, limit)).astype(np.int64)) for a, k in zip(pfirst[:-1], n)]
-    return x[np.concatenate(pick)] if pick else x, np.concatenate(([0], np.cumsum([len(q) for q in pick]))).astype(np.int64)
-
-
 def _encode_task(batches):
     for b in batches:
         buf, off = W.text_bytes(b.column("text"))
         for lo, hi in W.slabs(off):
-            x, pf = _thin(*encode(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]), MAX_BAG)
+            x, pf = encode(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id").slice(lo, hi - lo), "quality": b.column("quality").slice(lo, hi - lo).cast(pa.int32()),
                 "bag": pa.array([x[a:z].astype("<f4").tobytes() for a, z in zip(pf[:-1], pf[1:])], pa.binary())})
 
 
-def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, holdout_mod: int = 5) -> dict:
+def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, holdout_mod: int = 5, max_passages: int = MAX_PASSAGES) -> dict:
     """Fit on the bounded sample; the driver receives at most the sample's bags."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % holdout_mod
     own = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (fold != 0))
            .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     n = own.count()
+    spot, upto = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), 1 << 30
     if n > max_fit:  # keep a hash range that holds max_fit rows in expectation
-        own = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_fit / n))
+        upto = int(upto * max_fit / n)
+        own = own.where(spot < upto)
     # the sample's ids and labels: about max_fit rows of 12 bytes, a proven broadcast bound
-    rows = (docs.select("doc_id", "text").join(F.broadcast(own), "doc_id")
-            .mapInArrow(_encode_task, "doc_id long, quality int, bag binary").collect())
+    made = materialize(docs.select("doc_id", "text").join(F.broadcast(own), "doc_id")
+                       .mapInArrow(_encode_task, "doc_id long, quality int, bag binary"), "quality-bags")
+    passages = (made.agg(F.sum(F.octet_length("bag").cast("long"))).first()[0] or 0) // (4 * N_FEATURES)
+    if passages > max_passages:  # fewer documents, each whole
+        made = made.where(spot < int(upto * max_passages / passages))
+    rows = made.collect()
     rows.sort(key=lambda r: (r.doc_id, r.bag))
     bags = [np.frombuffer(r.bag, "<f4").reshape(-1, N_FEATURES) for r in rows]
     y = np.array([float(r.quality > 0) for r in rows], np.float32)

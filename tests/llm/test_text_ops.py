@@ -164,6 +164,18 @@ def test_quality_gradient_is_right():
     assert ((quality_mil.score(p, x, pf) > 0.5) == (y > 0.5)).all()
 
 
+def test_quality_is_fitted_on_every_passage(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality_mil, "fit", lambda x, pf, y: seen.update(n=np.diff(pf).tolist(), y=y.tolist()))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, "word " * (32 * 200 if k == 3 else 40)) for k, i in enumerate(ids)], DOCS)
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    quality_mil.train(docs, labels)
+    assert seen["n"] == [200 if k == 3 else 2 for k in range(len(ids))]
+    quality_mil.train(docs.where(f"doc_id <> {ids[3]}"), labels, max_passages=2 * len(ids) // 4)
+    assert set(seen["n"]) == {2} and 0 < len(seen["n"]) < len(ids) // 2
+
+
 def test_token_store_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
     path = queries.vocabulary("word_bpe_49k.json")
