@@ -18,8 +18,9 @@ passage of every document.  Only text enters a score.
 Defined cases: null and empty texts score as a bag of one zero passage; null
 quality labels and null doc_ids are not used for fitting; without labelled
 rows of both classes the score is the share of label 1 (one half without any);
-repeated label rows of a document: the greatest quality counts; extra columns
-pass through, columns named score or predicted are replaced.
+repeated label rows of a document: the greatest quality counts; repeated
+doc_ids: the text with the least hash is used for fitting, null texts last,
+and every row is scored; extra columns pass through, columns named score or predicted are replaced.
 """
 
 from __future__ import annotations
@@ -188,7 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, holdout_mo
         upto = int(upto * max_fit / n)
         own = own.where(spot < upto)
     # the sample's ids and labels: about max_fit rows of 12 bytes, a proven broadcast bound
+    # one text a doc_id, so a repeated id does not rule the fit or fill the driver
+    first = F.struct(F.col("text").isNull(), F.xxhash64("text"))
     made = materialize(docs.select("doc_id", "text").join(F.broadcast(own), "doc_id")
+                       .groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min_by("text", first).alias("text"))
                        .mapInArrow(_encode_task, "doc_id long, quality int, bag binary"), "quality-bags")
     passages = (made.agg(F.sum(F.octet_length("bag").cast("long"))).first()[0] or 0) // (4 * N_FEATURES)
     if passages > max_passages:  # fewer documents, each whole

@@ -176,6 +176,20 @@ def test_quality_is_fitted_on_every_passage(spark, monkeypatch):
     assert set(seen["n"]) == {2} and 0 < len(seen["n"]) < len(ids) // 2
 
 
+def test_quality_fits_one_text_a_doc_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_mil, "fit", lambda x, pf, y: seen.append((x, np.diff(pf).tolist(), y.tolist())))
+    a, b = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5][:2]
+    rows = [(a, "one two")] * 300 + [(a, "word " * 40), (a, None), (b, "word " * 100)]
+    labels = spark.createDataFrame([(a, 1), (b, 0)], "doc_id long, quality int")
+    for parts in (1, 7):
+        quality_mil.train(spark.createDataFrame(rows, DOCS).repartition(parts), labels)
+    assert [sum(n) for _, n, _ in seen] in ([5, 5], [6, 6]) and seen[0][1:] == seen[1][1:] and seen[0][2] == [1, 0]
+    assert np.array_equal(seen[0][0], seen[1][0])
+    quality_mil.train(spark.createDataFrame([(a, None), (a, "one two"), (b, None)], DOCS), labels)
+    assert seen[2][1] == [1, 1] and seen[2][0][0].any() and not seen[2][0][1].any()
+
+
 def test_token_store_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
     path = queries.vocabulary("word_bpe_49k.json")
