@@ -9,8 +9,8 @@ diagonal bands of width 2 (k + 1) laid at every (k + 1)-th diagonal.  Bands
 that reach the bound are aligned within the band (edit distance, free ends in
 the document); those within k edits are matches.
 
-Documents and items are compared in lower case with runs of white space as one
-space; positions are characters of that form.  The whole text is scanned.
+Documents and items are compared in lower case with runs of white space (that
+of ``str.split``) as one space; positions are characters of that form.  The whole text is scanned.
 
 The benchmark is processed in blocks of bounded size (``BLOCK_CHARS``
 characters expected): its size is counted first, a block's index travels with
@@ -41,11 +41,14 @@ MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.Stru
                                   T.StructField("end", T.LongType()), T.StructField("distance", T.IntegerType())]))
 _A = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
+# white space of str.split that W._WS has not
+_WIDE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def normalized(col):
     """(code points, row offsets) of texts in the compared form."""
-    buf, off = W.text_bytes(pc.utf8_lower(col.cast(pa.large_string())))
+    col = pc.replace_substring_regex(col.cast(pa.large_string()), _WIDE, " ")
+    buf, off = W.text_bytes(pc.utf8_lower(col))
     if not len(buf):
         return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
     ws = W._WS[buf]
@@ -84,9 +87,10 @@ class Index:
 
     def __init__(self, item_ids, texts, q=Q, rate=EDIT_RATE):
         self.q = q
-        c, off = normalized(pa.array([None if t is None else " ".join(t.split()) for t in texts], pa.string()))
+        c, off = normalized(pa.array(texts, pa.string()))
         ids, self.text, self.k, self.need = [], [], [], []
         for i, a, z in zip(item_ids, off[:-1], off[1:]):
+            a, z = a + (a < z and c[a] == 0x20), z - (a + 1 < z and c[z - 1] == 0x20)
             m = int(z - a)
             k = int(rate * m)
             while k and m + 1 - q - k * q < 1:

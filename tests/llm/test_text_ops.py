@@ -102,6 +102,16 @@ def test_decontamination_against_alignment(spark):
     assert decontam.decontaminate(spark.createDataFrame(rows, DOCS), bench.limit(0)).count() == len(rows)
 
 
+def test_decontamination_folds_all_white_space(spark):
+    item = "".join(f"列{k}\u3000\u3000\xa0値\u2028{k}" for k in range(8))
+    plain = " ".join(item.split())
+    rows = [(1, item), (2, "前 " + plain + " 後"), (3, "x" + item), (4, "列 値")]
+    for benchmark in (item, plain, "\u3000 " + item + "\u2003\n"):
+        got = decontam.report(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(7, benchmark)], "item_id long, text string")).collect()
+        assert sorted((r.doc_id, r.start, r.end, r.distance) for r in got) == [(1, 0, len(plain), 0), (2, 2, 2 + len(plain), 0), (3, 1, 1 + len(plain), 0)]
+    assert {ch for ch in map(chr, range(0x110000)) if ch.isspace()} == {ch for ch in map(chr, range(0x110000)) if re.match(decontam._WIDE, ch) or WORD.match(ch) is None}
+
+
 def test_language_words_sum_over_all_segmentations():
     path = queries.vocabulary("piece_bpe_32k.model")
     pieces = langid.vocabulary(path)
