@@ -7,7 +7,8 @@ deletions shift a match over at most k + 1 neighbouring diagonals.  So a match
 shares at least m + 1 - q - k q q-grams with the document inside one of the
 diagonal bands of width 2 (k + 1) laid at every (k + 1)-th diagonal.  Bands
 that reach the bound are aligned within the band (edit distance, free ends in
-the document); those within k edits are matches.
+the document); those within k edits are matches.  Items shorter than q
+characters have no q-gram: their whole text is looked up and matches exactly.
 
 Documents and items are compared in lower case with runs of white space (that
 of ``str.split``) as one space; positions are characters of that form.  The whole text is scanned.
@@ -17,8 +18,8 @@ characters expected): its size is counted first, a block's index travels with
 the tasks, and each block is one pass over the documents.  Nothing is shuffled.
 
 Defined cases: null and empty texts match nothing; items with null or blank
-text are ignored, items shorter than q characters cannot be told from chance
-and are ignored; an item whose bound is not positive gets the largest edit
+text are ignored; an item shorter than q characters matches wherever its text
+stands, also inside a word; an item whose bound is not positive gets the largest edit
 budget at which it is; equal items are reported each; repeated documents are
 judged each; extra columns pass through, a column named matches is replaced.
 """
@@ -89,17 +90,26 @@ class Index:
         self.q = q
         c, off = normalized(pa.array(texts, pa.string()))
         ids, self.text, self.k, self.need = [], [], [], []
+        short = {}  # by length: (item_id, text)
         for i, a, z in zip(item_ids, off[:-1], off[1:]):
             a, z = a + (a < z and c[a] == 0x20), z - (a + 1 < z and c[z - 1] == 0x20)
             m = int(z - a)
             k = int(rate * m)
             while k and m + 1 - q - k * q < 1:
                 k -= 1
-            if m >= q:
+            if 0 < m < q:
+                short.setdefault(m, []).append((i, c[a:z]))
+            elif m:
                 ids.append(i)
                 self.text.append(c[a:z])
                 self.k.append(k)
                 self.need.append(m + 1 - q - k * q)
+        self.short = []  # (length, sorted hashes, item numbers, their texts); numbers go on after the long items
+        for m, own in sorted(short.items()):
+            h = np.concatenate([_qgrams(t, m) for _, t in own])
+            order = np.argsort(h, kind="stable")
+            self.short.append((m, h[order], len(ids) + order, np.stack([own[x][1] for x in order])))
+            ids.extend(i for i, _ in own)
         self.ids = ids
         self.m = np.array([len(t) for t in self.text], np.int64)
         self.k = np.array(self.k, np.int64)
@@ -149,6 +159,27 @@ class Index:
         good = lead[count >= self.need[item[lead]]]
         return row[good], item[good], band[good] * w[good]
 
+    def exact(self, c, off):
+        """Places of the short items in a slab, without overlaps of one item: (row, item, start, end)."""
+        for m, keys, item, text in self.short:
+            h = _qgrams(c, m)
+            lo = np.searchsorted(keys, h)
+            at = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == h)
+            row = np.searchsorted(off, at, "right") - 1
+            inside = at + m <= off[row + 1]
+            at, row = at[inside], row[inside]
+            n = np.searchsorted(keys, h[at], "right") - lo[at]
+            x = W.gather(np.arange(len(keys)), lo[at], n)
+            at, row = np.repeat(at, n), np.repeat(row, n)
+            same = np.ones(len(at), bool)
+            for j in range(m):
+                same &= c[at + j] == text[x, j]
+            free = {}
+            for r, y, s in zip(row[same].tolist(), item[x[same]].tolist(), (at - off[row])[same].tolist()):
+                if s >= free.get((r, y), 0):
+                    free[r, y] = s + m
+                    yield r, y, s, s + m
+
     def align(self, c, off, row, item, diag):
         """Banded alignment of the regions: (distance, start, end) in the row."""
         k = self.k[item]
@@ -191,11 +222,14 @@ class Index:
 def _search(index, col):
     """Matches of every row of a text column: lists of (item_id, start, end, distance)."""
     out = [[] for _ in range(len(col))]
+    short = [[] for _ in range(len(col))]
     if not len(index.ids) or not len(col):
         return out
     raw_off = W.text_bytes(col)[1]
     for lo, hi in W.slabs(raw_off):
         c, off = normalized(col.slice(lo, hi - lo))
+        for x, *found in index.exact(c, off):
+            short[lo + x].append((*found, 0))
         row, item, diag = index.regions(c, off)
         for a in range(0, len(row), 256):
             r, it, dg = row[a:a + 256], item[a:a + 256], diag[a:a + 256]
@@ -204,13 +238,13 @@ def _search(index, col):
                 if v <= index.k[y]:
                     out[lo + x].append((int(y), int(max(0, s)), int(e), int(v)))
     for r, found in enumerate(out):
-        if not found:
+        if not found and not short[r]:
             continue
         kept = []  # neighbouring bands find the same passage: the closest one stays
         for y, s, e, v in sorted(set(found), key=lambda f: (f[0], f[3], f[1], f[2])):
             if not any(y == z and s < b and a < e for z, a, b, _ in kept):
                 kept.append((y, s, e, v))
-        out[r] = sorted((index.ids[y], s, e, v) for y, s, e, v in kept)
+        out[r] = sorted((index.ids[y], s, e, v) for y, s, e, v in kept + short[r])
     return out
 
 

@@ -102,6 +102,22 @@ def test_decontamination_against_alignment(spark):
     assert decontam.decontaminate(spark.createDataFrame(rows, DOCS), bench.limit(0)).count() == len(rows)
 
 
+def test_decontamination_finds_items_shorter_than_a_gram(spark):
+    items = ["日本の首都は何処ですか", "aa", "Q", "two  words", "aa", "abcdefghijkl", "aaab"]
+    rows = [(1, "問：日本の首都は何処ですか。"), (2, "xaaaaab"), (3, "日本の首都は"), (4, "one two"), (5, "two"), (6, "words two\nWords q"), (7, "abcdefghijk"), (8, "abcdefghijkl"), *EDGE[:3]]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    want = set()
+    for d, t in rows:
+        t = " ".join((t or "").split()).lower()
+        for k, p in enumerate(items):
+            p = " ".join(p.split()).lower()
+            want |= {(d, k, m.start(), m.end(), 0) for m in re.finditer(re.escape(p), t)}
+    for block in (4_000_000, 10):
+        got = decontam.find_matches(spark.createDataFrame(rows, DOCS), bench, block_chars=block).collect()
+        assert sorted((r.doc_id, *m) for r in got for m in r.matches) == sorted(want)
+    assert decontam.decontaminate(spark.createDataFrame(rows, DOCS), bench).select("doc_id").where("doc_id < 900").collect() == [(3,), (4,), (5,), (7,)]
+
+
 def test_decontamination_folds_all_white_space(spark):
     item = "".join(f"列{k}\u3000\u3000\xa0値\u2028{k}" for k in range(8))
     plain = " ".join(item.split())
