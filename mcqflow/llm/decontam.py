@@ -14,8 +14,11 @@ Documents and items are compared in lower case with runs of white space (that
 of ``str.split``) as one space; positions are characters of that form.  The whole text is scanned.
 
 The benchmark is processed in blocks of bounded size (``BLOCK_CHARS``
-characters expected): its size is counted first, a block's index travels with
-the tasks, and each block is one pass over the documents.  Nothing is shuffled.
+characters expected): its size is counted first, and a block's index travels
+with the tasks.  One block is one pass over the documents, nothing is shuffled.
+For more blocks the documents are written once with a row number; each block is
+a pass of its own that ends with its matches (row number, matches) written, so
+one index lives at a time, and the matches are joined to the rows at the end.
 
 Defined cases: null and empty texts match nothing; items with null or blank
 text are ignored; an item shorter than q characters matches wherever its text
@@ -26,6 +29,8 @@ judged each; extra columns pass through, a column named matches is replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mcqflow.llm import words as W
+from mcqflow.session import materialize
 
 Q = 12
 EDIT_RATE = 0.05
@@ -248,18 +254,29 @@ def _search(index, col):
     return out
 
 
-def _task(index, text_col, schema, more):
+def _structs(found):
+    return [{"item_id": i, "start": s, "end": e, "distance": v} for i, s, e, v in found]
+
+
+def _task(index, text_col, schema):
     def run(batches):
         for b in batches:
-            new = [[{"item_id": i, "start": s, "end": e, "distance": v} for i, s, e, v in f]
-                   for f in _search(index, b.column(text_col))]
-            if more:
-                new = [(old or []) + f for old, f in zip(b.column("matches").to_pylist(), new)]
-            made = pa.array(new, schema.field("matches").type)
+            made = pa.array([_structs(f) for f in _search(index, b.column(text_col))], schema.field("matches").type)
             yield pa.RecordBatch.from_arrays([made if f.name == "matches" else b.column(f.name).cast(f.type) for f in schema], schema=schema)
     return run
 
 
+def _block_task(index, schema):
+    """Only the rows with a match: (__at, matches)."""
+    def run(batches):
+        for b in batches:
+            found = _search(index, b.column("__text"))
+            hit = [r for r, f in enumerate(found) if f]
+            yield pa.RecordBatch.from_arrays([b.column("__at").take(pa.array(hit, pa.int64())),
+                                              pa.array([_structs(found[r]) for r in hit], schema.field("matches").type)], schema=schema)
+    return run
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", q: int = Q, rate: float = EDIT_RATE,
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` plus ``matches``: array of (item_id, start, end, distance)."""
@@ -268,14 +285,23 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     chars = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
     docs = docs.drop("matches")
-    schema = T.StructType([*docs.schema.fields, T.StructField("matches", MATCH)])
-    for k in range(blocks):
-        # about block_chars characters
+
+    def block(k):  # about block_chars characters
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         own.sort(key=lambda r: (r.item_id is None, r.item_id, r.text))
-        index = Index([r.item_id for r in own], [r.text for r in own], q, rate)
-        docs = docs.mapInArrow(_task(index, text_col, to_arrow_schema(schema), k > 0), schema)
-    return docs
+        return Index([r.item_id for r in own], [r.text for r in own], q, rate)
+
+    if blocks == 1:
+        schema = T.StructType([*docs.schema.fields, T.StructField("matches", MATCH)])
+        return docs.mapInArrow(_task(block(0), text_col, to_arrow_schema(schema)), schema)
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("__at"), F.struct(*docs.columns).alias("__doc")), "leak-rows")
+    texts = rows.select("__at", F.col("__doc")[text_col].alias("__text"))
+    schema = T.StructType([T.StructField("__at", T.LongType()), T.StructField("matches", MATCH)])
+    parts = [materialize(texts.mapInArrow(_block_task(block(k), to_arrow_schema(schema)), schema), "leaks")
+             for k in range(blocks)]
+    leaks = (reduce(DataFrame.unionAll, parts).groupBy("__at")
+             .agg(F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches")))
+    return rows.join(leaks, "__at", "left").select("__doc.*", F.coalesce("matches", F.array().cast(MATCH)).alias("matches"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:

@@ -128,6 +128,18 @@ def test_decontamination_folds_all_white_space(spark):
     assert {ch for ch in map(chr, range(0x110000)) if ch.isspace()} == {ch for ch in map(chr, range(0x110000)) if re.match(decontam._WIDE, ch) or WORD.match(ch) is None}
 
 
+def test_decontamination_holds_one_block_at_a_time(spark):
+    items = [(i, f"item number {i} of the long benchmark") for i in range(60)]
+    rows = [(i % 50, f"so {items[i % 60][1]} and {items[(i + 7) % 60][1]}", i) for i in range(150)] + [(None, None, 1), (3, "clean", 2)]
+    docs, bench = spark.createDataFrame(rows, DOCS + ", x long"), spark.createDataFrame(items, "item_id long, text string")
+    one = decontam.find_matches(docs, bench)
+    many = decontam.find_matches(docs, bench, block_chars=300)
+    assert many.columns == one.columns and many.schema["matches"].dataType == one.schema["matches"].dataType
+    assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+    assert one._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert "MapInArrow" not in many._jdf.queryExecution().executedPlan().toString()  # each block's pass is over
+
+
 def test_language_words_sum_over_all_segmentations():
     path = queries.vocabulary("piece_bpe_32k.model")
     pieces = langid.vocabulary(path)
