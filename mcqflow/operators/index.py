@@ -1,8 +1,8 @@
 """Exact ranks without a single-task window.
 
 ``row_number() over (order by k)`` with no partition runs in one task.  Here
-the order key is cut into ordered buckets (a prefix of a hex hash, or a range
-of an integer position); per-bucket counts give a running offset over a small
+the order key is cut into ordered buckets (a prefix of a hex hash, or row
+quantiles of an integer position); per-bucket counts give a running offset over a small
 table (groups x buckets rows), which is broadcast back; the rank is the offset
 plus ``row_number`` inside the bucket.  Result equals the plain global window.
 """
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 2_000_000
 # 16^4 = 65,536 hash buckets: ~1.5M rows per window task at 1e11 rows.
 HEX_DIGITS = 4
-# Integer positions are cut into ranges of 2^20, or wider ones where the values
-# are spread so far that more than MAX_INT_BUCKETS ranges would result.
+# Integer positions are cut at row quantiles into buckets of about 2^20 rows, or
+# more where that would be more than MAX_INT_BUCKETS buckets.
 INT_BUCKET_WIDTH = 1 << 20
 MAX_INT_BUCKETS = 4096
 
@@ -36,12 +36,22 @@ def hex_bucket(h: Column, digits: int = HEX_DIGITS) -> Column:
 
 
 def int_bucket(df: DataFrame, pos: str, width: int = INT_BUCKET_WIDTH, most: int = MAX_INT_BUCKETS) -> Column:
-    """Ordered bucket of an integer column: at most ``most`` + 1 buckets, also
-    for sparse or hashed 64-bit values (the range is a scalar subquery)."""
+    """Ordered bucket of an integer column: about ``width`` rows each or more, at
+    most ``most`` + 1 buckets however the values are spread; equal values share
+    one.  The cuts (at most ``most`` numbers) are read once, so every use of the
+    column has the same ones."""
     v = F.col(pos).cast("double")
-    lo = df.agg(F.min(v).alias("lo")).select("lo").scalar()
-    span = df.agg((F.max(v) - F.min(v)).alias("span")).select("span").scalar()
-    return F.floor((v - lo) / F.greatest(F.lit(float(width)), span / F.lit(float(most)))).cast("bigint")
+    r = df.agg(F.count(v).alias("n"), F.percentile_approx(v, [k / most for k in range(1, most)], 4 * most).alias("cuts")).first()
+    n = max(1, min(most, -(-r.n // width)))
+    cuts = sorted({r.cuts[k * most // n - 1] for k in range(1, n)})
+    if not cuts:
+        return F.when(v.isNotNull(), F.lit(0)).cast("bigint")
+    steps = [1 << k for k in range(len(cuts).bit_length() - 1, -1, -1)]
+    at = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
+    # binary search: the number of cuts below the value
+    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0),
+                        lambda i, k: F.when((i + k <= len(cuts)) & (F.get(at, i + k - 1) < v), i + k).otherwise(i))
+    return F.when(v.isNotNull(), below).cast("bigint")
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

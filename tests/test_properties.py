@@ -165,3 +165,17 @@ def test_repeated_positions_do_not_multiply_rows(spark):
     df = spark.createDataFrame(rows, "dataset string, index long, text string, question string, options array<string>, label long")
     out = classify(df).collect()
     assert len(out) == 4 and sum(r.reason == "duplicate_sample" for r in out) == 2
+
+
+def test_int_buckets_hold_even_rows_whatever_the_spread(spark):
+    rows = [(i,) for i in range(4000)] + [(1 << 60,), (-(1 << 60),), (1 << 50,), (None,)] + [((1 << 40) + i,) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long").repartition(5)
+    n = {r._1: r.n for r in df.groupBy(int_bucket(df, "id", 100, 64).alias("_1")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert n.pop(None) == 1 and 50 <= len(n) <= 65
+    assert max(n.values()) <= 2 * 8003 / 64
+    got = ranked(df, ["id"], int_bucket(df, "id", 100, 64), (), "rn", n_buckets=65).collect()
+    want = sorted(rows, key=lambda x: (x[0] is not None, x[0]))
+    assert [r.id for r in sorted(got, key=lambda r: r.rn)] == [x[0] for x in want] and len({r.rn for r in got}) == len(rows)
+    few = df.limit(50)
+    assert few.select(int_bucket(few, "id").alias("b")).where("b is not null").distinct().count() == 1
+    assert df.limit(0).select(int_bucket(df.limit(0), "id").alias("b")).count() == 0
