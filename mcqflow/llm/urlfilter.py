@@ -31,11 +31,11 @@ def host_of(url: str = "url") -> Column:
 
 
 def domains_of(host: Column) -> Column:
-    """The host and its parents with two labels or more."""
+    """The host and all its parents, down to the top-level domain (not for addresses: their last label is a number)."""
     parts = F.split(host, r"\.")
     n = F.size(parts)
-    return F.when(n < 2, F.array(host)).otherwise(
-        F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(parts, i, n), ".")))
+    last = F.when(F.element_at(parts, -1).rlike("[^0-9]"), n).otherwise(F.greatest(n - 1, F.lit(1)))
+    return F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(parts, i, n), "."))
 
 
 def validity(entries: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", at: s
 
 # `pages` has neither fetch times nor a list; both follow from its rows by fixed
 # rules: a page is fetched on day (37 * page_id) mod 366 of 2024, and hosts and
-# their parent domains whose md5 begins with 0-7 have list entries: block from
+# their parent domains of two labels or more whose md5 begins with 0-7 have list entries: block from
 # day 8 * (third hex digit), allow again 30 days per unit of the fourth digit
 # later, and block anew at day 300 if the fifth is 8-f.
 def captures_of(pages: DataFrame) -> DataFrame:
@@ -75,7 +75,8 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 def entries_of(pages: DataFrame) -> DataFrame:
     hosts = pages.select(host_of().alias("h")).where("h is not null").distinct()
-    d = hosts.select(F.explode(domains_of(F.col("h"))).alias("domain")).distinct().withColumn("x", F.md5(F.col("domain").cast("binary")))
+    listed = F.filter(domains_of(F.col("h")), lambda x: (x == F.col("h")) | x.contains("."))
+    d = hosts.select(F.explode(listed).alias("domain")).distinct().withColumn("x", F.md5(F.col("domain").cast("binary")))
     digit = lambda k: F.conv(F.substring("x", k, 1), 16, 10).cast("int")
     on = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n)
     first = 8 * digit(3)

@@ -70,3 +70,13 @@ def test_shards_are_contiguous_balanced_and_gapless(spark):
     assert sharding.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     extra = spark.createDataFrame([(1, 5, "a")], "doc_id long, size long, shard string")
     assert sharding.assign(extra, order=("doc_id",)).columns == ["doc_id", "size", "shard", "slot", "offset"]
+
+
+def test_url_filter_takes_top_level_domains(spark):
+    d = date.fromisoformat
+    urls = ["http://a.b.zip/x", "http://zip", "http://good.zip", "http://x.good.zip", "http://zip.org", "http://10.0.0.7", "http://b.zip."]
+    caps = spark.createDataFrame([(k, u, d("2024-01-05")) for k, u in enumerate(urls)], "page_id long, url string, fetched_at date")
+    ents = spark.createDataFrame([("zip", d("2024-01-01"), "block"), ("good.zip", d("2024-01-01"), "allow"), ("7", d("2024-01-01"), "block")],
+                                 "domain string, listed_at date, status string")
+    got = {r.page_id: (r.matched, r.blocked) for r in urlfilter.filter_urls(caps, ents).collect()}
+    assert got == {0: ("zip", True), 1: ("zip", True), 2: ("good.zip", False), 3: ("good.zip", False), 4: (None, False), 5: (None, False), 6: (None, False)}
