@@ -9,7 +9,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mcqflow.llm import decontam, jaccard, langid, quality_mil, quality_rules, sentencepieces, sharding, sql, substring, tokenids, urlfilter
+from mcqflow.llm import (decontam, jaccard, langid, packing, periodic, phrases, quality_mil, quality_rules, sentencepieces, sharding, sql,
+                         substring, tokenids, urlfilter)
 
 
 def vocabulary(name: str) -> str:
@@ -62,5 +63,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.report(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filter, op3_quality_rules, op4_sharding, op5_benchmark_decontamination, op6_language_id, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_url_filter, op3_quality_rules, op4_sharding, op5_benchmark_decontamination, op6_language_id, op7_quality_classifier, op8_substring_dedup, op9_token_ids, op10_sentencepiece,
+                                  op11_packing, op12_periodic_runs, op13_phrase_collocations)}
 ORACLE = sql.ORACLE

@@ -71,4 +71,28 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, s
   row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
 """
 
-ORACLE = {"op1_ngram_jaccard_join": OP1, "op2_url_filter": OP2, "op3_quality_rules": quality_rules.oracle_sql(), "op4_sharding": OP4, "op8_substring_dedup": OP8}
+OP13 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, unnest(list_zip(w, w[2:], w[3:])) AS z FROM w WHERE len(w) > 0),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS size, z[1] AS phrase, count(*) AS f FROM t GROUP BY ALL
+  UNION ALL SELECT lang, 2, z[1] || ' ' || z[2], count(*) FROM t WHERE z[2] IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, z[1] || ' ' || z[2] || ' ' || z[3], count(*) FROM t WHERE z[3] IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS v FROM f WHERE size > 1 AND f >= 10),
+k AS (SELECT c.*, k, array_to_string(v[:k], ' ') AS lp, array_to_string(v[k+1:], ' ') AS rp FROM c, (VALUES (1), (2)) AS s(k) WHERE k < size),
+x AS (SELECT k.*, g.f AS l, h.f AS r, CAST((1000000::HUGEINT * a * a) // (g.f::HUGEINT * h.f) AS BIGINT) AS score FROM k
+  JOIN f g ON g.lang = k.lang AND g.size = k AND g.phrase = lp JOIN f h ON h.lang = k.lang AND h.size = k.size - k AND h.phrase = rp),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(v[1:2], ' ') AS part FROM c WHERE size = 3 UNION ALL
+    SELECT lang, a, array_to_string(v[2:3], ' ') FROM c WHERE size = 3) GROUP BY ALL),
+d AS (SELECT b.* FROM b LEFT JOIN o ON b.size = 2 AND o.lang = b.lang AND o.part = b.phrase WHERE o.longer IS NULL OR 100 * o.longer < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM d JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op1_ngram_jaccard_join": OP1, "op2_url_filter": OP2, "op3_quality_rules": quality_rules.oracle_sql(), "op4_sharding": OP4, "op8_substring_dedup": OP8,
+          "op13_phrase_collocations": OP13}
