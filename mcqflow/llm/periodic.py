@@ -166,14 +166,14 @@ def planted(id_col: str = "doc_id", text_col: str = "text") -> Column:
     words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     g = F.floor(h / 10)
 
-    def periodic(w: Column) -> Column:
+    def periodic(w: Column) -> Column:  # w: a variable of the outer transform, so the words are cut once
         n = F.size(w).cast("long")
         a = g % n
         p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
         return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1),
                                         lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
     text = F.col(text_col)
-    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), periodic(words)).otherwise(text)
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.get(F.transform(F.array(words), periodic), 0)).otherwise(text)
 
 
 def report(docs: DataFrame) -> DataFrame:
