@@ -10,9 +10,11 @@ that a longer phrase mostly contains.
    itself, are the only thing counted.
 2. The counts of windows (lang, w1..wn) are summed by ROLLUP (lang, w1..wn-1):
    a phrase's occurrences are the windows that start with it, so every shorter
-   prefix is a sum of longer ones, and the language's sum is its words.  The
-   first aggregation combines equal windows of a slab, then of a task, before
-   anything is shuffled, so a hot phrase costs a row a task.
+   prefix is a sum of longer ones, and the language's sum is its words.  Equal
+   windows of a slab are combined before anything is shuffled, so a hot window
+   costs a row a slab.  The one large shuffle deals windows by their words but
+   the last, so the sums over the last word are complete before the ROLLUP, and
+   prefixes below ``min_count`` are folded into shorter ones there.
 3. Phrases below ``min_count`` are dropped; what is left is small, and is joined
    with itself: a candidate of m words meets its parts (both are as frequent as
    it, so they are there too) and the candidates of m + 1 words around it.  Only
@@ -49,7 +51,7 @@ from mcqflow.session import materialize
 
 MIN_COUNT, TOP, COVER_PCT, SCALE = 10, 2000, 50, 1_000_000
 MARK_BITS = 26
-SLAB = 8 << 20  # windows of texts of about this size are combined at once
+SLAB = 4 << 20  # windows of texts of about this size are combined at once
 PAD = 0
 _MAX_SALTS = 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -105,7 +107,7 @@ def _counted(keys: list[np.ndarray]):
 def _vocabulary_task(salt):
     def run(batches):
         for b in batches:
-            for code, names, buf, off in _slabs(b, 1 << 20):
+            for code, names, buf, off in _slabs(b, 2 << 20):
                 low, s, e, h, _ = scan(buf, off, salt)
                 lang = code[np.searchsorted(off, s, "right") - 1]
                 one, n = _counted([lang, h])
@@ -185,11 +187,20 @@ def phrase_counts(texts: DataFrame, words: DataFrame, salt: int, n: int = 3, min
     bitmap = spark.sparkContext.broadcast(marks(words.where(F.col("n") >= min_count)))
     w = [f"w{k + 1}" for k in range(n)]
     windows = texts.mapInArrow(_window_task(n, salt, bitmap), f"lang string, {', '.join(x + ' long' for x in w)}, c long")
+    # dealt by all words but the last: both sums below are complete where they stand
+    windows = windows.repartition("lang", *w[:-1])
     full = windows.groupBy("lang", *w).agg(F.sum("c").alias("f"))
     pad = F.lit(PAD).cast("long")
-    longest = full.where((F.col(w[-1]) != pad) & (F.col("f") >= min_count)).select("lang", *w, F.lit(n).alias("size"), "f")
+    # one condition on the sum, which no rule moves below the aggregation: both branches then read one shuffle
+    whole = F.when(F.col(w[-1]) == pad, 0).otherwise(F.col("f")) >= min_count
+    longest = full.where(whole).select("lang", *w, F.lit(n).alias("size"), "f")
+    # the last word is named (it is never null) so that this branch, too, reads the same columns of that shuffle
+    lead = windows.groupBy("lang", *w[:-1]).agg(F.sum(F.when(F.col(w[-1]).isNotNull(), F.col("c"))).alias("f"))
+    if n > 2:  # a rare one is no candidate: its last word ends it, as padding does, and few distinct rows are left
+        lead = (lead.withColumn(w[-2], F.when(F.col("f") >= min_count, F.col(w[-2])).otherwise(pad))
+                .groupBy("lang", *w[:-1]).agg(F.sum("f").alias("f")))
     # grouping_id counts the columns summed away; a prefix that ends in padding is a shorter phrase's
-    up = full.rollup("lang", *w[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("g"))
+    up = lead.rollup("lang", *w[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("g"))
     size = n - 1 - F.length(F.regexp_replace(F.conv(F.col("g").cast("string"), 10, 2), "0", ""))
     shorter = (up.withColumn("size", size).where("size >= 0 and lang is not null")
                .where((F.col("size") == 0) | (F.col("f") >= min_count))
