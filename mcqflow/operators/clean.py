@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mcqflow.functions.text import ALNUM_PATTERN, blank_to_empty, norm, py_strip
+from mcqflow.operators.dedup import later_rows, numbered
 from mcqflow.schema import NOTE_DEDUPED
 
 
@@ -52,17 +53,11 @@ def option_valid_flags(df: DataFrame, options: str = "options") -> DataFrame:
             .withColumn("all_ok", F.forall("option_ok", lambda b: b)))
 
 
-def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",),
-             order: str = "index") -> DataFrame:
-    """Attach ``reason`` (NULL = valid) and the repaired options/label.
-
-    Input: text, question, options, label, ``order`` (+ dataset columns).
-    Output adds: ``options``/``label`` after the case-insensitive option merge,
-    ``original_options``/``original_label`` (NULL if untouched), ``note``.
-    """
-    ds = list(dataset)
-    rid = F.xxhash64("text", "question", "options", "label")
-    x = option_columns(df.withColumn("_rid", rid))
+def annotate(df: DataFrame) -> DataFrame:
+    """The rules on one row: ``reason`` (NULL = none fires), the repaired
+    options/label, ``original_options``/``original_label`` (NULL if untouched),
+    ``note``, and ``_key``, the sample's identity (NULL on a rejected row)."""
+    x = option_columns(df)
     opts = F.col("options")
     label = F.col("label")
     text_s = py_strip(blank_to_empty("text"))
@@ -103,24 +98,46 @@ def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",),
          .withColumn("label", F.when(deduped & (r != "label_out_of_range"), remapped.cast("bigint"))
                      .otherwise(label)))
 
-    # Step 8: the first row (by ``order``) of each key among rows valid so far
-    # wins; later ones are duplicate_sample.  Only narrow (key, position)
-    # rows are shuffled: min() per key is a partial aggregation (a hot key
-    # is combined map-side), the duplicate positions come from a narrow join
-    # (AQE splits a hot key there), and that position set is joined back --
-    # broadcast by AQE when small, the usual case.  Rows that share a position
-    # are told apart by a hash of their content, so none is multiplied.
     x = x.withColumn("_key", F.when(F.col("reason").isNull(),
                                     _dup_key(F.col("_text_s"), F.col("_question_s"), F.col("options"))))
-    pos = F.struct(F.col(order).alias("p"), F.col("_rid").alias("r"))
-    nk = x.where(F.col("_key").isNotNull()).select(*ds, "_key", pos.alias("_pos"))
-    first = nk.groupBy(*ds, "_key").agg(F.min("_pos").alias("_first"))
-    dups = (nk.join(first, ds + ["_key"]).where(F.col("_pos") != F.col("_first"))
-            .select(*ds, F.col("_pos.p").alias(order), F.col("_pos.r").alias("_rid"), F.lit(True).alias("_dup")).distinct())
-    x = x.join(dups, ds + [order, "_rid"], "left")
-    x = x.withColumn("reason", F.when(F.col("_dup"), F.lit("duplicate_sample")).otherwise(F.col("reason")))
-    return x.drop("_opts_s", "_lows", "_n_uniq", "_has_dup", "_uniq", "_text_s",
-                  "_question_s", "_key", "_dup", "_rid")
+    return x.drop("_opts_s", "_lows", "_n_uniq", "_has_dup", "_uniq", "_text_s", "_question_s")
+
+
+def classify(df: DataFrame, dataset: Sequence[str] = ("dataset",), order: str = "index", keep: Sequence[str] | None = None,
+             derive: dict[str, Column] | None = None, row_id: Sequence[str] = ()) -> DataFrame:
+    """Attach ``reason`` (NULL = valid) and the repaired options/label.
+
+    Input: text, question, options, label, ``order`` (+ dataset columns).
+    Rule 8: of the rows of a dataset (NULL is one) that are valid so far and
+    equal, the first by ``order`` (NULL last, then by row) stays; the others
+    are duplicate_sample, also where rows repeat as a whole.
+
+    The row rules run in one scan, whose result is written once with a row
+    number; rule 8 reads the narrow keys from there.  ``keep`` names the columns
+    to write and return (all by default), ``derive`` further ones computed from
+    the repaired row in that scan, so that consumers of lengths, fingerprints or
+    labels never write a text.  Where all columns are asked for and ``row_id``
+    names columns that identify a row of the input (file and row), only the keys
+    are written and the text is scanned again instead.
+    """
+    ds = list(dataset)
+    x = annotate(df)
+    for name, column in (derive or {}).items():
+        x = x.withColumn(name, column)
+    columns = [c for c in x.columns if c != "_key"] if keep is None else [*keep, *(derive or {})]
+    if keep is None and row_id:
+        ids = [*ds, *row_id]
+        t = numbered(x.select(*dict.fromkeys([*ids, order, "_key"])).where(F.col("_key").isNotNull()), "sample-keys")
+        x = x.drop("_key")
+        later = later_rows(t, [*ds, "_key"], [order], ids)
+    else:
+        ids = ["_rid"]
+        t = numbered(x.select(*dict.fromkeys([*columns, *ds, order, "reason", "_key"])), "classified")
+        x, later = t, later_rows(t.where(F.col("_key").isNotNull()), [*ds, "_key"], [order], ids)
+    later = later.select(*[F.col(c).alias(f"_later{k}") for k, c in enumerate(ids)])
+    x = x.join(later, [x[c].eqNullSafe(F.col(f"_later{k}")) for k, c in enumerate(ids)], "left")
+    x = x.withColumn("reason", F.when(F.col(f"_later{len(ids) - 1}").isNotNull(), F.lit("duplicate_sample")).otherwise(F.col("reason")))
+    return x.select(*dict.fromkeys([*columns, "reason"]))
 
 
 def reject_counts(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -174,5 +191,5 @@ def mix_reason_typed(df: DataFrame) -> DataFrame:
     return df.withColumn("mix_reason", r)
 
 
-__all__ = ["classify", "reject_counts", "annotation_counts", "valid_rows", "option_columns",
+__all__ = ["annotate", "classify", "reject_counts", "annotation_counts", "valid_rows", "option_columns",
            "option_valid_flags", "strict_reason", "mix_reason_typed", "same_ignoring_case"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mcqflow.functions.text import blank_to_empty, norm
+from mcqflow.session import materialize
 
 
 def fingerprint(text="text", question="question", options="options") -> Column:
@@ -17,38 +18,46 @@ def fingerprint(text="text", question="question", options="options") -> Column:
     q = norm(blank_to_empty(question))
     return F.md5(F.concat(F.length(t).cast("string"), F.lit(":"), t, F.lit("|"),
                           F.length(q).cast("string"), F.lit(":"), q, F.lit("|"),
-                          F.to_json(F.transform(F.col(options), lambda o: norm(o)))))
+                          F.coalesce(F.to_json(F.transform(F.col(options), lambda o: norm(o))), F.lit(""))))
 
 
-def row_hash(df: DataFrame) -> Column:
-    """Tells rows that share a position apart (equal rows share it)."""
-    return F.xxhash64(*df.columns)
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once with ``_rid``, a number of its own for every row,
+    equal rows included; all later passes see the same numbers."""
+    return materialize(df.withColumn("_rid", F.monotonically_increasing_id()), name)
 
 
-def first_wins(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_first") -> DataFrame:
-    """Flags the first row of each key by ``order`` (lexicographic; rows that
-    share a position are ordered by a hash of their content).
+def later_rows(t: DataFrame, keys: Sequence[str], order: Sequence[str], ids: Sequence[str] = ("_rid",)) -> DataFrame:
+    """``ids`` of the rows of a numbered table that are not the first of their
+    keys (NULL keys are equal) by ``order`` (NULL last, then by row number).
 
-    Only narrow (key, order) rows are shuffled: min(struct(order)) per key is
-    a partial aggregation (a hot key is combined map-side); the later rows'
-    ``order`` values come from a narrow join (AQE splits a hot key there) and
-    are joined back -- broadcast by AQE when small.  No window over a key.
+    Only narrow rows are shuffled: the first of a key is a partial aggregate (a
+    hot key is combined map-side), keys that occur once are dropped, and rows
+    meet the firsts of the others in a join, which AQE turns into a broadcast
+    or splits where a key is hot.  No window over a key.
     """
-    cols = [*order, "_rid"]
-    ordv = F.struct(*[F.col(c) for c in cols])
-    df = df.withColumn("_rid", row_hash(df))
-    nk = df.select(key, *cols)
-    firsts = nk.groupBy(key).agg(F.min(ordv).alias("_first"))
-    later = (nk.join(firsts, key).where(ordv != F.col("_first"))
-             .select(*cols, F.lit(True).alias("_later")).distinct())
-    return (df.join(later, cols, "left")
+    pos = F.struct(*[c for o in order for c in (F.col(o).isNull().alias(f"{o}_null"), F.col(o))], F.col("_rid"))
+    firsts = (t.groupBy(*keys).agg(F.min(pos)["_rid"].alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+              .select("_first", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
+    rows = t.select(*dict.fromkeys([*keys, *ids, "_rid"]))
+    on = [rows[k].eqNullSafe(firsts[f"_k{i}"]) for i, k in enumerate(keys)]
+    return rows.join(firsts, on).where(F.col("_rid") != F.col("_first")).select(*ids)
+
+
+def first_wins(df: DataFrame, key: str, order: Sequence[str], flag: str = "is_first") -> DataFrame:
+    """Flags the first row of each key by ``order`` (see ``later_rows``); of
+    equal rows one is first.  The rows are written once, so pass narrow ones."""
+    t = numbered(df, "first-wins")
+    later = later_rows(t, [key], order).withColumnRenamed("_rid", "_later")
+    return (t.join(later, t["_rid"] == later["_later"], "left")
             .withColumn(flag, F.col("_later").isNull()).drop("_later", "_rid"))
 
 
 def fingerprint_dedupe(df: DataFrame, order: Sequence[str] = ("grp_ord", "dataset_ord", "index")) -> DataFrame:
-    """Adds ``fp`` and ``is_first``; the first row of a fingerprint by
-    group order, dataset order, line wins."""
-    return first_wins(df.withColumn("fp", fingerprint()), "fp", list(order))
+    """Adds ``fp`` (unless it is there) and ``is_first``; the first row of a
+    fingerprint by group order, dataset order, line wins.  A NULL text or
+    question counts as empty, NULL options as a value of their own."""
+    return first_wins(df if "fp" in df.columns else df.withColumn("fp", fingerprint()), "fp", list(order))
 
 
 def duplicate_stats(flagged: DataFrame, by: str = "grp", raw: DataFrame | None = None) -> DataFrame:
@@ -72,11 +81,15 @@ def fingerprint_groups(flagged: DataFrame) -> DataFrame:
     form keeps a hot fingerprint from becoming one giant array."""
     sizes = flagged.groupBy("fp").agg(F.count(F.lit(1)).alias("fp_count"),
                                       F.min("index").alias("fp_id"))
-    return (flagged.join(sizes.where(F.col("fp_count") > 1), "fp")
-            .select("fp_id", "fp_count", "source",
-                    F.length(norm(blank_to_empty("text"))).cast("bigint").alias("text_length"),
-                    F.length(norm(blank_to_empty("question"))).cast("bigint").alias("question_length"),
-                    F.size("options").cast("bigint").alias("options_count"), "label", "index"))
+    parts = [n if n in flagged.columns else c for n, c in group_lengths().items()]
+    return flagged.join(sizes.where(F.col("fp_count") > 1), "fp").select("fp_id", "fp_count", "source", *parts, "label", "index")
+
+
+def group_lengths() -> dict[str, Column]:
+    """The lengths that a fingerprint group reports, of the normalised parts."""
+    cols = {"text_length": F.length(norm(blank_to_empty("text"))), "question_length": F.length(norm(blank_to_empty("question"))),
+            "options_count": F.size("options")}
+    return {n: c.cast("bigint").alias(n) for n, c in cols.items()}
 
 
 def unique_fingerprints(flagged: DataFrame) -> DataFrame:

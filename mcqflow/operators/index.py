@@ -41,6 +41,8 @@ def int_bucket(df: DataFrame, pos: str, width: int = INT_BUCKET_WIDTH, most: int
     one.  The cuts (at most ``most`` numbers) are read once, so every use of the
     column has the same ones."""
     v = F.col(pos).cast("double")
+    if df.agg(F.count(v)).first()[0] <= width:  # one bucket: no quantiles needed
+        return F.when(v.isNotNull(), F.lit(0)).cast("bigint")
     r = df.agg(F.count(v).alias("n"), F.percentile_approx(v, [k / most for k in range(1, most)], 4 * most).alias("cuts")).first()
     n = max(1, min(most, -(-r.n // width)))
     cuts = sorted({r.cuts[k * most // n - 1] for k in range(1, n)})
@@ -68,6 +70,24 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
+def with_offsets(df: DataFrame, bucket: Column, partition: Sequence[str] = (), max_keys: int | None = 1,
+                 n_buckets: int | None = 16 ** HEX_DIGITS) -> DataFrame:
+    """Adds ``_bk`` (the bucket), ``_n`` (rows of the partition's bucket) and
+    ``_off`` (rows of the partition in the buckets before it)."""
+    part = list(partition)
+    b = df.withColumn("_bk", bucket)
+    counts = b.groupBy(*part, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    w_off = (Window.partitionBy(*part).orderBy("_bk")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    # null-safe: rows with a NULL order or partition key keep their rank
+    keys = part + ["_bk"]
+    offsets = counts.select("_n", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).cast("bigint").alias("_off"),
+                            *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)])
+    bound = max_keys * n_buckets if (max_keys and n_buckets) else None
+    on = [b[k].eqNullSafe(offsets[f"_o{i}"]) for i, k in enumerate(keys)]
+    return join_small(b, offsets, on, bound=bound).drop(*[f"_o{i}" for i in range(len(keys))])
+
+
 def ranked(df: DataFrame, order: Sequence[str], bucket: Column,
            partition: Sequence[str] = (), name: str = "rn",
            max_keys: int | None = 1, n_buckets: int | None = 16 ** HEX_DIGITS) -> DataFrame:
@@ -78,18 +98,7 @@ def ranked(df: DataFrame, order: Sequence[str], bucket: Column,
     window runs per (partition, bucket), so no task holds a whole group.
     """
     part = list(partition)
-    b = df.withColumn("_bk", bucket)
-    counts = b.groupBy(*part, "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = (Window.partitionBy(*part).orderBy("_bk")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*part, "_bk",
-                            F.coalesce(F.sum("_n").over(w_off), F.lit(0)).cast("bigint").alias("_off"))
-    bound = max_keys * n_buckets if (max_keys and n_buckets) else None
-    # null-safe: rows with a NULL order or partition key keep their rank
-    keys = part + ["_bk"]
-    offsets = offsets.select("_off", *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)])
-    on = [b[k].eqNullSafe(offsets[f"_o{i}"]) for i, k in enumerate(keys)]
-    joined = join_small(b, offsets, on, bound=bound).drop(*[f"_o{i}" for i in range(len(keys))])
+    joined = with_offsets(df, bucket, part, max_keys, n_buckets)
     w = Window.partitionBy(*part, "_bk").orderBy(*order)
     return (joined.withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("bigint"))
-            .drop("_bk", "_off"))
+            .drop("_bk", "_off", "_n"))

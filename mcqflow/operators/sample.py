@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mcqflow.functions.text import total_length, blank_to_empty
-from mcqflow.operators.index import hex_bucket, join_small, ranked, seeded_hash
+from mcqflow.operators.index import hex_bucket, join_small, ranked, seeded_hash, with_offsets
 
 SEED = 42
 QUINTILE_LABELS = ["very_short", "short", "medium", "long", "very_long"]
@@ -38,9 +38,18 @@ def with_shuffle_rank(df: DataFrame, keys: Sequence[str], seed=SEED,
 def draw_per_group(df: DataFrame, target: Column, keys: Sequence[str], partition: Sequence[str],
                    seed=SEED, max_keys: int | None = None) -> DataFrame:
     """Per group, the first ``target`` rows in seeded order (all rows when
-    the group is short).  ``target`` is a column (per-row group target)."""
-    r = with_shuffle_rank(df, keys, seed, partition, "_draw_rn", max_keys)
-    return r.where(F.col("_draw_rn") <= target).drop("_draw_rn")
+    the group is short).  ``target`` is a column (per-row group target).
+
+    Counting selection: the rows of each (group, hash bucket) are counted; all
+    rows of the buckets that end within the target are taken as they are, and
+    only the one bucket that the target cuts is ranked."""
+    x = df.withColumn("_h", seeded_hash(seed, *keys)).withColumn("_t", target)
+    x = with_offsets(x, hex_bucket(F.col("_h")), partition, max_keys).where(F.col("_off") < F.col("_t"))
+    whole = F.col("_off") + F.col("_n") <= F.col("_t")
+    in_bucket = Window.partitionBy(*partition, "_bk").orderBy("_h")
+    cut = (x.where(~whole).withColumn("_rn", F.row_number().over(in_bucket) + F.col("_off"))
+           .where(F.col("_rn") <= F.col("_t")))
+    return x.where(whole).select(*df.columns).unionByName(cut.select(*df.columns))
 
 
 def ratio_mix(df: DataFrame, groups: DataFrame, total, keys=("dataset", "index"),
@@ -112,10 +121,14 @@ def outlier_rows(df: DataFrame, col: str = "length") -> DataFrame:
     """Outlier report rows: length parts and source."""
     return (outlier_flag(df, col).where("is_outlier")
             .select("index", "source", F.col(col).alias("length"),
-                    F.length(blank_to_empty("text")).cast("bigint").alias("text_length"),
-                    F.length(blank_to_empty("question")).cast("bigint").alias("question_length"),
-                    F.aggregate("options", F.lit(0).cast("bigint"),
-                                lambda a, o: a + F.length(o)).alias("options_length")))
+                    *[n if n in df.columns else c for n, c in length_parts().items()]))
+
+
+def length_parts() -> dict[str, Column]:
+    """The parts of the total length."""
+    cols = {"text_length": F.length(blank_to_empty("text")), "question_length": F.length(blank_to_empty("question")),
+            "options_length": F.aggregate("options", F.lit(0).cast("bigint"), lambda a, o: a + F.length(o))}
+    return {n: c.cast("bigint").alias(n) for n, c in cols.items()}
 
 
 def outlier_refill(drawn: DataFrame, available: DataFrame, col: str = "length",
@@ -181,8 +194,8 @@ def with_quintile_bin(df: DataFrame, col: str, name: str = "length_bin") -> Data
 def stratified_sample(df: DataFrame, target: int, keys=("dataset", "index"), seed=SEED) -> DataFrame:
     """M2: strata = source x option count x text-length quintile; each stratum
     gets floor(target * share), all of it when short."""
-    x = with_quintile_bin(df.withColumn("opt_count", F.size("options"))
-                          .withColumn("text_length", F.length(blank_to_empty("text"))), "text_length")
+    made = {"opt_count": F.size("options"), "text_length": F.length(blank_to_empty("text"))}
+    x = with_quintile_bin(df.withColumns({n: c for n, c in made.items() if n not in df.columns}), "text_length")
     x = x.withColumn("stratum", F.concat_ws("_", "source", "opt_count", "length_bin"))
     n = x.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     sizes = x.groupBy("stratum").agg(F.count(F.lit(1)).alias("_s"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mcqflow.functions.text import total_length
 from mcqflow.operators.clean import classify, reject_counts
-from mcqflow.operators.dedup import duplicate_stats, fingerprint_dedupe
+from mcqflow.operators.dedup import duplicate_stats, fingerprint, fingerprint_dedupe
 from mcqflow.operators.index import join_small
 from mcqflow.operators.reasoning import validation_stats
 from mcqflow.operators.sample import outlier_flag, ratio_mix, split_flags
@@ -31,37 +31,39 @@ class MixConfig:
     extra: dict = field(default_factory=dict)
 
 
-def clean(df: DataFrame, dataset=("dataset",)) -> dict[str, DataFrame]:
-    """Classify every row; valid rows, rejects and reject counts."""
-    c = materialize(classify(df, list(dataset)), "classified")
+def clean(df: DataFrame, dataset=("dataset",), keep=None) -> dict[str, DataFrame]:
+    """Classify every row; valid rows, rejects and reject counts.  The operator
+    writes the verdicts once, with all columns or those of ``keep``."""
+    c = classify(df, list(dataset), keep=None if keep is None else [*dataset, *keep])
     return {"classified": c, "valid": c.where(F.col("reason").isNull()),
             "rejects": c.where(F.col("reason").isNotNull()),
             "reject_counts": reject_counts(c, list(dataset))}
 
 
-def mix(pool: DataFrame, groups: DataFrame, cfg: MixConfig) -> dict[str, DataFrame]:
+def mix(pool: DataFrame, groups: DataFrame, cfg: MixConfig, rows: DataFrame | None = None,
+        row_keys: tuple = ()) -> dict[str, DataFrame]:
     """Fingerprint de-dup -> ratio draw -> length fence -> shuffle -> split.
 
-    ``pool``: valid rows with grp, grp_ord, dataset_ord, dataset, index.
-    Only narrow key rows (keys, group, fingerprint, length) travel through
-    de-dup, draw, fence and split; those are the tables written in between.
-    The text columns are joined back once at the end, against the final mix,
-    which is at most ``cfg.total`` rows (a proven bound for its broadcast).
+    ``pool``: valid rows with grp, grp_ord, dataset_ord, dataset, index, and
+    either ``fp`` and ``length`` or the text columns they come from.  Only narrow
+    key rows travel through de-dup, draw, fence and split; those are the tables
+    written in between.  ``rows`` with ``row_keys``, columns of both that tell
+    rows apart, gives the texts: they are taken from there by the final rows,
+    which are at most ``cfg.total`` (a proven bound for their broadcast).
     """
-    keys = list(cfg.keys)
-    narrow = pool.select(*keys, "grp", *[c for c in cfg.group_order if c not in keys],
-                         "text", "question", "options")
-    narrow = narrow.withColumn("length", total_length())
-    flagged = fingerprint_dedupe(narrow, list(cfg.group_order)).drop("text", "question", "options")
-    flagged = materialize(flagged, "fingerprinted")
+    narrow = pool
+    if "fp" not in pool.columns:
+        narrow = pool.withColumn("fp", fingerprint()).withColumn("length", total_length()).drop("text", "question", "options")
+    flagged = materialize(fingerprint_dedupe(narrow, list(cfg.group_order)), "fingerprinted")
     drawn = materialize(ratio_mix(flagged.where("is_first"), groups, cfg.total, cfg.keys, cfg.seed), "drawn")
     fenced = outlier_flag(drawn)
     kept = materialize(fenced.where(~F.col("is_outlier")).drop("is_outlier"), "kept")
-    final_keys = split_flags(kept, cfg.keys, cfg.seed, cfg.ratios).select(
-        *keys, "rn", "is_eval", "is_full", "is_peft", "split", "length")
-    bound = cfg.total if isinstance(cfg.total, int) else None
-    full_rows = pool.drop("grp_ord", "dataset_ord")
-    final = join_small(full_rows, final_keys, keys, bound=bound)
+    final = split_flags(kept, cfg.keys, cfg.seed, cfg.ratios).drop("grp_ord", "dataset_ord")
+    if rows is not None:
+        final = materialize(final, "mixed")  # several outputs read it
+        bound = cfg.total if isinstance(cfg.total, int) else None
+        extra = [c for c in rows.columns if c in row_keys or c not in final.columns]
+        final = join_small(rows.select(*extra), final, list(row_keys), bound=bound)
     return {"flagged": flagged, "duplicate_stats": duplicate_stats(flagged), "drawn": drawn,
             "outliers": fenced.where("is_outlier"), "final": final}
 

@@ -41,7 +41,7 @@ SELECT "index", opt_count, label, original_label, options, options[label + 1] =
 FROM balanced""")
 def q_balance_labels(spark, sf):
     """B1/B2: cyclic target label per option count, right option swapped in."""
-    b = balance_labels(valid(spark, sf))
+    b = balance_labels(valid(spark, sf, keep=["index", "options", "label"]))
     return b.select("index", F.col("opt_count").cast("bigint").alias("opt_count"), "label",
                     "original_label", "options", "answer_kept")
 
@@ -51,7 +51,7 @@ SELECT opt_count, label, cnt AS "count", CAST(sum(cnt) OVER (PARTITION BY opt_co
 FROM (SELECT CAST(len(options) AS BIGINT) AS opt_count, label, count(*) AS cnt FROM valid GROUP BY 1, 2)""")
 def q_label_distribution(spark, sf):
     """A4: label x option-count counts with the group total."""
-    return label_optcount_distribution(valid(spark, sf))
+    return label_optcount_distribution(valid(spark, sf, keep=["options", "label"]))
 
 
 @register("balance_report", with_ctes(MCQ, CLASSIFIED, VALID, BAL, DIST) + """
@@ -63,7 +63,7 @@ SELECT coalesce(b.opt_count, a.opt_count) AS opt_count, coalesce(b.label, a.labe
 FROM dist_before b FULL OUTER JOIN dist_after a ON a.opt_count = b.opt_count AND a.label = b.label""")
 def q_balance_report(spark, sf):
     """before/after label distribution per option count."""
-    v = materialize(valid(spark, sf), "valid")
+    v = materialize(valid(spark, sf, keep=["index", "options", "label"]), "valid")
     return balance_report(v, balance_labels(v))
 
 

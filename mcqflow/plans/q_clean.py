@@ -6,23 +6,28 @@ from pyspark.sql import functions as F
 
 from mcqflow.operators.clean import (classify, mix_reason_typed, option_valid_flags,
                                      reject_counts, strict_reason)
+from mcqflow.functions.text import blank_to_empty, py_strip
 from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, STRIP, VALID, with_ctes
 from mcqflow.plans.registry import register
-from mcqflow.sources.fixtures import load_mcq
+from mcqflow.sources.fixtures import ROW_ID, load_mcq
 
 
-def classified(spark, sf):
-    return classify(load_mcq(spark, sf), ["dataset"])
+def classified(spark, sf, keep=None, derive=None):
+    """All columns (the text is scanned again, not written), or those of ``keep``
+    and ``derive`` from one scan."""
+    if keep is None and derive is None:
+        return classify(load_mcq(spark, sf, row_id=True), ["dataset"], row_id=ROW_ID).drop(*ROW_ID)
+    return classify(load_mcq(spark, sf), ["dataset"], keep=keep or [], derive=derive)
 
 
-def valid(spark, sf):
-    return classified(spark, sf).where(F.col("reason").isNull())
+def valid(spark, sf, keep=None, derive=None):
+    return classified(spark, sf, keep, derive).where(F.col("reason").isNull())
 
 
 @register("clean_reject_counts", with_ctes(MCQ, CLASSIFIED) + """
 SELECT coalesce(reason, 'VALID') AS reason, count(*) AS n FROM classified GROUP BY 1""")
 def clean_reject_counts(spark, sf):
-    return reject_counts(classified(spark, sf))
+    return reject_counts(classified(spark, sf, keep=["index"]))
 
 
 @register("clean_valid_rows", with_ctes(MCQ, CLASSIFIED) + """
@@ -35,7 +40,8 @@ def clean_valid_rows(spark, sf):
 SELECT "index", options, label, original_options, original_label, reason
 FROM classified WHERE note IS NOT NULL""")
 def option_dedupe_remap(spark, sf):
-    return (classified(spark, sf).where(F.col("note").isNotNull())
+    return (classified(spark, sf, keep=["index", "options", "label", "original_options", "original_label", "note"])
+            .where(F.col("note").isNotNull())
             .select("index", "options", "label", "original_options", "original_label", "reason"))
 
 
@@ -102,7 +108,7 @@ FROM classified GROUP BY dataset""")
 def q_clean_annotation_counts(spark, sf):
     """A2: kept rows, merged-and-kept rows (annotation), invalid rows."""
     from mcqflow.operators.clean import annotation_counts
-    return annotation_counts(classified(spark, sf), ["dataset"])
+    return annotation_counts(classified(spark, sf, keep=["dataset", "note"]), ["dataset"])
 
 
 @register("source_value_counts", with_ctes(MCQ, CLASSIFIED, VALID) + """
@@ -111,4 +117,44 @@ FROM (SELECT source, count(*) AS n FROM valid GROUP BY source)""")
 def q_source_value_counts(spark, sf):
     """Frequency-descending source counts with an explicit rank."""
     from mcqflow.operators.stats import value_counts
-    return value_counts(valid(spark, sf), "source")
+    return value_counts(valid(spark, sf, keep=["source"]), "source")
+
+
+def _twice(m):
+    """Every row twice, as where a folder is read twice."""
+    return m.unionByName(m)
+
+
+@register("clean_repeated_rows", with_ctes(MCQ, CLASSIFIED) + """
+SELECT "index", CAST(2 AS BIGINT) AS n, CAST(CASE WHEN reason IS NULL THEN 1 ELSE 0 END AS BIGINT) AS valid,
+  CAST(CASE WHEN reason IS NULL THEN 1 WHEN reason = 'duplicate_sample' THEN 2 ELSE 0 END AS BIGINT) AS duplicates
+FROM classified""")
+def q_clean_repeated_rows(spark, sf):
+    """D1 on rows that repeat as a whole: one of two equal rows stays."""
+    c = classify(_twice(load_mcq(spark, sf)), keep=["index"])
+    return c.groupBy("index").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason").isNull()).alias("valid"),
+                                  F.count_if(F.col("reason") == "duplicate_sample").alias("duplicates"))
+
+
+_NULLED = """nulled AS (
+  SELECT CASE WHEN "index" % 4 = 0 THEN NULL ELSE "index" END AS "index", text, question, options, label, source, grp,
+    CASE WHEN "index" % 3 = 0 THEN NULL ELSE dataset END AS dataset, lang, "index" AS line FROM mcq),
+twice AS (SELECT * FROM nulled UNION ALL SELECT * FROM nulled)"""
+
+
+@register("dedupe_null_keys", with_ctes(MCQ, _NULLED) + f"""
+SELECT line, dataset, count(*) AS n, CAST(max(f) AS BIGINT) AS firsts FROM (
+  SELECT line, dataset, count(*) FILTER (WHERE rn = 1) OVER (PARTITION BY dataset, line) AS f FROM (
+    SELECT line, dataset, row_number() OVER (PARTITION BY dataset, {STRIP("coalesce(text, '')")}, {STRIP("coalesce(question, '')")}, options
+      ORDER BY "index" NULLS LAST, line) AS rn FROM twice)) GROUP BY 1, 2""")
+def q_dedupe_null_keys(spark, sf):
+    """W2 with NULL dataset and NULL position: NULLs are equal as keys, come last
+    as positions, and one row of each sample is first."""
+    from mcqflow.operators.dedup import first_wins
+    m = load_mcq(spark, sf)
+    nulled = m.select(F.when(F.col("index") % 4 != 0, F.col("index")).alias("index"), F.col("index").alias("line"),
+                      F.when(F.col("index") % 3 != 0, F.col("dataset")).alias("dataset"),
+                      py_strip(blank_to_empty("text")).alias("t"), py_strip(blank_to_empty("question")).alias("q"), "options")
+    key = F.md5(F.to_json(F.struct("dataset", "t", "q", "options")))
+    flagged = first_wins(_twice(nulled.select("index", "line", "dataset", key.alias("key"))), "key", ["index", "line"])
+    return flagged.groupBy("line", "dataset").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_first").alias("firsts"))

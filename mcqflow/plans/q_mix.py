@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mcqflow.functions.text import blank_to_empty
-from mcqflow.operators.clean import classify
-from mcqflow.operators.dedup import (duplicate_stats, fingerprint_dedupe, fingerprint_groups,
+from mcqflow.functions.text import blank_to_empty, total_length
+from mcqflow.operators.clean import annotate, classify
+from mcqflow.operators.dedup import (duplicate_stats, fingerprint, fingerprint_dedupe, fingerprint_groups, group_lengths,
                                      incremental_dedupe, unique_fingerprints)
 from mcqflow.operators.index import MAX_INT_BUCKETS, int_bucket, ranked
 from mcqflow.operators.sample import (fence_stats, group_targets, outlier_filter, outlier_flag,
                                       outlier_refill, outlier_rows, ratio_mix, split_flags,
-                                      stratified_sample, with_shuffle_rank, with_total_length)
+                                      length_parts, stratified_sample, with_shuffle_rank)
 from mcqflow.operators.stats import length_distribution
 from mcqflow.plans.oracle_sql import (CLASSIFIED, GROUPS, LOWER_STRIP, MCQ, TWINS, VALID,
                                       classified_cte, with_ctes)
@@ -19,18 +19,30 @@ from mcqflow.plans.q_clean import valid
 from mcqflow.plans.registry import register
 from mcqflow.session import materialize
 from mcqflow.operators.index import join_small
-from mcqflow.sources.fixtures import GROUP_RATIOS, group_config, load_mcq, read_table, with_twins
+from mcqflow.sources.fixtures import GROUP_RATIOS, ROW_ID, group_config, load_mcq, read_table, with_twins
 
 MIX_SHARE = 0.6  # mix total = floor(0.6 x input documents)
 
 
+# what de-dup, draw, fence and reports need of a row; its text stays in the scan
+POOL_COLUMNS = ["index", "dataset", "grp", "source", "label"]
+
+
 def pool(spark, sf):
-    """Valid rows of the adapter plus its twins, with group and dataset order."""
-    c = classify(with_twins(load_mcq(spark, sf)), ["dataset"]).where(F.col("reason").isNull())
+    """Valid rows of the adapter plus its twins, with group and dataset order: one
+    scan of the texts gives the verdict, fingerprint and lengths of each."""
+    rows = with_twins(load_mcq(spark, sf, row_id=True))
+    c = classify(rows, ["dataset"], keep=[*POOL_COLUMNS, *ROW_ID],
+                 derive={"fp": fingerprint(), "length": total_length(), **group_lengths()}).where(F.col("reason").isNull())
     c = join_small(c, group_config(spark).select("grp", "grp_ord"), ["grp"], bound=len(GROUP_RATIOS))
     return c.withColumn("dataset_ord", F.when(F.col("dataset") == "src_twin", 1).otherwise(0))
 
 
+def pool_rows(spark, sf):
+    """The texts, questions and repaired options behind ``pool``, by dataset and row id."""
+    return annotate(with_twins(load_mcq(spark, sf, row_id=True))).select("dataset", *ROW_ID, "text", "question", "options")
+
+
 def deduped_pool(spark, sf):
     return materialize(fingerprint_dedupe(pool(spark, sf)), "deduped_pool")
 
@@ -45,8 +57,8 @@ def drawn(spark, sf):
     return materialize(ratio_mix(p, group_config(spark), mix_total(spark, sf)), "drawn")
 
 
-def valid_len(spark, sf):
-    return materialize(with_total_length(valid(spark, sf)), "valid_len")
+def valid_len(spark, sf, keep=("index",), derive=None):
+    return valid(spark, sf, keep=list(keep), derive={"length": total_length(), **(derive or {})})
 
 
 # ---------------------------------------------------------------- SQL ------
@@ -95,11 +107,10 @@ SELECT source AS dataset, count(*) AS n, round(avg(length(coalesce(text, ''))),
 FROM valid GROUP BY source""")
 def dataset_stats(spark, sf):
     """A1: per dataset (source) count, mean text length, mean option count."""
-    v = valid(spark, sf)
+    v = valid(spark, sf, keep=["source"], derive={"text_length": F.length(blank_to_empty("text")), "opt_count": F.size("options")})
     return v.groupBy(F.col("source").alias("dataset")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(F.length(blank_to_empty("text"))), 6).alias("avg_text_length"),
-        F.round(F.avg(F.size("options")), 6).alias("avg_opt_count"))
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("text_length"), 6).alias("avg_text_length"),
+        F.round(F.avg("opt_count"), 6).alias("avg_opt_count"))
 
 
 @register("dataset_optcount_hist", with_ctes(MCQ, CLASSIFIED, VALID) + """
@@ -107,28 +118,27 @@ SELECT source AS dataset, CAST(len(options) AS BIGINT) AS opt_count, count(*) AS
 FROM valid GROUP BY 1, 2""")
 def dataset_optcount_hist(spark, sf):
     """A1 histogram: per dataset and option count."""
-    return (valid(spark, sf).groupBy(F.col("source").alias("dataset"),
-                                     F.size("options").cast("bigint").alias("opt_count"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    return (valid(spark, sf, keep=["source"], derive={"opt_count": F.size("options").cast("bigint")})
+            .groupBy(F.col("source").alias("dataset"), "opt_count").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("source_dist", with_ctes(MCQ, CLASSIFIED, VALID) + """
 SELECT source, count(*) AS n FROM valid GROUP BY source""")
 def source_dist(spark, sf):
-    return valid(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return valid(spark, sf, keep=["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("optcount_dist", with_ctes(MCQ, CLASSIFIED, VALID) + """
 SELECT CAST(len(options) AS BIGINT) AS opt_count, count(*) AS n FROM valid GROUP BY 1""")
 def optcount_dist(spark, sf):
-    return (valid(spark, sf).groupBy(F.size("options").cast("bigint").alias("opt_count"))
+    return (valid(spark, sf, derive={"opt_count": F.size("options").cast("bigint")}).groupBy("opt_count")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("label_dist", with_ctes(MCQ, CLASSIFIED, VALID) + """
 SELECT label, count(*) AS n FROM valid GROUP BY label""")
 def label_dist(spark, sf):
-    return valid(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return valid(spark, sf, keep=["label"]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("length_quintiles", with_ctes(MCQ, CLASSIFIED, VALID) + """,
@@ -150,7 +160,7 @@ SELECT * FROM (
      WHERE cum >= (SELECT count(*) FROM tl) // 2 + 1) WHERE NOT (SELECT ok FROM ok)""")
 def length_quintiles(spark, sf):
     """A5: text-length quintile counts; min/max/mean/upper-median when edges collide."""
-    return length_distribution(valid(spark, sf).withColumn("v", F.length(blank_to_empty("text"))), "v")
+    return length_distribution(valid(spark, sf, derive={"v": F.length(blank_to_empty("text"))}), "v")
 
 
 # ------------------------------------------------------------- dedup -------
@@ -240,7 +250,8 @@ SELECT "index", stratum FROM s
 WHERE rn <= floor(floor(n * 0.5::DOUBLE) * (s_n / n))""")
 def q_stratified_sample(spark, sf):
     """M2: strata source x option count x length quintile; target = half the rows."""
-    v = materialize(valid(spark, sf), "valid")
+    v = valid(spark, sf, keep=["index", "dataset", "source"],
+              derive={"opt_count": F.size("options"), "text_length": F.length(blank_to_empty("text"))})
     target = v.agg(F.floor(F.count(F.lit(1)) * F.lit(0.5)).alias("t")).select("t").scalar()
     return stratified_sample(v, target).select("index", "stratum")
 
@@ -250,14 +261,14 @@ SELECT "index", row_number() OVER (ORDER BY md5('42:' || dataset || ':' || CAST(
 FROM valid""")
 def q_shuffle_rank(spark, sf):
     """O1: seeded shuffle position (exact, bucketed, no single-task window)."""
-    return with_shuffle_rank(valid(spark, sf), ["dataset", "index"]).select("index", "rn")
+    return with_shuffle_rank(valid(spark, sf, keep=["dataset", "index"]), ["dataset", "index"]).select("index", "rn")
 
 
 @register("batch_ids", with_ctes(MCQ, CLASSIFIED, VALID) + """
 SELECT "index", CAST((row_number() OVER (ORDER BY "index") - 1) // 50 AS BIGINT) AS batch_id FROM valid""")
 def q_batch_ids(spark, sf):
     """W1+W3: position in input order, batches of 50 rows."""
-    v = valid(spark, sf)
+    v = valid(spark, sf, keep=["index"])
     r = ranked(v, ["index"], int_bucket(v, "index"), (), "pos", n_buckets=MAX_INT_BUCKETS + 1)
     return r.select("index", F.floor((F.col("pos") - 1) / 50).cast("bigint").alias("batch_id"))
 
@@ -285,7 +296,8 @@ SELECT "index", source, length, CAST(length(text) AS BIGINT) AS text_length,
   CAST(list_sum(list_transform(options, lambda o: length(o))) AS BIGINT) AS options_length
 FROM vlen WHERE length > (SELECT upper FROM fence)""")
 def q_outliers(spark, sf):
-    return outlier_rows(valid_len(spark, sf))
+    parts = {n: c for n, c in length_parts().items()}
+    return outlier_rows(valid_len(spark, sf, keep=["index", "source"], derive=parts))
 
 
 @register("outlier_refill", with_ctes(MCQ, POOL, DRAWN) + """,
@@ -304,10 +316,9 @@ SELECT "index", dataset, grp, false AS refilled FROM dl JOIN gf USING (grp) WHER
 UNION ALL SELECT "index", dataset, grp, true FROM refill""")
 def q_outlier_refill(spark, sf):
     """M5: per-group fence on the draw, refill from the group's unused in-bound rows."""
-    d = with_total_length(drawn(spark, sf))
-    avail = with_total_length(deduped_pool(spark, sf).where("is_first"))
-    return outlier_refill(d.drop("target"), avail).select(
-        "index", "dataset", "grp", "refilled")
+    avail = deduped_pool(spark, sf).where("is_first")
+    d = materialize(ratio_mix(avail, group_config(spark), mix_total(spark, sf)), "drawn")
+    return outlier_refill(d.drop("target"), avail, max_groups=len(GROUP_RATIOS)).select("index", "dataset", "grp", "refilled")
 
 
 @register("selection_summary", with_ctes(MCQ, POOL, DRAWN) + """,
@@ -317,13 +328,13 @@ SELECT count(*) AS before, count(*) FILTER (WHERE length > (SELECT upper FROM f)
        count(*) FILTER (WHERE length <= (SELECT upper FROM f)) AS kept FROM dl""")
 def q_selection_summary(spark, sf):
     """Mix size before the fence, outliers, kept."""
-    d = outlier_flag(with_total_length(drawn(spark, sf)))
+    d = outlier_flag(drawn(spark, sf))
     return d.agg(F.count(F.lit(1)).alias("before"), F.count_if("is_outlier").alias("outliers"),
                  F.count_if(~F.col("is_outlier")).alias("kept"))
 
 
 def split_frame(spark, sf):
-    return split_flags(materialize(outlier_filter(valid_len(spark, sf)), "kept"))
+    return split_flags(materialize(outlier_filter(valid_len(spark, sf, keep=["index", "dataset", "source"])), "kept"))
 
 
 @register("split_flags", with_ctes(MCQ, CLASSIFIED, VALID, VLEN, FENCE, KEPT, SPLIT) + """

@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 
 from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, with_ctes
 from mcqflow.plans.pipelines import MixConfig, clean, mix
-from mcqflow.plans.q_mix import DRAWN, LEN, POOL, mix_total, pool
+from mcqflow.plans.q_mix import DRAWN, LEN, POOL, mix_total, pool, pool_rows
 from mcqflow.plans.registry import register
-from mcqflow.sources.fixtures import group_config, load_mcq
+from mcqflow.sources.fixtures import ROW_ID, group_config, load_mcq
 
 
 @register("pipeline_clean", with_ctes(MCQ, CLASSIFIED) + """
 SELECT dataset, coalesce(reason, 'VALID') AS reason, count(*) AS n FROM classified GROUP BY 1, 2""")
 def q_pipeline_clean(spark, sf):
     """Documents -> mcq -> classify; counts per dataset and reason."""
-    return clean(load_mcq(spark, sf))["reject_counts"]
+    return clean(load_mcq(spark, sf), keep=["index"])["reject_counts"]
 
 
 @register("pipeline_mix", with_ctes(MCQ, POOL, DRAWN) + """,
@@ -53,7 +53,7 @@ def q_mix_outputs(spark, sf):
     from mcqflow.plans.pipelines import split_outputs
     from mcqflow.session import scratch_path
     from mcqflow.sources.sinks import save_mixed
-    out = mix(pool(spark, sf), group_config(spark), MixConfig(total=mix_total(spark, sf)))
+    out = mix(pool(spark, sf), group_config(spark), MixConfig(total=mix_total(spark, sf)), pool_rows(spark, sf), ("dataset", *ROW_ID))
     base = scratch_path(spark, "mixed")
     frames = []
     for name, df in split_outputs(out["final"]).items():

@@ -48,9 +48,8 @@ LBASE = (MCQ, CLASSIFIED, VALID, LENGTHS)
 
 def lengths(spark, sf, measure=char_length):
     """(dataset, length) of the rendered length-analysis prompt."""
-    v = valid(spark, sf)
-    return materialize(v.select(F.coalesce("source", F.lit("unknown")).alias("dataset"),
-                                measure(prompt_length_style()).alias("length")), "lengths")
+    v = valid(spark, sf, keep=["source"], derive={"length": measure(prompt_length_style())})
+    return materialize(v.select(F.coalesce("source", F.lit("unknown")).alias("dataset"), "length"), "lengths")
 
 
 def _prompt_query(style):
@@ -71,7 +70,7 @@ for _name, _style, _sql in (("prompt_render_length", prompt_length_style, P_LENG
 SELECT "index", CAST(len(regexp_extract_all({P_LENGTH}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+|[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]')) AS BIGINT) AS tokens FROM valid""")
 def q_prompt_token_length(spark, sf):
     """P21 with the built-in regex token measure."""
-    return valid(spark, sf).select("index", regex_token_length(prompt_length_style()).alias("tokens"))
+    return valid(spark, sf, keep=["index"], derive={"tokens": regex_token_length(prompt_length_style())}).select("index", "tokens")
 
 
 @register("request_payload", with_ctes(MCQ, CLASSIFIED, VALID) + f"""

@@ -90,12 +90,18 @@ def mcq_from_documents(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("g"), (source_number() % 7).cast("string")).alias("grp"),
         F.lit("documents").alias("dataset"),
         F.col("lang"),
+        *[c for c in ROW_ID if c in docs.columns],
     )
 
 
-def load_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mcq_from_documents(
-        read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+# Which row of which file a row is: the same in every scan.
+ROW_ID = ["_file", "_row"]
+
+
+def load_mcq(spark: SparkSession, sf_dir: str, row_id: bool = False) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")] if row_id else []
+    return mcq_from_documents(spread(docs.select("doc_id", "text", "lang", "source", *place)))
 
 
 def group_config(spark: SparkSession) -> DataFrame:

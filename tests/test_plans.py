@@ -32,8 +32,9 @@ def test_scan_prunes_columns(spark):
     df = E.queries()["chat_template"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>" in p
-    d = E.queries()["source_dist"](spark, SF_SMALL)
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in _plan(d)
+    from mcqflow.sources.fixtures import load_mcq
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in _plan(load_mcq(spark, SF_SMALL))
+    assert "ReadSchema: struct<source:string,reason:string,_rid:bigint>" in _plan(E.queries()["source_dist"](spark, SF_SMALL))
 
 
 def test_single_partition_exchanges_only_over_aggregates(spark):
