@@ -95,12 +95,20 @@ def q_sink_rejects(spark, sf):
     and counted per partition folder."""
     from mcqflow.session import scratch_path
     from mcqflow.sources.sinks import save_rejects
-    p = scratch_path(spark, "rejects")
-    save_rejects(classified(spark, sf), p)
-    back = spark.read.json(p)
+    back, _ = save_rejects(classified(spark, sf), scratch_path(spark, "rejects"))
     return back.groupBy("dataset", "reason").agg(F.count(F.lit(1)).alias("count"))
 
 
+@register("reject_metrics", with_ctes(MCQ, CLASSIFIED) + """
+SELECT reason, count(*) AS n FROM classified WHERE reason IS NOT NULL GROUP BY 1""")
+def q_reject_metrics(spark, sf):
+    """A2 + K4: the counts observed while the rejects were written."""
+    from mcqflow.session import scratch_path
+    from mcqflow.sources.sinks import save_rejects
+    _, counts = save_rejects(classified(spark, sf), scratch_path(spark, "rejects"))
+    return spark.createDataFrame(sorted(counts.items()), "reason string, n long")  # a row a reason
+
+
 @register("clean_annotation_counts", with_ctes(MCQ, CLASSIFIED) + """
 SELECT dataset, count(*) FILTER (WHERE note IS NOT NULL AND reason IS NULL) AS deduped_kept,
   count(*) FILTER (WHERE reason IS NULL) AS kept, count(*) FILTER (WHERE reason IS NOT NULL) AS invalid

@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from mcqflow.operators.clean import classify, reject_counts
 from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, LOWER_STRIP, STRIP, with_ctes
 from mcqflow.plans.registry import register
-from mcqflow.session import scratch_path
-from mcqflow.sources.fixtures import load_mcq
+from mcqflow.session import materialize, scratch_path
+from mcqflow.sources.fixtures import group_config, load_mcq
 from mcqflow.sources.jsonl import load_validated, loader_report
-from mcqflow.sources.native import (read_arc, read_balacopa, read_boolean, read_catalogue, read_logiqa, read_race,
-                                    read_reclor, read_winogrande)
+from mcqflow.sources.native import (assign_groups, group_audit, quarantine, read_arc, read_balacopa,
+                                    read_boolean, read_by_suffix, read_catalogue, read_logiqa, read_race, read_reclor, read_tagged,
+                                    read_winogrande)
+from mcqflow.sources.sinks import save_dataset
 
 OUT = ["doc_id", "text", "question", "options", "label"]
-ROWS_PER_ARRAY = 50_000
+ROWS_PER_ARRAY = 2_000  # a JSON array is read as one record
 MCQ_OUT = 'SELECT "index" AS doc_id, text, question, options, label FROM mcq'
 
 
@@ -143,19 +145,21 @@ def q_source_boolean(spark, sf):
     return read_boolean(spark, p, keep=["doc_id"], extra=", doc_id bigint").select(*OUT)
 
 
-def _loader_lines(spark, sf):
-    """Adapter rows as JSON lines; doc_id % 97 = 0 lines are not JSON,
-    doc_id % 89 = 0 lines carry the label as a string."""
-    m = _mcq(spark, sf)
-    good = F.to_json(F.struct("doc_id", "text", "question", "options", "label", "source"))
-    str_label = F.to_json(F.struct("doc_id", "text", "question", "options",
-                                   F.col("label").cast("string").alias("label"), "source"))
-    line = (F.when(F.col("doc_id") % 97 == 0, F.concat(F.lit("not json "), F.col("doc_id").cast("string")))
-            .when(F.col("doc_id") % 89 == 0, str_label).otherwise(good))
+def loader_lines(m, *extra):
+    """(extra columns, value): rows as JSON lines; doc_id % 97 = 0 lines are not
+    JSON, doc_id % 89 = 0 lines carry the label as a string."""
+    cols = ["doc_id", "text", "question", "options", "source", *[c for c in extra if c != "dataset"]]
+    line = lambda label: F.to_json(F.struct(*cols, label.alias("label")))
+    value = (F.when(F.col("doc_id") % 97 == 0, F.concat(F.lit("not json "), F.col("doc_id").cast("string")))
+             .when(F.col("doc_id") % 89 == 0, line(F.col("label").cast("string"))).otherwise(line(F.col("label"))))
+    return m.select(*[c for c in extra if c == "dataset"], "doc_id", value.alias("value")).sortWithinPartitions("doc_id").drop("doc_id")
+
+
+def _loader_lines(spark, sf, line_numbers=False):
+    """The adapter rows as lines; each file's in doc_id order, so line numbers can be checked."""
     p = scratch_path(spark, "loader")
-    # each file's lines in doc_id order, so line numbers can be checked
-    m.select("doc_id", line.alias("value")).sortWithinPartitions("doc_id").select("value").write.text(p)
-    return load_validated(spark, p, "documents")
+    loader_lines(_mcq(spark, sf)).write.text(p)
+    return load_validated(spark, p, "documents", line_numbers)
 
 
 LOADER_REASON = f"""CASE WHEN "index" % 97 = 0 THEN 'json_parse_error'
@@ -188,7 +192,7 @@ def q_loader_line_numbers(spark, sf):
     against the line's rank by doc_id within its file (files are written in
     doc_id order), computed by an independent bucketed rank."""
     from mcqflow.operators.index import int_bucket, ranked
-    v = _loader_lines(spark, sf)
+    v = _loader_lines(spark, sf, line_numbers=True)
     doc = F.coalesce(F.get_json_object("raw", "$.doc_id"),
                      F.regexp_extract("raw", r"^not json (\d+)$", 1)).cast("bigint")
     v = v.withColumn("doc_id", doc)
@@ -213,7 +217,7 @@ FROM classified, (VALUES ('race'), ('logiqa')) AS d(dataset) GROUP BY 1, 2""")
 def q_pipeline_convert(spark, sf):
     """E1 on native files: the adapter rows in two formats, read back by
     catalogue, cleaned and counted."""
-    return reject_counts(classify(_catalogue(spark, sf)), ["dataset"])
+    return reject_counts(classify(_catalogue(spark, sf), keep=["dataset"]), ["dataset"])
 
 
 def _catalogue(spark, sf):
@@ -226,3 +230,87 @@ def _catalogue(spark, sf):
      .write.parquet(f"{base}/race"))
     m.select("text", "question", "options", F.col("label").alias("answer")).write.option("ignoreNullFields", "false").json(f"{base}/logiqa")
     return read_catalogue(spark, [("race", "race", f"{base}/race"), ("logiqa", "logiqa", f"{base}/logiqa")])
+
+
+def _mixed_catalogue(spark, sf):
+    """Adapter rows as RACE Parquet, as LogiQA lines of which every 97th is not JSON and every
+    89th has numbers as options, and as canonical lines."""
+    base, m = scratch_path(spark, "catalogue"), _mcq(spark, sf)
+    (m.select(F.col("text").alias("article"), "question", "options",
+              F.when(F.col("label") >= 0, F.char(F.lit(65) + F.col("label"))).otherwise(F.lit("?")).alias("answer"))
+     .write.parquet(f"{base}/race"))
+    d = F.col("doc_id")
+    record = lambda options: F.to_json(F.struct("text", "question", options.alias("options"), F.col("label").alias("answer")))
+    (m.select(F.when(d % 97 == 0, F.concat(F.lit("{not json "), d.cast("string")))
+              .when(d % 89 == 0, record(F.array(F.lit(1), F.lit(2)))).otherwise(record(F.col("options"))).alias("value"))
+     .write.text(f"{base}/logiqa"))
+    m.select("text", "question", "options", "label").write.option("ignoreNullFields", "false").json(f"{base}/own")
+    return read_catalogue(spark, [(n, f, f"{base}/{n}") for n, f in (("race", "race"), ("logiqa", "logiqa"), ("own", "mcq"), ("absent", "boolean"))])
+
+
+@register("source_quarantine", with_ctes(MCQ) + """
+SELECT d.dataset, count(*) AS n, count(*) AS n_positions, count(*) FILTER (WHERE d.dataset = 'logiqa' AND "index" % 97 = 0) AS bad,
+  count(*) FILTER (WHERE d.dataset = 'logiqa' AND "index" % 89 = 0 AND "index" % 97 <> 0) AS not_strings
+FROM mcq, (VALUES ('race'), ('logiqa'), ('own')) AS d(dataset) GROUP BY 1""")
+def q_source_quarantine(spark, sf):
+    """S9 + S13: bad lines are counted as rows of their source, the other sources
+    and positions stay whole, and options that are no strings are rejected."""
+    rows = materialize(_mixed_catalogue(spark, sf).select("dataset", "index", "bad", "text", "question", "options", "label"), "catalogue-rows")
+    records, bad = quarantine(rows)
+    c = classify(records, keep=["dataset", "index"])
+    seen = c.select("dataset", "index", (F.col("reason") == "other_error").alias("no"), F.lit(0).alias("b")).unionByName(
+        bad.select("dataset", "index", F.lit(False).alias("no"), F.lit(1).alias("b")))
+    return seen.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("index").alias("n_positions"),
+                                       F.sum("b").alias("bad"), F.count_if("no").alias("not_strings"))
+
+
+@register("catalogue_groups", with_ctes(MCQ) + """
+SELECT d.dataset, d.grp, count(*) AS n FROM mcq, (VALUES ('race', 'g0'), ('logiqa', 'unassigned'), ('own', 'unassigned')) AS d(dataset, grp) GROUP BY 1, 2""")
+def q_catalogue_groups(spark, sf):
+    """S13 + J1: dataset -> group -> ratio by configuration tables; a dataset
+    without a group and a group without a ratio are counted, not lost."""
+    groups = spark.createDataFrame([("race", "g0"), ("logiqa", "a group without a ratio"), ("own", None)], "dataset string, grp string")
+    return group_audit(assign_groups(_mixed_catalogue(spark, sf), groups, group_config(spark)))
+
+
+@register("source_tagged", with_ctes(MCQ) + """
+SELECT source, lang AS own, count(*) AS n, min("index") AS first_id FROM (SELECT *, 'part_' || lang AS source FROM (SELECT "index", lang FROM mcq))
+GROUP BY 1, 2""")
+def q_source_tagged(spark, sf):
+    """Files of a folder united, each row tagged with its file's stem (here the
+    language and a number); an earlier merge output is left out."""
+    base = scratch_path(spark, "tagged")
+    m = load_mcq(spark, sf).select("lang", "text", F.col("lang").alias("question"), "options", F.col("index").alias("label"))
+    m.write.partitionBy("lang").json(f"{base}/out")
+    fs, path = _hadoop(spark, base)
+    fs.mkdirs(path(f"{base}/in"))
+    for k, f in enumerate(fs.globStatus(path(f"{base}/out/lang=*/part-*"))):  # names only
+        lang = f.getPath().getParent().getName().split("=")[1]
+        fs.rename(f.getPath(), path(f"{base}/in/part_{lang}-{k}.jsonl"))
+    spark.read.parquet(f"{sf.rstrip('/')}/benchmark.parquet").select("text").write.json(f"{base}/merged")
+    for f in fs.globStatus(path(f"{base}/merged/part-*"))[:1]:
+        fs.rename(f.getPath(), path(f"{base}/in/merged_dataset.jsonl"))
+    t = read_tagged(spark, f"{base}/in").withColumn("source", F.regexp_replace("source", r"-\d+$", ""))
+    return t.groupBy("source", F.col("question").alias("own")).agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("first_id"))
+
+
+def _hadoop(spark, base):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    return path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+@register("dataset_outputs", with_ctes(MCQ) + """
+SELECT format, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(label) AS BIGINT) AS labels, count(DISTINCT "index") AS ids
+FROM mcq, (VALUES ('json'), ('parquet')) AS f(format) GROUP BY 1""")
+def q_dataset_outputs(spark, sf):
+    """K1 + S10: a dataset in both formats from one evaluation, each read back by its suffix."""
+    p = scratch_path(spark, "dataset")
+    save_dataset(load_mcq(spark, sf).select("index", "text", "question", "options", "label", "source"), p)
+    out = None
+    for fmt in ("json", "parquet"):
+        x = read_by_suffix(spark, f"{p}/{fmt}" if fmt == "json" else f"{p}/data.parquet", extra=", index bigint")
+        x = x.agg(F.lit(fmt).alias("format"), F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.sum("label").alias("labels"),
+                  F.count_distinct("index").alias("ids"))
+        out = x if out is None else out.unionByName(x)
+    return out

@@ -3,7 +3,7 @@
 Lines are read as text and parsed as VARIANT, so that wrong JSON types
 (label "1", true or 1.0; a number among the options) are told apart from
 valid values instead of being coerced.  Line numbers are exact, 1-based per
-file, from (file, split start, row id) -- no single-task window.
+file, from (file, split start, row id) and a map with a row a split.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mcqflow.functions.text import norm, py_strip
-from mcqflow.operators.index import ranked
+from mcqflow.sources.native import place, with_positions
 
 INT_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
@@ -25,14 +25,14 @@ def _present(path: str) -> Column:
     return F.expr(f"variant_get(_v, '{path}')").isNotNull()
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_number, raw) for every line of every file under ``path``."""
-    df = (spark.read.text(path)
-          .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file"),
-                  F.col("_metadata.file_block_start").alias("_blk"),
-                  F.monotonically_increasing_id().alias("_mid")))
-    return ranked(df, ["_blk", "_mid"], F.col("_blk"), ["file"], "line_number",
-                  max_keys=None, n_buckets=None).drop("_blk", "_mid")
+def read_lines(spark: SparkSession, path: str, line_numbers: bool = True) -> DataFrame:
+    """(file, raw, and the 1-based line_number if asked for) of every line of
+    every file under ``path``; the lines are not moved for their numbers."""
+    file = F.col("_metadata.file_path").alias("file")
+    if not line_numbers:
+        return spark.read.text(path).select(F.col("value").alias("raw"), file)
+    df = with_positions(spark.read.text(path).select(F.col("value").alias("raw"), *place()), "line_number", per_file=True)
+    return df.select("raw", F.col("_file").alias("file"), (F.col("line_number") + 1).alias("line_number"))
 
 
 def validate_lines(lines: DataFrame, dataset: Column | str) -> DataFrame:
@@ -68,9 +68,9 @@ def validate_lines(lines: DataFrame, dataset: Column | str) -> DataFrame:
             .drop("_v", "_ts", "_qs", "_ot", "_o"))
 
 
-def load_validated(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+def load_validated(spark: SparkSession, path: str, dataset: str, line_numbers: bool = True) -> DataFrame:
     """Every line with its verdict; valid rows carry typed fields."""
-    return validate_lines(read_lines(spark, path), dataset)
+    return validate_lines(read_lines(spark, path, line_numbers), dataset)
 
 
 def loader_report(validated: DataFrame) -> DataFrame:

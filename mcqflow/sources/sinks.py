@@ -4,22 +4,28 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from mcqflow.schema import MCQ_COLUMNS
+from mcqflow.schema import MCQ_COLUMNS, REASONS
 
 
 def save_dataset(df: DataFrame, path: str, formats: Sequence[str] = ("json", "parquet"),
                  partition_by: Sequence[str] = ()) -> None:
-    """K1: one directory per format (``path``/json, ``path``/parquet)."""
-    for fmt in formats:
+    """K1: ``path``/data.parquet and ``path``/json.  ``df`` is evaluated once: the
+    first format is written from it, the others from what was written."""
+    base = path.rstrip("/")
+    first = "parquet" if "parquet" in formats else formats[0]
+    for fmt in [first, *(f for f in formats if f != first)]:
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         if fmt == "json":
             w = w.option("ignoreNullFields", "false")  # a NULL field stays in its line
-        w.format(fmt).save(f"{path.rstrip('/')}/{fmt}")
+        to = f"{base}/data.parquet" if fmt == "parquet" else f"{base}/{fmt}"
+        w.format(fmt).save(to)
+        if fmt == first == "parquet":
+            df = df.sparkSession.read.parquet(to)
 
 
 def save_mixed(df: DataFrame, path: str, position: str = "pos") -> None:
@@ -30,11 +36,15 @@ def save_mixed(df: DataFrame, path: str, position: str = "pos") -> None:
     out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def save_rejects(classified: DataFrame, path: str, by: Sequence[str] = ("dataset",)) -> DataFrame:
-    """K4: rejected rows partitioned by dataset and reason; returns the counts."""
+def save_rejects(classified: DataFrame, path: str, by: Sequence[str] = ("dataset",)) -> tuple[DataFrame, dict[str, int]]:
+    """K4: rejected rows partitioned by dataset and reason, in one scan that also
+    counts them: returns the written rows and the rows by reason (A2)."""
     rej = classified.where(F.col("reason").isNotNull())
-    rej.write.mode("overwrite").partitionBy(*by, "reason").json(path)
-    return rej.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("count"))
+    seen = Observation()
+    counted = rej.observe(seen, *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS])
+    counted.write.mode("overwrite").partitionBy(*by, "reason").json(path)
+    counts = seen.get
+    return classified.sparkSession.read.json(path), {r: n for r, n in counts.items() if n}
 
 
 def save_by_status(df: DataFrame, path: str, status: str = "status") -> None:

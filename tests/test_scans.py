@@ -1,5 +1,7 @@
 """What queries read and write on the way: text scans counted, no texts in intermediate tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
@@ -56,8 +58,8 @@ def test_draw_ranks_one_bucket_only(spark):
     d = draw_per_group(df, F.lit(50), ["id"], ["g"], max_keys=3)
     logical = d._jdf.queryExecution().optimizedPlan().toString()
     window = logical.index("Window [row_number()")
-    below = logical[window:].splitlines()  # cut at the offsets or where they are joined, before the window
-    assert any("_off" in line and ("Filter" in line or "Join" in line) for line in below)
+    # only buckets that the target cuts reach the ranking: the optimizer filters the offsets before they are joined
+    assert re.search(r"Filter .*< 50.*> 50", logical[window:])
     assert {r.g: r["count"] for r in d.groupBy("g").count().collect()} == {0: 50, 1: 50, 2: 50}
     assert draw_per_group(df, F.lit(0), ["id"], ["g"], max_keys=3).count() == 0
     assert draw_per_group(df, F.lit(400), ["id"], ["g"], max_keys=3).count() == 1000 and plan.count() > 0

@@ -87,3 +87,67 @@ def test_read_by_suffix(spark, tmp_path):
     a = read_by_suffix(spark, str(tmp_path / "d.jsonl")).collect()[0]
     b = read_by_suffix(spark, str(tmp_path / "d.parquet")).collect()[0]
     assert a.label == b.label == 1 and list(a.options) == list(b.options) == ["a", "b"]
+
+
+def test_positions_without_moving_rows(spark, tmp_path):
+    """Files larger than a split: exact positions, and no exchange below them carries a text."""
+    from mcqflow.sources.jsonl import read_lines
+    from mcqflow.sources.native import place, with_positions
+    for f, n in (("a", 4000), ("b", 1), ("c", 2500)):
+        (tmp_path / f"{f}.txt").write_text("".join(f"{f} {k} {'x' * (k % 50)}\n" for k in range(n)))
+    (tmp_path / "d.txt").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = read_lines(spark, str(tmp_path))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        rows = lines.collect()
+        df = with_positions(spark.read.text(str(tmp_path)).select("value", *place()), "at")
+        whole = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(int(r.raw.split()[1]) == r.line_number - 1 for r in rows) and len(rows) == 6501
+    lines_of = lambda word: [x for x in plan.splitlines() if word in x]
+    assert lines_of("BroadcastHashJoin") and not [x for x in lines_of("Sort") if "raw" in x or "value" in x]
+    assert len(lines_of("Exchange")) == 2  # both of the map: its prefix sums, its broadcast
+    first = {"a": 0, "b": 4000, "c": 4001}
+    assert all(r.at == first[r.value.split()[0]] + int(r.value.split()[1]) for r in whole)
+
+
+def test_bad_lines_and_cell_types(spark, tmp_path):
+    """A source with broken lines stays whole, and so do the others."""
+    from mcqflow.operators.clean import classify
+    from mcqflow.sources.native import quarantine, read_catalogue
+    (tmp_path / "logiqa.txt").write_text(
+        '{"text": "t", "question": "q", "options": ["a", "b"], "answer": 1}\nnot json\n'
+        '{"text": "t", "question": "q1", "options": [1, 2], "answer": 0}\n{"text": "t", "question": "q2", "options": "ab", "answer": 0}\n'
+        '{"text": "t", "question": "q3", "options": ["a", null], "answer": 0}\n{"text": "t", "question": "q4", "options": ["a", "b"], "answer": "1"}\n'
+        '{"text": "t", "question": "q5", "options": ["a", "b"], "answer": true}\n{"text": "t", "question": "q6"}\n')
+    (tmp_path / "own.jsonl").write_text('{"text": "t", "question": "q", "options": ["a", "b"], "label": 0}\n{"text": \n')
+    (tmp_path / "wino.jsonl").write_text('{"sentence": "s _", "option1": "a", "option2": 3, "answer": "1"}\n{"sentence": "s _", "option1": "a", "option2": "b", "answer": "2"}\n')
+    rows = read_catalogue(spark, [("logiqa", "logiqa", f"{tmp_path}/logiqa.txt"), ("own", "mcq", f"{tmp_path}/own.jsonl", "g1"),
+                                  ("wino", "winogrande", f"{tmp_path}/wino.jsonl"), ("gone", "race", f"{tmp_path}/none")])
+    records, bad = quarantine(rows)
+    assert sorted((r.dataset, r["index"], r.bad) for r in bad.collect()) == [("logiqa", 1, "not json"), ("own", 1, '{"text": ')]
+    got = {(r.dataset, r["index"]): r.reason for r in classify(records, keep=["dataset", "index"]).collect()}
+    assert got == {("logiqa", 0): None, ("logiqa", 2): "other_error", ("logiqa", 3): "other_error", ("logiqa", 4): "other_error",
+                   ("logiqa", 5): "label_out_of_range", ("logiqa", 6): "label_out_of_range", ("logiqa", 7): "other_error",
+                   ("own", 0): None, ("wino", 0): "other_error", ("wino", 1): None}
+    assert {r.grp for r in rows.where("dataset = 'own'").collect()} == {"g1"}
+
+
+def test_groups_lose_no_row(spark):
+    from mcqflow.sources.native import assign_groups, group_audit
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "dataset string, index long")
+    groups = spark.createDataFrame([("a", "g1"), ("b", "lost"), ("c", None), (None, "g1")], "dataset string, grp string")
+    ratios = spark.createDataFrame([("g1", 0.5, 0), ("g2", 0.5, 1)], "grp string, ratio double, grp_ord int")
+    got = assign_groups(rows, groups, ratios)
+    assert sorted((r["index"], r.grp, r.ratio, r.grp_ord) for r in got.collect()) == [
+        (1, "g1", 0.5, 0), (2, "g1", 0.5, 0), (3, "unassigned", 0.0, 2), (4, "unassigned", 0.0, 2), (5, "unassigned", 0.0, 2)]
+    assert {(r.dataset, r.grp, r.n) for r in group_audit(got).collect()} == {("a", "g1", 2), ("b", "unassigned", 1), ("c", "unassigned", 1), (None, "unassigned", 1)}
+
+
+def test_parquet_options_in_text_form(spark, tmp_path):
+    from mcqflow.sources.native import read_by_suffix
+    spark.createDataFrame([("t", "['a', 'b']", 1)], "text string, options string, label int").write.parquet(f"{tmp_path}/x.parquet")
+    r = read_by_suffix(spark, f"{tmp_path}/x.parquet").first()
+    assert r.options == ["a", "b"] and r.label == 1 and r.question is None
