@@ -78,12 +78,13 @@ def whole_number(cell: Column) -> Column:
     return F.when(kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.try_variant_get(cell, "$", "bigint"))
 
 
-def _json(spark: SparkSession, path, fields: str, extra: str, fail_fast: bool = False, lines: bool = True) -> DataFrame:
+def _json(spark: SparkSession, path, fields: str, extra: str, lines: bool = True) -> DataFrame:
     """JSON records with the given fields; ``bad`` holds the raw text of a record
     that does not parse, so that one bad line costs one row and not its source."""
-    r = spark.read.schema(f"{fields}{extra}" if fail_fast else f"{fields}{extra}, bad string")
-    r = r.option("mode", "FAILFAST") if fail_fast else r.option("columnNameOfCorruptRecord", "bad")
-    return r.option("multiLine", not lines).json(path)
+    r = spark.read.schema(f"{fields}{extra}, bad string").option("columnNameOfCorruptRecord", "bad")
+    df = r.option("multiLine", not lines).json(path)
+    # a bad record has no fields; naming one lets the bad ones be read alone
+    return df.withColumn("bad", F.when(F.col(fields.split()[0]).isNull(), F.col("bad")))
 
 
 def _kept(df: DataFrame, keep: Sequence) -> list:
@@ -128,7 +129,7 @@ def read_balacopa(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> D
                 F.col("`_most-plausible-alternative`").cast("bigint") - 1, keep)
 
 
-BOOLEAN_FIELDS = "question string, passage string, answer boolean"
+BOOLEAN_FIELDS = "question string, passage string, answer variant"
 
 
 def read_boolean(spark: SparkSession, path: str, keep: Sequence[str] = (), extra: str = "") -> DataFrame:
@@ -136,7 +137,8 @@ def read_boolean(spark: SparkSession, path: str, keep: Sequence[str] = (), extra
     df = _json(spark, path, BOOLEAN_FIELDS, extra)
     q = F.concat(F.upper(F.substring("question", 1, 1)), F.expr("substring(question, 2)"), F.lit("?"))
     return _out(df, F.col("passage"), q, F.array(*[F.lit(o) for o in BOOLEAN_OPTIONS]),
-                F.when(F.col("answer"), 0).when(~F.col("answer"), 1), _kept(df, keep))  # missing or unparsable: NULL
+                F.when(F.try_variant_get(F.when(F.schema_of_variant("answer") == "BOOLEAN", F.col("answer")), "$", "boolean"), 0)
+                .when(F.schema_of_variant("answer") == "BOOLEAN", 1), _kept(df, keep))  # missing or unparsable: NULL
 
 
 MCQ_JSON_SCHEMA = "text string, question string, options array<string>, label bigint, source string"
