@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mcqflow.operators.sample import QUINTILE_LABELS, length_percentiles
+from mcqflow.session import materialize
 
 
 def counts(df: DataFrame, *keys, name: str = "n") -> DataFrame:
@@ -109,18 +110,19 @@ def bucket_shares(lengths: DataFrame, col: str = "length") -> DataFrame:
 def box_stats(lengths: DataFrame, col: str = "length", by: str = "dataset") -> DataFrame:
     """Per dataset median, Q1, Q3, whiskers (most extreme values within
     1.5 IQR of the box) and flier count."""
-    q = length_percentiles(lengths, col, [0.25, 0.5, 0.75], [by]).select(
-        by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    hist = lengths.groupBy(by, col).agg(F.count(F.lit(1)).alias("_n"))  # all that follows reads lengths with their counts
+    q = hist.groupBy(by).agg(F.percentile(F.col(col), F.array(*map(F.lit, (0.25, 0.5, 0.75))), F.col("_n")).alias("q")).select(
+        F.col(by).alias("_by"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    x = lengths.join(q, by)  # AQE broadcasts q at run time when it is small
+    x = hist.join(q, F.col(by).eqNullSafe(F.col("_by")))
     v = F.col(col)
     inside = (v >= F.col("lo")) & (v <= F.col("hi"))
     return x.groupBy(by).agg(
         F.round(F.first("median"), 6).alias("median"), F.round(F.first("q1"), 6).alias("q1"),
         F.round(F.first("q3"), 6).alias("q3"),
         F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.count_if(~inside).alias("fliers"))
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("fliers"))
 
 
 def histogram(lengths: DataFrame, col: str, lo: Column, hi: Column, n_edges: int,
@@ -168,27 +170,39 @@ def source_trend(df: DataFrame, pos: str = "pos", chunk: int = 100, window: int
     Tumbling (default): window w covers rows [w*chunk*window, (w+1)*chunk*window).
     ``stride`` given (it divides chunk*window): window w covers rows
     [w*stride, w*stride + chunk*window) for every w with w*stride < #rows.
-    Rows are first counted per block of ``stride`` rows, so each (source,
-    block) count reaches at most chunk*window/stride windows.  Zero cells
-    included; positions are dense, so the windows are those of the blocks.
+    Rows are counted per block of ``stride`` rows; a window's count is the
+    difference of two running totals of its source.  Zero cells included;
+    positions are dense, so the windows are those of the blocks.
     """
     span = chunk * window
-    if stride is None:
-        c = (df.groupBy(F.floor(F.col(pos) / span).cast("bigint").alias("window"), source)
-             .agg(F.count(F.lit(1)).alias("_c")))
-    else:
-        per = span // stride
-        blk = (df.groupBy(F.floor(F.col(pos) / stride).cast("bigint").alias("_b"), source)
-               .agg(F.count(F.lit(1)).alias("_c")))
-        # block b lies in windows b-per+1 .. b
-        w = blk.select(source, "_c", F.explode(F.sequence(
-            F.greatest(F.col("_b") - per + 1, F.lit(0)), F.col("_b"))).alias("window"))
-        c = w.groupBy("window", source).agg(F.sum("_c").alias("_c"))
-    wins = c.select("window").distinct()
-    grid = wins.select("window", F.explode(_source_list(df, source)).alias(source))
-    return (grid.join(c, ["window", source], "left")
-            .select("window", source, F.round(F.coalesce("_c", F.lit(0)) / F.lit(float(window)), 6)
-                    .alias("avg_per_chunk")))
+    size = span if stride is None else stride
+    c = (df.groupBy(F.floor(F.col(pos) / size).cast("bigint").alias("window"), source)
+         .agg(F.count(F.lit(1)).alias("_c")))
+    grid = c.select("window").distinct().select("window", F.explode(_source_list(df, source)).alias(source))
+    grid = grid.join(c, ["window", source], "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
+    if stride is not None:
+        grid = _window_sums(grid, span // stride, source)
+    return grid.select("window", source, F.round(F.col("_c") / F.lit(float(window)), 6).alias("avg_per_chunk"))
+
+
+BLOCKS_PER_TASK = 1 << 16
+
+
+def _window_sums(grid: DataFrame, per: int, source: str) -> DataFrame:
+    """``_c`` of each (source, window) summed over the windows window .. window +
+    per - 1.  Running totals are taken per stretch of ``BLOCKS_PER_TASK`` windows
+    and start from the prefix sums of the stretches, so no task holds a source."""
+    x = materialize(grid.withColumn("_g", F.floor(F.col("window") / BLOCKS_PER_TASK)), "trend-blocks")
+    before = Window.partitionBy(source).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    base = (x.groupBy(source, "_g").agg(F.sum("_c").alias("_s"))
+            .select(source, "_g", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"),
+                    F.sum("_s").over(Window.partitionBy(source)).alias("_all")))
+    inside = Window.partitionBy(source, "_g").orderBy("window").rowsBetween(Window.unboundedPreceding, 0)
+    run = materialize(x.withColumn("_run", F.sum("_c").over(inside)).join(base, [source, "_g"])
+                      .select("window", source, "_c", (F.col("_run") + F.col("_before")).alias("_run"), "_all"), "trend-totals")
+    end = run.select((F.col("window") - (per - 1)).alias("window"), source, F.col("_run").alias("_end")).where("window >= 0")
+    return run.join(end, ["window", source], "left").select(  # windows past the end reach to the last row
+        "window", source, (F.coalesce("_end", "_all") - F.col("_run") + F.col("_c")).alias("_c"))
 
 
 def shuffle_uniformity(df: DataFrame, source: str = "source") -> DataFrame:

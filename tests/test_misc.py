@@ -92,3 +92,17 @@ def test_pair_responses_keeps_both_sides(spark):
     got = {(r["index"], r["label"], r["response"], r["pair_status"]) for r in pair_responses(req, resp).collect()}
     assert got == {(1, 0, "new", "paired"), (2, 1, None, "paired"), (3, 2, None, "missing"), (None, 3, None, "missing"), (9, None, "x", "extra")}
     assert pair_responses(req.limit(0), resp.limit(0)).count() == 0
+
+
+def test_sliding_windows_from_running_totals(spark, monkeypatch):
+    """Every stride and stretch length gives the counts of plain windows."""
+    from mcqflow.operators import stats
+    monkeypatch.setattr(stats, "BLOCKS_PER_TASK", 3)
+    n = 237
+    df = spark.range(n).select(F.col("id").alias("pos"), F.concat(F.lit("s"), (F.col("id") * F.col("id") % 3).cast("string")).alias("source"))
+    rows = [(r.pos, r.source) for r in df.collect()]
+    for stride in (5, 10, 50):
+        got = {(r.window, r.source): r.avg_per_chunk for r in stats.source_trend(df, chunk=10, window=5, stride=stride).collect()}
+        assert len(got) == -(-n // stride) * len({s for _, s in rows})
+        for (w, s), v in got.items():
+            assert abs(v - sum(w * stride <= p < w * stride + 50 and s == t for p, t in rows) / 5) < 1e-6
