@@ -39,7 +39,7 @@ def test_catalogue_skip_and_fail(spark, tmp_path):
 def test_save_dataset_round_trip(spark, tmp_path):
     v = valid(spark, SF_SMALL).select("index", "text", "question", "options", "label", "source")
     save_dataset(v, str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out" / "parquet")).count() == v.count()
+    assert spark.read.parquet(str(tmp_path / "out" / "data.parquet")).count() == v.count()
     assert spark.read.json(str(tmp_path / "out" / "json")).count() == v.count()
 
 
