@@ -2,8 +2,9 @@
 
 Validation and accuracy are pure DataFrame aggregates.  Model calls run in
 ``mapInPandas`` around a user-supplied callable (one HTTP client per Python
-worker, Arrow batches of ``batch_size`` rows); status columns replace the
-reference's separate success / failure files.
+worker, ``batch_size`` rows at a time); status columns stand for separate
+success and failure files.  With a response journal a broken run is resumed
+without asking again for what was answered (``operators.journal``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from mcqflow.functions.answers import (answer_correct, extract_answer, has_conclusion,
                                        has_step_marker, reasoning_problems, response_content)
 from mcqflow.operators.index import MAX_INT_BUCKETS, int_bucket, ranked
+from mcqflow.operators.journal import ResponseJournal
 
 
 def validation_stats(df: DataFrame, reasoning: str = "reasoning", label: str = "label",
@@ -75,13 +77,17 @@ def index_slice(df: DataFrame, start: int = 0, end: int | None = None, order: st
 
 # ---- batch model calls ------------------------------------------------------
 # ``fn(payload_json: str, attempt: int) -> str`` is user code (an HTTP client,
-# a local model ...).  It runs inside Python workers over Arrow batches, with
-# ``concurrency`` calls in flight per task.  Responses are written to the
-# shared folder after every attempt: a lost executor or a re-planned stage
-# must never call the model again for rows already answered.
+# a local model ...).  It runs inside Python workers over batches of at most
+# ``batch_size`` rows, with ``concurrency`` calls in flight per task.  Responses
+# are written to the shared folder after every attempt, or to the journal task
+# by task: a lost executor or a re-planned stage must never call the model
+# again for rows already answered.
+
+BATCH_SIZE = 50
+
 
 def call_model(df: DataFrame, fn: Callable[[str, int], str], attempt: int, payload: str = "payload",
-               out: str = "response", concurrency: int = 20) -> DataFrame:
+               out: str = "response", concurrency: int = 20, batch_size: int = BATCH_SIZE) -> DataFrame:
     from pyspark.sql import types as T
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType()),
                                               T.StructField("call_error", T.StringType())])
@@ -96,17 +102,28 @@ def call_model(df: DataFrame, fn: Callable[[str, int], str], attempt: int, paylo
                 return None, f"{type(e).__name__}: {e}"
 
         with ThreadPoolExecutor(max_workers=concurrency) as ex:
-            for pdf in batches:
-                res = list(ex.map(one, pdf[payload].tolist()))
-                pdf[out] = [r[0] for r in res]
-                pdf["call_error"] = [r[1] for r in res]
-                yield pdf
+            for rows in batches:
+                for at in range(0, len(rows), batch_size):
+                    pdf = rows.iloc[at:at + batch_size].copy()
+                    res = list(ex.map(one, pdf[payload].tolist()))
+                    pdf[out] = [r[0] for r in res]
+                    pdf["call_error"] = [r[1] for r in res]
+                    yield pdf
 
     return df.mapInPandas(run, schema)
 
 
+def _answers(df: DataFrame, fn, attempt: int, concurrency: int, batch_size: int,
+             journal: ResponseJournal | None, key: str) -> DataFrame:
+    """``df`` with response and call_error, by calls or from the journal."""
+    def call(x):
+        return call_model(x, fn, attempt, concurrency=concurrency, batch_size=batch_size)
+    return call(df) if journal is None else journal.answer(df, call, attempt, key)
+
+
 def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame], Column],
-              concurrency: int, chat_body: bool = True) -> DataFrame:
+              concurrency: int, chat_body: bool = True, batch_size: int = BATCH_SIZE,
+              journal: ResponseJournal | None = None, key: str = "index") -> DataFrame:
     """Runs attempts 1..max_attempts; each attempt only for rows not yet
     accepted (L5: failed rows are the next input).  Adds response,
     call_error, attempts, accepted."""
@@ -114,7 +131,7 @@ def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame],
     pending = df
     done = None
     for attempt in range(1, max_attempts + 1):
-        got = call_model(pending, fn, attempt, concurrency=concurrency)
+        got = _answers(pending, fn, attempt, concurrency, batch_size, journal, key)
         if chat_body:  # P24: the message text of a chat-completions body
             got = got.withColumn("response", response_content(F.col("response")))
         got = got.withColumn("attempts", F.lit(attempt)).withColumn("accepted", judge(got))
@@ -132,7 +149,8 @@ def _attempts(df: DataFrame, fn, max_attempts: int, judge: Callable[[DataFrame],
 
 def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "model",
                        temperature: float = 0.7, max_tokens: int = 2000, letters: str = "ABCD",
-                       max_attempts: int = 3, concurrency: int = 20, chat_body: bool = True) -> DataFrame:
+                       max_attempts: int = 3, concurrency: int = 20, chat_body: bool = True,
+                       batch_size: int = BATCH_SIZE, journal: ResponseJournal | None = None, key: str = "index") -> DataFrame:
     """L1: step-by-step prompt -> call -> extract letter -> accept if right,
     else retry; after the last attempt the row is 'failed' with a reason."""
     from mcqflow.functions.prompt import prompt_steps_style, request_payload
@@ -143,7 +161,7 @@ def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "mode
         return F.coalesce(answer_correct(extract_answer(F.col("response"), letters), F.col("label")),
                           F.lit(False)) & F.col("call_error").isNull()
 
-    r = _attempts(x, fn, max_attempts, judge, concurrency, chat_body)
+    r = _attempts(x, fn, max_attempts, judge, concurrency, chat_body, batch_size, journal, key)
     return (r.withColumn("status", F.when(F.col("accepted"), "ok").otherwise("failed"))
             .withColumn("failure_reason", F.when(F.col("accepted"), None)
                         .when(F.col("call_error").isNotNull(), F.concat(F.lit("call_error: "), F.col("call_error")))
@@ -153,7 +171,8 @@ def generate_reasoning(df: DataFrame, fn, system_prompt: str, model: str = "mode
 
 def generate_structured(df: DataFrame, fn, system_prompt: str, model: str = "model",
                         temperature: float = 0.3, max_tokens: int = 1000,
-                        max_attempts: int = 3, concurrency: int = 20, chat_body: bool = True) -> DataFrame:
+                        max_attempts: int = 3, concurrency: int = 20, chat_body: bool = True,
+                        batch_size: int = BATCH_SIZE, journal: ResponseJournal | None = None, key: str = "index") -> DataFrame:
     """L2: JSON-object responses; all seven fields must be present and the
     answer (stripped, upper-cased) must match, else retry; then
     'manual_review'.  Parsed response in ``reasoning_steps``."""
@@ -168,13 +187,14 @@ def generate_structured(df: DataFrame, fn, system_prompt: str, model: str = "mod
         return (F.col("call_error").isNull() & has_fields(F.col("response"), REASONING_FIELDS)
                 & json_answer_correct(ans, F.col("label")))
 
-    r = _attempts(x, fn, max_attempts, judge, concurrency, chat_body)
+    r = _attempts(x, fn, max_attempts, judge, concurrency, chat_body, batch_size, journal, key)
     return (r.withColumn("status", F.when(F.col("accepted"), "ok").otherwise("manual_review"))
             .withColumn("reasoning_steps", F.when(F.col("accepted"), F.from_json("response", REASONING_STRUCT))))
 
 
 def analysis_run(df: DataFrame, fn, system_prompt: str, model: str = "model",
-                 concurrency: int = 20, chat_body: bool = True) -> DataFrame:
+                 concurrency: int = 20, chat_body: bool = True, batch_size: int = BATCH_SIZE,
+                 journal: ResponseJournal | None = None, key: str = "index") -> DataFrame:
     """L3: one attempt with the analysis prompt; unanswered rows are dropped;
     ``is_correct`` = exact letter match (P14d)."""
     from mcqflow.functions.answers import exact_answer_correct
@@ -183,7 +203,7 @@ def analysis_run(df: DataFrame, fn, system_prompt: str, model: str = "model",
     from mcqflow.session import materialize
     x = df.withColumn("payload", request_payload(prompt_analysis_style(), system_prompt, model, 0.0, 1000,
                                                  json_object=True))
-    got = materialize(call_model(x, fn, 1, concurrency=concurrency), "analysis")
+    got = materialize(_answers(x, fn, 1, concurrency, batch_size, journal, key), "analysis")
     if chat_body:
         got = got.withColumn("response", response_content(F.col("response")))
     a = F.when(F.expr("try_parse_json(response)").isNotNull(), F.from_json("response", ANALYSIS_STRUCT))

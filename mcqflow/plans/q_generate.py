@@ -12,6 +12,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from mcqflow.operators.journal import ResponseJournal
 from mcqflow.operators.reasoning import (analysis_run, generate_reasoning, generate_structured,
                                          status_counts)
 from mcqflow.plans.oracle_sql import CLASSIFIED, MCQ, VALID, with_ctes
@@ -143,3 +144,21 @@ def q_generation_outputs(spark, sf):
     p = scratch_path(spark, "generated_out")
     save_by_status(_gen(spark, sf).select("index", "status", "attempts", "failure_reason", "reasoning"), p)
     return spark.read.json(p).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("generate_resume", with_ctes(MCQ, CLASSIFIED, VALID, GEN) + """,
+r AS (SELECT "index", CASE WHEN ok_at IS NULL THEN 'failed' ELSE 'ok' END AS status,
+  CAST(coalesce(ok_at, 3) AS INTEGER) AS attempts FROM gen3)
+SELECT "index", status, attempts, 1::BIGINT AS calls_run1, (attempts - 1)::BIGINT AS calls_run2, 0::BIGINT AS calls_run3 FROM r""")
+def q_generate_resume(spark, sf):
+    """L1, L5 with a journal: a run that ended after its first attempt, the run that
+    resumes it, and a third run that finds every answer logged; calls of each run by row."""
+    from mcqflow.session import scratch_path
+    p = scratch_path(spark, "journal")
+    v = valid(spark, sf)
+    for run, most in (("1", 1), ("2", 3), ("3", 3)):
+        journal = ResponseJournal(spark, p, run)
+        rows = generate_reasoning(v, stub_text_model, SYSTEM, max_attempts=most, journal=journal)
+    calls = journal.log().groupBy("key").agg(*[F.count_if(F.col("run") == k).alias(f"calls_run{k}") for k in "123"])
+    return (rows.select("index", "status", "attempts").join(calls, F.col("index").cast("string") == F.col("key"), "left")
+            .drop("key").fillna(0, [f"calls_run{k}" for k in "123"]))

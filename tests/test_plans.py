@@ -4,7 +4,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 PY_ALLOWED = {"generate_reasoning", "generation_status_counts", "generate_json", "analysis_run",
-              "retry_selection"}
+              "retry_selection", "generate_resume"}
 
 
 def _plan(df):
