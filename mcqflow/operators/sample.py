@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from mcqflow.functions.text import total_length, blank_to_empty
 from mcqflow.operators.index import hex_bucket, join_small, ranked, seeded_hash, with_offsets
+from mcqflow.operators.select import percentiles
 
 SEED = 42
 QUINTILE_LABELS = ["very_short", "short", "medium", "long", "very_long"]
@@ -80,18 +81,13 @@ def group_targets(df: DataFrame, groups: DataFrame, total) -> DataFrame:
                     (F.coalesce("available", F.lit(0)) < F.col("target")).alias("short")))
 
 
-# ---- exact percentiles over a length histogram -----------------------------
+# ---- exact percentiles -----------------------------------------------------
 
 def length_percentiles(df: DataFrame, col: str, ps: Sequence[float],
                        by: Sequence[str] = ()) -> DataFrame:
-    """Exact (linear-interpolated) percentiles of an integer column.
-
-    Pre-aggregated to (value, count) first, so the final aggregate holds only
-    the distinct values -- bounded by the value range, not the row count.
-    """
-    hist = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_cnt"))
-    return hist.groupBy(*by).agg(
-        F.percentile(F.col(col), F.array(*[F.lit(float(p)) for p in ps]), F.col("_cnt")).alias("q"))
+    """Exact (linear-interpolated) percentiles of an integer column, by radix
+    selection on its histogram: no task holds all distinct values of a group."""
+    return percentiles(df, col, ps, by)
 
 
 def fence_stats(df: DataFrame, col: str = "length", by: Sequence[str] = ()) -> DataFrame:

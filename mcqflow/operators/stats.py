@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mcqflow.operators.sample import QUINTILE_LABELS, length_percentiles
+from mcqflow.operators.select import percentiles
 from mcqflow.session import materialize
 
 
@@ -110,8 +111,8 @@ def bucket_shares(lengths: DataFrame, col: str = "length") -> DataFrame:
 def box_stats(lengths: DataFrame, col: str = "length", by: str = "dataset") -> DataFrame:
     """Per dataset median, Q1, Q3, whiskers (most extreme values within
     1.5 IQR of the box) and flier count."""
-    hist = lengths.groupBy(by, col).agg(F.count(F.lit(1)).alias("_n"))  # all that follows reads lengths with their counts
-    q = hist.groupBy(by).agg(F.percentile(F.col(col), F.array(*map(F.lit, (0.25, 0.5, 0.75))), F.col("_n")).alias("q")).select(
+    hist = materialize(lengths.groupBy(by, col).agg(F.count(F.lit(1)).alias("_n")), "histogram")  # all that follows reads it
+    q = percentiles(hist, col, [0.25, 0.5, 0.75], [by], count="_n").select(
         F.col(by).alias("_by"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
