@@ -19,6 +19,9 @@ with the tasks.  One block is one pass over the documents, nothing is shuffled.
 For more blocks the documents are written once with a row number; each block is
 a pass of its own that ends with its matches (row number, matches) written, so
 one index lives at a time, and the matches are joined to the rows at the end.
+Common q-grams are counted in parts of bounded size; a row and an item that have
+more pairs of positions than one part (a long ruler, a table of zeros) are
+counted band by band instead, with the same counts.
 
 Defined cases: null and empty texts match nothing; items with null or blank
 text are ignored; an item shorter than q characters matches wherever its text
@@ -29,6 +32,7 @@ judged each; extra columns pass through, a column named matches is replaced.
 
 from __future__ import annotations
 
+from bisect import bisect
 from functools import reduce
 
 import numpy as np
@@ -44,6 +48,8 @@ from mcqflow.session import materialize
 Q = 12
 EDIT_RATE = 0.05
 BLOCK_CHARS = 4_000_000
+PAIRS = 1 << 19  # pairs of a text and an item position, or of a band and one, held at a time
+CELLS = 1 << 20  # characters aligned at a time
 MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start", T.LongType()),
                                   T.StructField("end", T.LongType()), T.StructField("distance", T.IntegerType())]))
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -126,7 +132,8 @@ class Index:
         pos = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(h, kind="stable")
         self.item, self.pos = item[order], pos[order]
-        self.keys, self.first = np.unique(h[order], return_index=True)
+        self.keys, self.first, gram = np.unique(h[order], return_index=True, return_inverse=True)
+        self.code = gram * len(self.m) + self.item  # ascending: a gram's entries are in order of items
         self.first = np.append(self.first, len(h))
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[self.keys >> np.uint64(64 - _BITS)] = True
@@ -142,20 +149,65 @@ class Index:
         row = np.searchsorted(off, at, "right") - 1
         inside = at + self.q <= off[row + 1]
         at, p, row = at[inside], p[inside], row[inside]
-        n = self.first[p + 1] - self.first[p]
-        idx = W.gather(np.arange(len(self.item)), self.first[p], n)
-        at, row = np.repeat(at, n), np.repeat(row, n)
+        found = [np.stack(f) for f in self._split(at - off[row], row, p, self.first[p], self.first[p + 1])]
+        return tuple(np.concatenate(found, axis=1)) if found else (np.zeros(0, np.int64),) * 3
+
+    def _split(self, local, row, p, lo, hi):
+        """Bands of hits (``local``: place in the row, ``p``: gram, index entries lo to hi):
+        parts with at most PAIRS pairs of a text and an item position are counted pair by
+        pair, by rows, then by items; what one row and one item have above that, by bands."""
+        some = hi > lo
+        local, row, p, lo, hi = local[some], row[some], p[some], lo[some], hi[some]
+        if not len(local):
+            return
+        total = np.cumsum(hi - lo)
+        if total[-1] <= PAIRS:
+            yield self._by_pairs(local, row, lo, hi)
+            return
+        if row[0] != row[-1]:
+            cut = np.searchsorted(row, row[np.searchsorted(total, total[-1] // 2)], "left")
+            if not cut:
+                cut = np.searchsorted(row, row[0], "right")
+            for x in (slice(None, cut), slice(cut, None)):
+                yield from self._split(local[x], row[x], p[x], lo[x], hi[x])
+            return
+        first, last = int(self.item[lo].min()), int(self.item[hi - 1].max())
+        if first == last:
+            yield self._by_bands(local, int(row[0]), p, first)
+            return
+        mid = np.clip(np.searchsorted(self.code, p * len(self.m) + (first + last + 1) // 2), lo, hi)
+        yield from self._split(local, row, p, lo, mid)
+        yield from self._split(local, row, p, mid, hi)
+
+    def _by_bands(self, local, row, p, item):
+        """For each band of one row and one item: the item positions whose gram the row has in
+        the band.  Work and memory go by bands times positions, not by pairs of positions."""
+        own = np.flatnonzero(self.item == item)
+        pos, key = self.pos[own], np.searchsorted(self.first, own, "right") - 1
+        w, span = int(self.k[item]) + 1, int(local.max()) + 2
+        text = np.sort(p * span + local)
+        bands = np.arange((int(local.min()) - int(pos.max())) // w - 1, int(local.max()) // w + 1)
+        good = []
+        step = max(1, PAIRS // len(pos))
+        for b in range(0, len(bands), step):
+            begin = pos[None, :] + bands[b:b + step, None] * w
+            lo, hi = (np.searchsorted(text, key * span + np.clip(x, 0, span - 1)) for x in (begin, begin + 2 * w))
+            good.append(bands[b:b + step][(hi > lo).sum(1) >= self.need[item]])
+        good = np.concatenate(good)
+        return np.full(len(good), row), np.full(len(good), item), good * w
+
+    def _by_pairs(self, local, row, lo, hi):
+        n = hi - lo
+        idx = W.gather(np.arange(len(self.item)), lo, n)
+        local, row = np.repeat(local, n), np.repeat(row, n)
         item, pos = self.item[idx], self.pos[idx]
         w = self.k[item] + 1
-        diag = at - off[row] - pos
-        band = np.floor_divide(diag, w)
+        band = np.floor_divide(local - pos, w)
         row, item, pos, w = (np.concatenate((x, x)) for x in (row, item, pos, w))
         band = np.concatenate((band, band - 1))
         # distinct item positions in each (row, item, band)
         order = np.lexsort((pos, band, item, row))
         row, item, band, pos, w = row[order], item[order], band[order], pos[order], w[order]
-        if not len(row):
-            return row, item, band
         head = np.ones(len(row), bool)
         head[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
         fresh = head.copy()
@@ -237,8 +289,12 @@ def _search(index, col):
         for x, *found in index.exact(c, off):
             short[lo + x].append((*found, 0))
         row, item, diag = index.regions(c, off)
-        for a in range(0, len(row), 256):
-            r, it, dg = row[a:a + 256], item[a:a + 256], diag[a:a + 256]
+        order = np.argsort(-index.m[item], kind="stable")  # like lengths together, the longest first
+        row, item, diag = row[order], item[order], diag[order]
+        z = 0
+        while z < len(row):
+            a, z = z, z + max(1, min(256, CELLS // int(index.m[item[z]] + 4 * index.k[item[z]] + 2)))
+            r, it, dg = row[a:z], item[a:z], diag[a:z]
             dist, begun, end = index.align(c, off, r, it, dg)
             for x, y, s, e, v in zip(r, it, begun, end, dist):
                 if v <= index.k[y]:
@@ -246,9 +302,12 @@ def _search(index, col):
     for r, found in enumerate(out):
         if not found and not short[r]:
             continue
-        kept = []  # neighbouring bands find the same passage: the closest one stays
+        kept, taken = [], {}  # neighbouring bands find the same passage: the closest one stays
         for y, s, e, v in sorted(set(found), key=lambda f: (f[0], f[3], f[1], f[2])):
-            if not any(y == z and s < b and a < e for z, a, b, _ in kept):
+            own = taken.setdefault(y, [])  # disjoint passages of the item, in order
+            at = bisect(own, (s, e))
+            if not (at and own[at - 1][1] > s) and not (at < len(own) and own[at][0] < e):
+                own.insert(at, (s, e))
                 kept.append((y, s, e, v))
         out[r] = sorted((index.ids[y], s, e, v) for y, s, e, v in kept + short[r])
     return out

@@ -102,6 +102,60 @@ def test_decontamination_against_alignment(spark):
     assert decontam.decontaminate(spark.createDataFrame(rows, DOCS), bench.limit(0)).count() == len(rows)
 
 
+def _found(items, texts):
+    index = decontam.Index(list(range(len(items))), items)
+    return decontam._search(index, pa.array(texts, pa.string()))
+
+
+@pytest.mark.parametrize("pairs, cells", [(1, 1), (50, 300), (5000, 10**6)])
+def test_decontamination_in_parts_finds_the_same(monkeypatch, pairs, cells):
+    """Repetitive items and texts, several rows and items: any size of the parts gives the same matches."""
+    r = np.random.RandomState(3)
+    pick = lambda n, letters: "".join(r.choice(list(letters), n))
+    items = ["=" * 60, "ab" * 40, pick(90, "ab"), pick(200, "abc"), "-" * 25, "=" * 59 + "x", pick(130, "xyz ")]
+    texts = ["=" * 300, "q" + "ab" * 100, pick(500, "ab"), items[3][:90] + "z" + items[3][90:] + "=" * 57, "", None,
+             "-" * 24 + "+" + "-" * 90, items[6], pick(800, "ab") + items[2] + "=-" * 50, "=" * 59 + "x"]
+    monkeypatch.setattr(decontam, "PAIRS", 1 << 40)
+    want = _found(items, texts)
+    assert sum(map(len, want)) > 12
+    monkeypatch.setattr(decontam, "PAIRS", pairs)
+    monkeypatch.setattr(decontam, "CELLS", cells)
+    assert _found(items, texts) == want
+
+
+def test_decontamination_bands_against_counting(monkeypatch):
+    """Both ways of counting against plain loops over bands and positions."""
+    r = np.random.RandomState(8)
+    items = ["=" * 40, "ab" * 30, "".join(r.choice(list("ab"), 50))]
+    texts = ["=" * 90, "x" + "ba" * 45, "".join(r.choice(list("ab"), 150)) + items[2]]
+    index = decontam.Index([0, 1, 2], items)
+    c, off = decontam.normalized(pa.array(texts))
+    q, want = decontam.Q, set()
+    for x, t in enumerate(texts):
+        for y, item in enumerate(items):
+            w = int(index.k[y]) + 1
+            for band in range(-len(item) - 2, len(t) + 1):
+                own = {j for j in range(len(item) - q + 1) for i in range(max(0, j + band * w), min(len(t) - q + 1, j + (band + 2) * w))
+                       if t[i:i + q] == item[j:j + q]}
+                if len(own) >= index.need[y]:
+                    want.add((x, y, band * w))
+    for pairs in (1, 1 << 40):
+        monkeypatch.setattr(decontam, "PAIRS", pairs)
+        got = list(zip(*(a.tolist() for a in index.regions(c, off))))
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_decontamination_of_a_long_ruler_is_bounded():
+    """500 equal characters against 60,000: 488 * 59,989 pairs of positions."""
+    import tracemalloc
+    tracemalloc.start()
+    found, = _found(["=" * 500], ["=" * 60000])
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found and top < 300e6 and all(v == 0 for *_, v in found)
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
 def test_decontamination_finds_items_shorter_than_a_gram(spark):
     items = ["日本の首都は何処ですか", "aa", "Q", "two  words", "aa", "abcdefghijkl", "aaab"]
     rows = [(1, "問：日本の首都は何処ですか。"), (2, "xaaaaab"), (3, "日本の首都は"), (4, "one two"), (5, "two"), (6, "words two\nWords q"), (7, "abcdefghijk"), (8, "abcdefghijkl"), *EDGE[:3]]
