@@ -118,13 +118,15 @@ def _sign_task(batches):
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text"):
-    return F.xxhash64(id_col, text_col)
+    """128 bits that name a (doc_id, text), NULLs apart from values."""
+    named = lambda c: F.when(F.col(c).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(c).cast("string")))
+    return F.unhex(F.md5(F.concat(named(id_col), F.lit("\n"), named(text_col))))
 
 
 def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One narrow row a document: doc_id, rk, sid, n_shingles, sig, bands (written once)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).alias("text"))
-    return materialize(rows.mapInArrow(_sign_task, "doc_id long, rk long, sid binary, n_shingles long, sig binary, bands array<long>"), "shingle-signatures")
+    return materialize(rows.mapInArrow(_sign_task, "doc_id long, rk binary, sid binary, n_shingles long, sig binary, bands array<long>"), "shingle-signatures")
 
 
 def least_matches(threshold=THRESHOLD, tolerance=TOLERANCE, total=BANDS * ROWS, step=STEP):
@@ -290,7 +292,8 @@ def links(docs: DataFrame, sign: DataFrame, threshold: float = THRESHOLD, id_col
     members = materialize(groups.join(size, "grp").join(classes.select("sid", "n_rows", "rk"), "sid")
                           .join(has.select("sid", "rk", "sig"), ["sid", "rk"]).dropDuplicates(["sid"]), "candidate-members")
     texts = docs.select(row_key(id_col, text_col).alias("rk"), F.col(text_col).alias("text"))
-    sets = members.join(texts, "rk").mapInArrow(_set_task, "grp binary, sid binary, sig binary, n_rows long, n_grp long, shingles binary")
+    # a member reads its text once, however many rows have that doc_id and text
+    sets = members.join(texts.dropDuplicates(["rk"]), "rk").mapInArrow(_set_task, "grp binary, sid binary, sig binary, n_rows long, n_grp long, shingles binary")
     # blocks of about BLOCK classes; every pair of blocks of a group is one unit
     blocks = F.ceil(F.col("n_grp") / F.lit(BLOCK)).cast("int")
     sets = sets.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))

@@ -102,6 +102,16 @@ def test_decontamination_against_alignment(spark):
     assert decontam.decontaminate(spark.createDataFrame(rows, DOCS), bench.limit(0)).count() == len(rows)
 
 
+def test_jaccard_row_key_names_rows_apart(spark):
+    """128 bits, and no two of these rows share them: NULLs, empty texts, id and text run together."""
+    rows = [(None, None), (None, ""), (1, None), (1, ""), (1, "1"), (11, ""), (11, "1"), (1, "\n=1"), (None, "-"), (None, "=")]
+    keys = [r.k for r in spark.createDataFrame(rows, DOCS).select(jaccard.row_key().alias("k")).collect()]
+    assert len(set(keys)) == len(rows) and {len(k) for k in keys} == {16}
+    docs = spark.createDataFrame([(7, "one two three four five six")] * 40 + [(8, "other words stand in this text")], DOCS)
+    assert sorted(r.doc_id for r in jaccard.keep_one(docs).collect()) == [7, 8]
+    assert {(r.doc_id, r.n_links) for r in jaccard.report(docs).collect()} == {(7, 39), (8, 0)}
+
+
 def _found(items, texts):
     index = decontam.Index(list(range(len(items))), items)
     return decontam._search(index, pa.array(texts, pa.string()))
