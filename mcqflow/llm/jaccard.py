@@ -13,14 +13,19 @@ shingle.
    value shared by m classes makes m edges, not m * m pairs.  A pair at
    similarity 0.8 misses all bands with probability 3e-6.
 3. The connected components of these edges are the candidate groups.  A group
-   is cut into blocks of ``BLOCK`` classes by hash and every pair of blocks is
-   one unit of work, so a large group spreads over many tasks.
-4. In a unit, pairs are compared on their MinHash values, ``STEP`` at a time; a
-   pair is dropped as soon as the posterior probability (uniform prior) that
-   its similarity reaches the threshold falls below ``TOLERANCE``.  The rest is
-   verified exactly on the shingle sets.  A unit emits, for each class, how
-   many rows it links to, and the edges of a spanning forest of its links;
-   pairs are never emitted.
+   meets as a whole, or by its shared band values, whichever copies fewer
+   shingle sets: a cluster of near copies shares most bands and meets once,
+   a group that only chains of shared bands hold together (pages of one
+   template) meets band value by band value.  What meets is cut into blocks of
+   ``BLOCK`` classes by hash, and every pair of blocks is one unit of work, so
+   a large group spreads over many tasks.
+4. In a unit, the pairs that agree on a band are compared on their MinHash
+   values, ``STEP`` at a time; a pair that meets by band values counts only in
+   the first band where it agrees.  A pair is dropped as soon as the posterior
+   probability (uniform prior) that its similarity reaches the threshold falls
+   below ``TOLERANCE``.  The rest is verified exactly on the shingle sets.  A
+   unit emits, for each class, how many rows it links to, and the edges of a
+   spanning forest of its links; pairs are never emitted.
 5. Link counts add up; the components of the forest edges are the groups.
 
 Defined cases: null, empty and blank texts have no words and link to nothing;
@@ -48,6 +53,8 @@ BANDS, ROWS = 32, 5
 STEP = 16
 TOLERANCE = 1e-6
 BLOCK = 256
+BIN_BYTES = 16 << 20  # shingle sets of small units that one Arrow table holds, about
+DENSE = 4096  # pairs of a unit that are matched on all bands in one product
 _rng = np.random.RandomState(977)
 _MULT = (_rng.randint(1, 1 << 31, BANDS * ROWS, dtype=np.int64).astype(np.uint64) << np.uint64(32)) | \
     (_rng.randint(0, 1 << 31, BANDS * ROWS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1))
@@ -157,15 +164,26 @@ def _prune(sa, sb, pa_, pb):
     return pa_, pb
 
 
-def _first_step(sa, sb, same):
-    """All pairs of two blocks after the first comparison (dense, a block at a time)."""
-    eq = np.zeros((len(sa), len(sb)), np.int16)
-    for k in range(STEP):
-        eq += sa[:, k][:, None] == sb[:, k][None, :]
-    ok = eq >= least_matches()[0]
+def _agreeing(ka, kb, same, band):
+    """Pairs (i, j) of two blocks that agree on a band value; in a unit of band
+    ``band`` (not -1) those that agree on no earlier band.  ka, kb: keys by band."""
+    if band >= 0:
+        hit = np.ones((len(ka), len(kb)), bool)
+        for k in range(band):
+            hit &= ka[:, k][:, None] != kb[:, k][None, :]
+    elif len(ka) * len(kb) <= DENSE:
+        hit = (ka[:, None, :] == kb[None, :, :]).any(2)
+    else:
+        hit = np.zeros((len(ka), len(kb)), bool)
+        for k in range(ka.shape[1]):
+            order = np.argsort(kb[:, k], kind="stable")
+            lo, hi = (np.searchsorted(kb[order, k], ka[:, k], side) for side in ("left", "right"))
+            n = hi - lo
+            i = np.repeat(np.arange(len(ka)), n)
+            hit[i, order[np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + lo[i]]] = True
     if same:
-        ok = np.triu(ok, 1)
-    return np.nonzero(ok)
+        hit = np.triu(hit, 1)
+    return np.nonzero(hit)
 
 
 def _verify(seta, setb, i, j, threshold):
@@ -227,14 +245,14 @@ def _unit_task(threshold):
     def run(t: pa.Table) -> pa.Table:
         group = t.column("grp").to_pylist()
         sid, rows = t.column("sid").to_pylist(), t.column("n_rows").to_numpy()
-        blk, bi, bj = (t.column(c).to_numpy() for c in ("blk", "bi", "bj"))
+        band, key, blk, bi, bj = (t.column(c).to_numpy() for c in ("band", "key", "blk", "bi", "bj"))
         units: dict = {}
         for r in range(len(sid)):
-            own = units.setdefault((group[r], int(bi[r]), int(bj[r])), ({}, {}))
+            own = units.setdefault((group[r], int(band[r]), int(key[r]), int(bi[r]), int(bj[r])), ({}, {}))
             own[0 if blk[r] == bi[r] else 1].setdefault(sid[r], r)
         sig_col, set_col = t.column("sig"), t.column("shingles")
         out = {"u": [], "v": [], "n": []}
-        for (_, a, b), (left, right) in units.items():
+        for (_, at, _, a, b), (left, right) in units.items():
             la, lb = sorted(left.values()), sorted(right.values()) if a != b else sorted(left.values())
             if not la or not lb or (a == b and len(la) < 2):
                 continue
@@ -242,7 +260,9 @@ def _unit_task(threshold):
                                 [np.frombuffer(set_col[r].as_py(), np.uint64) for r in ids])
             sa, xa = load(la)
             sb, xb = (sa, xa) if a == b else load(lb)
-            i, j = _prune(sa, sb, *_first_step(sa, sb, a == b))
+            ka = W.windows_rows(sa, BANDS, ROWS)
+            kb = ka if a == b else W.windows_rows(sb, BANDS, ROWS)
+            i, j = _prune(sa, sb, *_agreeing(ka, kb, a == b, at))
             i, j = _verify(xa, xb, i, j, threshold)
             if not len(i):
                 continue
@@ -263,16 +283,43 @@ def _unit_task(threshold):
 
 
 def _set_task(batches):
+    seen: set = set()
     for b in batches:
+        # copies of a repeated row come close together: one a task is enough, the units drop the rest
+        sid = b.column("sid").to_pylist()
+        new = []
+        for r, x in enumerate(sid):
+            if x not in seen:
+                seen.add(x)
+                new.append(r)
+        if len(seen) > 100_000:
+            seen.clear()
+        if len(new) < len(sid):
+            b = b.take(pa.array(new, pa.int64()))
         buf, off = W.text_bytes(b.column("text"))
         for lo, hi in W.slabs(off):
             v, so = shingle_sets(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
             sets = pa.array([v[x:y].tobytes() for x, y in zip(so[:-1], so[1:])], pa.binary())
-            cols = [b.column(n).slice(lo, hi - lo) for n in ("grp", "sid", "sig", "n_rows", "n_grp")]
-            yield pa.RecordBatch.from_arrays([*cols, sets], names=["grp", "sid", "sig", "n_rows", "n_grp", "shingles"])
-
-
-def links(docs: DataFrame, sign: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"):
+            cols = [b.column(n).slice(lo, hi - lo) for n in ("grp", "sid", "sig", "n_rows", "spots")]
+            yield pa.RecordBatch.from_arrays([*cols, sets], names=["grp", "sid", "sig", "n_rows", "spots", "shingles"])
+
+
+def _spots(groups: DataFrame, keyed: DataFrame, block: int) -> DataFrame:
+    """(sid, spots): the band values by which the classes of a group meet, with the
+    number of blocks of each, for the groups where this copies fewer sets."""
+    wide = groups.where(F.col("n_grp") > block).select("sid", "grp", "n_grp")
+    own = materialize(keyed.join(wide, "sid").select("sid", "grp", "n_grp", "band", "key"), "candidate-bands")
+    values = (own.groupBy("grp", "n_grp", "band", "key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+              .withColumn("nb", F.ceil(F.col("m") / F.lit(block)).cast("int")))
+    values = materialize(values, "candidate-band-values")
+    split = (values.groupBy("grp", "n_grp").agg(F.sum(F.col("m") * F.col("nb")).alias("copies"))
+             .where(F.col("copies") < F.col("n_grp") * F.ceil(F.col("n_grp") / F.lit(block))).select("grp"))
+    meet = values.join(split, "grp").select("band", "key", "nb")
+    return (own.join(meet, ["band", "key"]).groupBy("sid")
+            .agg(F.collect_list(F.struct("band", "key", "nb")).alias("spots")))  # at most BANDS
+
+
+def links(docs: DataFrame, sign: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK):
     """(classes, link rows): classes (sid, n_rows, first_id, rk); link rows (u, v, n)
     hold spanning-forest edges (v set) and partial link counts (v null)."""
     spark = docs.sparkSession
@@ -289,26 +336,37 @@ def links(docs: DataFrame, sign: DataFrame, threshold: float = THRESHOLD, id_col
             .select("v", F.explode(F.array_union("hubs", F.array("sid"))).alias("u")).where("u <> v").distinct())
     groups = components(hubs).select(F.col("node").alias("sid"), F.col("label").alias("grp"))
     size = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n_grp"))
-    members = materialize(groups.join(size, "grp").join(classes.select("sid", "n_rows", "rk"), "sid")
-                          .join(has.select("sid", "rk", "sig"), ["sid", "rk"]).dropDuplicates(["sid"]), "candidate-members")
+    groups = materialize(groups.join(size, "grp"), "candidate-groups")
+    members = (groups.join(classes.select("sid", "n_rows", "rk"), "sid")
+               .join(has.select("sid", "rk", "sig", "n_shingles"), ["sid", "rk"]).dropDuplicates(["sid"]))
+    whole = F.array(F.struct(F.lit(-1).alias("band"), F.lit(0).cast("long").alias("key"), F.ceil(F.col("n_grp") / F.lit(block)).cast("int").alias("nb")))
+    members = members.join(_spots(groups, keyed, block), "sid", "left").withColumn("spots", F.coalesce("spots", whole))
+    members = materialize(members, "candidate-members")
+    # bins of small units: their number grows with the bytes they hold
+    small = F.size(F.filter("spots", lambda s: s["nb"] == 1))
+    held = members.agg(F.sum((F.col("n_shingles") * 8 + 4 * BANDS * ROWS) * small).alias("b")).first()["b"] or 0
+    n_bins = max(4 * parts, -(-held // BIN_BYTES))
     texts = docs.select(row_key(id_col, text_col).alias("rk"), F.col(text_col).alias("text"))
-    sets = members.join(texts, "rk").mapInArrow(_set_task, "grp binary, sid binary, sig binary, n_rows long, n_grp long, shingles binary")
-    # blocks of about BLOCK classes; every pair of blocks of a group is one unit
-    blocks = F.ceil(F.col("n_grp") / F.lit(BLOCK)).cast("int")
-    sets = sets.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))
+    schema = "grp binary, sid binary, sig binary, n_rows long, spots array<struct<band:int,key:bigint,nb:int>>, shingles binary"
+    sets = (members.select("grp", "sid", "sig", "n_rows", "spots", "rk").join(texts, "rk").mapInArrow(_set_task, schema)
+            .select("*", F.explode("spots").alias("s")).select("grp", "sid", "sig", "n_rows", "shingles", "s.*"))
+    # every pair of blocks of what meets is one unit
+    sets = sets.withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     sets = sets.withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other"))
-    bins = sets.withColumn("bin", F.when(F.col("nb") == 1, F.pmod(F.xxhash64("grp"), F.lit(4 * parts)))
-                           .otherwise(F.xxhash64("grp", "bi", "bj"))).drop("nb", "other", "n_grp")
+    bins = sets.withColumn("bin", F.when(F.col("nb") == 1, F.pmod(F.xxhash64("grp", "band", "key"), F.lit(n_bins)))
+                           .otherwise(F.xxhash64("grp", "band", "key", "bi", "bj"))).drop("nb", "other")
+    if n_bins > 4 * parts:
+        bins = bins.repartition(n_bins // 4, "bin")
     found = materialize(bins.groupBy("bin").applyInArrow(_unit_task(threshold), "u binary, v binary, n long"), "jaccard-links")
     return classes, found
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row a document: doc_id, rk, class_id (least doc_id of its linked group),
     n_links (other rows at the threshold or above), copy_of (least doc_id with the same shingles)."""
     sign = signed(docs, id_col, text_col)
-    classes, found = links(docs, sign, threshold, id_col, text_col)
+    classes, found = links(docs, sign, threshold, id_col, text_col, block)
     counts = found.where("v is null").groupBy(F.col("u").alias("sid")).agg(F.sum("n").alias("n"))
     comp = components(found.where("v is not null")).select(F.col("node").alias("sid"), F.col("label").alias("grp"))
     named = classes.join(comp, "sid", "left").withColumn("grp", F.coalesce("grp", "sid"))

@@ -62,6 +62,74 @@ def test_near_copy_group_larger_than_a_block(spark):
     assert {r.class_id for r in got} == {0}
 
 
+def _links_by_counting(rows):
+    sets = [shingles(t) for _, t in rows]
+    near = lambda a, b: len(a & b) * 1000 >= 800 * len(a | b)
+    return {d: sum(1 for j, b in enumerate(sets) if j != i and near(sets[i], b)) for i, (d, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("block", [3, 8, 64])
+def test_groups_meet_whole_or_by_band_values(spark, block):
+    """Pages of one template (candidates, few links) and near copies, with small blocks: the links of all pairs."""
+    rng = random.Random(12)
+    base = [f"t{i}" for i in range(60)]
+    rows = []
+    for i in range(150):  # two template groups of which one gets near copies of some pages
+        w = [x if rng.random() < 0.86 else f"p{rng.randint(0, 10**6)}" for x in base]
+        rows.append((len(rows), " ".join(w)))
+        for _ in range(rng.choice([0, 0, 0, 2])):
+            rows.append((len(rows), " ".join(w[:-1] + [f"e{len(rows)}"])))
+    rows += [(len(rows) + i, " ".join(base[:40] + [f"n{i}"] + base)) for i in range(40)]
+    got = jaccard.join(spark.createDataFrame(rows, DOCS), block=block).collect()
+    want = _links_by_counting(rows)
+    assert sum(want.values()) > 1600 and {r.doc_id: r.n_links for r in got} == want
+
+
+def test_template_pages_meet_by_band_values_only(spark):
+    """A group that only chains of shared bands hold together: no set is copied more than its bands say,
+    and far fewer pairs meet than the group has."""
+    rng = random.Random(6)
+    base = [f"t{i}" for i in range(60)]
+    rows = [(i, " ".join(x if rng.random() < 0.89 else f"p{i}_{k}" for k, x in enumerate(base))) for i in range(1200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    sign = jaccard.signed(docs).where("sid is not null").toPandas().drop_duplicates("sid")
+    keys = np.stack(sign["bands"].to_list())
+    up = list(range(len(keys)))
+    values = [list(v) for b in range(keys.shape[1]) for v in sign.groupby(keys[:, b]).indices.values() if len(v) > 1]
+    for v in values:
+        for x in v:
+            up = [up[v[0]] if u == up[x] else u for u in up] if up[x] != up[v[0]] else up
+    label, n_grp = np.unique(up, return_counts=True)
+    assert n_grp.max() > 2 * jaccard.BLOCK  # one candidate group of several blocks
+    groups = spark.createDataFrame([(bytes(sign["sid"].iloc[i]), str(u).encode(), int(n_grp[label == u][0])) for i, u in enumerate(up)],
+                                   "sid binary, grp binary, n_grp long")
+    keyed = spark.createDataFrame([(bytes(s), b, int(k)) for s, row in zip(sign["sid"], keys) for b, k in enumerate(row)],
+                                  "sid binary, band int, key long")
+    spots = jaccard._spots(groups, keyed, 16).collect()
+    assert spots and max(len(r.spots) for r in spots) <= jaccard.BANDS
+    meet = {}
+    for r in spots:
+        for s in r.spots:
+            meet[s.band, s.key] = meet.get((s.band, s.key), 0) + 1
+    assert sum(m * (m - 1) // 2 for m in meet.values()) < n_grp.max() * (n_grp.max() - 1) // 2
+    got = jaccard.report(docs).collect()
+    assert {r.doc_id: r.n_links for r in got} == _links_by_counting(rows)
+
+
+def test_agreeing_pairs_against_loops():
+    r = np.random.RandomState(2)
+    for n, m in ((5, 7), (90, 80)):
+        ka, kb = r.randint(0, 400, (n, 32)), r.randint(0, 400, (m, 32))
+        first = {(i, j): next((k for k in range(32) if ka[i, k] == kb[j, k]), None) for i in range(n) for j in range(m)}
+        assert set(zip(*map(np.ndarray.tolist, jaccard._agreeing(ka, kb, False, -1)))) == {p for p, k in first.items() if k is not None}
+        for band in (0, 9, 31):  # a unit of a band: all its rows agree there
+            kb[:, band] = ka[:, band] = 7
+            first = {(i, j): next(k for k in range(32) if ka[i, k] == kb[j, k]) for i in range(n) for j in range(m)}
+            assert set(zip(*map(np.ndarray.tolist, jaccard._agreeing(ka, kb, False, band)))) == {p for p, k in first.items() if k == band}
+    same = jaccard._agreeing(ka, ka, True, -1)
+    assert (same[0] < same[1]).all() and len(same[0]) == 90 * 89 // 2
+
+
 def test_components_of_a_chain(spark):
     rows = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (5, 5)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(rows, "u long, v long")).collect()}
