@@ -1,5 +1,6 @@
 """Operators 2, 3 and 4: oracle parity and edge cases."""
 
+import random
 import zlib
 from datetime import date
 
@@ -43,6 +44,21 @@ def test_url_filter_intervals_and_edges(spark):
     assert urlfilter.filter_urls(caps.limit(0), ents).count() == 0
 
 
+def test_as_of_against_loops(spark):
+    """Many times and entries of few domains, times equal to an entry's, unlisted domains, other types of time."""
+    rng = random.Random(9)
+    entries = sorted({(f"d{rng.randint(0, 3)}", rng.randint(0, 400)): rng.random() < 0.5 for _ in range(200)}.items())
+    asked = sorted({(f"d{rng.randint(0, 5)}", rng.randint(-20, 420)) for _ in range(900)})
+    ents = spark.createDataFrame([(d, t, "block" if b else "allow") for (d, t), b in entries], "domain string, listed_at long, status string")
+    got = urlfilter.as_of(spark.createDataFrame(asked, "domain string, at int"), urlfilter.validity(ents)).collect()
+    want = {}
+    for d, t in asked:
+        for (e, since), blocks in entries:
+            if e == d and since <= t:
+                want[d, t] = (since, blocks)
+    assert {(r.domain, r.at): (r.entry.valid_from, r.entry.blocks) for r in got} == want and len(got) == len(want)
+
+
 def test_quality_rules_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n\t"), (None, "a b c d e f g h i j k"), (4, "x y z u v " * 4000), (4, "x y z u v " * 4000),
             (5, "w1 w2 w3 w4 w5 w6 w1 w2 w3 w4 w5 q"), (6, "l one\n\nl one\nl two\n \n \n")]
