@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mcqflow.operators.dedup import numbered
 from mcqflow.operators.index import int_bucket, ranked
 from mcqflow.operators.stats import label_optcount_distribution
 
@@ -19,10 +20,16 @@ MAX_OPTION_COUNT = 64  # bound on distinct option counts (partition keys)
 
 def balance_labels(df: DataFrame, order: str = "index") -> DataFrame:
     """B1: adds ``target`` and returns options/label after the swap, plus
-    ``answer_kept`` (B2: options[label] equals the old right answer)."""
-    x = df.withColumn("opt_count", F.size("options"))
-    x = ranked(x, [order], int_bucket(x, order), ["opt_count"], "_pos",
-               max_keys=MAX_OPTION_COUNT, n_buckets=None)
+    ``answer_kept`` (B2: options[label] equals the old right answer).
+
+    The rows are written once with a number; only narrow keys are ranked, as a
+    window task holds up to a bucket of about 2^20 rows, and ranks meet the rows
+    by number."""
+    x = numbered(df.withColumn("opt_count", F.size("options")), "unbalanced")
+    keys = x.select(*dict.fromkeys(["_rid", order, "opt_count"]))
+    pos = ranked(keys, [order, "_rid"], int_bucket(keys, order), ["opt_count"], "_pos",
+                 max_keys=MAX_OPTION_COUNT, n_buckets=None)
+    x = x.join(pos.select("_rid", "_pos"), "_rid")
     x = x.withColumn("target", F.pmod(F.col("_pos") - 1, F.col("opt_count")).cast("bigint"))
     old = F.col("options")
     lab = F.col("label").cast("int")
@@ -35,7 +42,7 @@ def balance_labels(df: DataFrame, order: str = "index") -> DataFrame:
             .withColumn("original_label", F.col("label"))
             .withColumn("label", F.col("target"))
             .withColumn("answer_kept", F.get(F.col("options"), tgt) == F.col("answer_text"))
-            .drop("_pos", "answer_text"))
+            .drop("_rid", "_pos", "answer_text"))
 
 
 def balance_report(before: DataFrame, after: DataFrame, digits: int = 6) -> DataFrame:

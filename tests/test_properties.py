@@ -64,6 +64,25 @@ def test_balance_keeps_answers_and_evens_labels(spark):
         assert max(c) - min(c) <= 1
 
 
+def test_balance_ranks_keys_not_texts(spark):
+    """A rank task holds a bucket of up to 2^20 rows: below the window there is no text; equal and NULL keys lose no row."""
+    rows = [(i // 2 if i % 7 else None, f"t{i}", ["a", "b", "c"][:2 + i % 2], i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "index long, text string, options array<string>, label long")
+    b = balance_labels(df)
+    lines = b._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    at = next(i for i, x in enumerate(lines) if "Window [row_number()" in x)
+    end = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+    ranked_on = [x for x in lines[at:end] if "Relation [" not in x and "LogicalRDD" not in x]
+    assert len(ranked_on) > 1 and not any("text#" in x or " options#" in x for x in ranked_on), ranked_on
+    got = b.collect()
+    assert sorted(r.text for r in got) == sorted(r[1] for r in rows) and all(r.answer_kept for r in got)
+    for k in (2, 3):
+        n = [sum(r.label == t for r in got if len(r.options) == k) for t in range(k)]
+        assert max(n) - min(n) <= 1
+    assert set(b.columns) == set(df.columns) | {"opt_count", "target", "original_label", "answer_kept"}
+
+
 def _py_extract(text, letters="ABCD"):
     """Brute force: the same ordered patterns through Python's re."""
     for p in answer_patterns(letters):
