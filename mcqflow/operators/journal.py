@@ -27,6 +27,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mcqflow.operators.dedup import numbered
+
 SCHEMA = "request_id string, key string, run string, response string, call_error string, attempt int"
 ROWS_PER_TASK = 2000
 
@@ -59,22 +61,31 @@ class ResponseJournal:
                 .select("request_id", "_a.response", "_a.call_error"))
 
     def answer(self, df: DataFrame, call: Callable[[DataFrame], DataFrame], attempt: int, key: str = "index",
-               payload: str = "payload") -> DataFrame:
+               payload: str = "payload", rows: DataFrame | None = None, row_id: str = "_rid") -> DataFrame:
         """``df`` with response and call_error of ``attempt``; ``call`` maps the
-        requests that are still to be made to their answers."""
-        x = df.withColumn("request_id", request_id(key, payload))
+        requests that are still to be made to their answers.
+
+        With ``rows``, numbered by ``row_id`` and with the payload, ``df`` has that
+        number and ``request_id`` only: payloads are read for calls, in tasks by
+        number, so that copies of a request never meet; logs are joined by id."""
+        narrow = rows is not None
+        if not narrow:
+            row_id = "_rid"
+            df = rows = numbered(df.withColumn("request_id", request_id(key, payload)), "requests")
         known = self.answers(attempt)
         if self.retry_errors:
             known = known.where("call_error is null")
-        ask = (x.select("request_id", F.col(key).cast("string").alias("key"), F.col(payload).alias("payload"))
-               .where(F.col("request_id").isNotNull()).dropDuplicates(["request_id"])
+        ask = (df.where(F.col("request_id").isNotNull()).groupBy("request_id")
+               .agg(F.min(row_id).alias("_ask"), F.min(F.col(key).cast("string")).alias("key"))
                .join(known.select("request_id"), "request_id", "left_anti"))
         n = ask.count()
         if n:
-            tasks = -(-n // self.rows_per_task)
-            got = call(ask.repartition(tasks, "request_id"))
+            # as many tasks as all rows need: they are what the join reads
+            tasks = -(-rows.count() // self.rows_per_task)
+            texts = rows.select(F.col(row_id).alias("_ask"), F.col(payload).alias("payload"))
+            got = call(texts.repartition(tasks, "_ask").join(ask.repartition(tasks, "_ask"), "_ask"))
             self._write(got.select("request_id", "key", F.lit(self.run).alias("run"), "response", "call_error",
                                    F.lit(attempt).alias("attempt")))
-        out = x.join(self.answers(attempt), "request_id", "left")
-        return (out.withColumn("call_error", F.when(F.col("request_id").isNull(), F.lit("no payload")).otherwise(F.col("call_error")))
-                .drop("request_id"))
+        out = df.drop("response", "call_error").join(self.answers(attempt), "request_id", "left")
+        out = out.withColumn("call_error", F.when(F.col("request_id").isNull(), F.lit("no payload")).otherwise(F.col("call_error")))
+        return out if narrow else out.drop("request_id", row_id)

@@ -12,6 +12,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from mcqflow.operators.dedup import numbered
 from mcqflow.operators.journal import ResponseJournal
 from mcqflow.operators.reasoning import (analysis_run, generate_reasoning, generate_structured,
                                          status_counts)
@@ -79,7 +80,7 @@ GEN_ROWS = """SELECT "index", CASE WHEN ok_at IS NULL THEN 'failed' ELSE 'ok' EN
 
 
 def _gen(spark, sf):
-    # a union of the per-attempt tables already written by the operator
+    # rows and per-attempt answers, both already written by the operator
     return generate_reasoning(valid(spark, sf), stub_text_model, SYSTEM)
 
 
@@ -155,10 +156,10 @@ def q_generate_resume(spark, sf):
     resumes it, and a third run that finds every answer logged; calls of each run by row."""
     from mcqflow.session import scratch_path
     p = scratch_path(spark, "journal")
-    v = valid(spark, sf)
+    v = numbered(valid(spark, sf), "valid")  # the three runs read the same rows
     for run, most in (("1", 1), ("2", 3), ("3", 3)):
         journal = ResponseJournal(spark, p, run)
-        rows = generate_reasoning(v, stub_text_model, SYSTEM, max_attempts=most, journal=journal)
+        rows = generate_reasoning(v, stub_text_model, SYSTEM, max_attempts=most, journal=journal, row_id="_rid")
     calls = journal.log().groupBy("key").agg(*[F.count_if(F.col("run") == k).alias(f"calls_run{k}") for k in "123"])
     return (rows.select("index", "status", "attempts").join(calls, F.col("index").cast("string") == F.col("key"), "left")
             .drop("key").fillna(0, [f"calls_run{k}" for k in "123"]))

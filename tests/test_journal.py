@@ -121,3 +121,40 @@ def test_analysis_run_with_journal(spark, tmp_path):
         r = analysis_run(_rows(spark, 8), fn, "sys", chat_body=False, journal=ResponseJournal(spark, path))
         assert r.where("is_correct").count() == 2 and r.count() == 8
     assert _calls(log) == 8
+
+
+def _bulky(spark, n=40):
+    """Texts of 20 KB that do not compress well."""
+    import random
+    r = random.Random(7)
+    return spark.createDataFrame([(i, "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=20000)), "q",
+                                   ["a", "b", "c", "d"], i % 4, "x") for i in range(n)], COLS)
+
+
+def _size(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("journaled", [True, False])
+def test_texts_are_not_written_with_every_attempt(spark, tmp_path, monkeypatch, journaled):
+    """Three journaled runs of numbered rows write no text, one plain run the rows once and what is asked again."""
+    from mcqflow import session
+    from mcqflow.operators.dedup import numbered
+    df, text = numbered(_bulky(spark), "bulky"), 40 * 20000
+    monkeypatch.setattr(session, "scratch_path", lambda s, name: str(tmp_path / "scratch" / f"{name}-{len(list(tmp_path.glob('scratch/*')))}"))
+    for run, most in (("1", 1), ("2", 3), ("3", 3)) if journaled else (("1", 3),):
+        journal = ResponseJournal(spark, str(tmp_path / "j"), run) if journaled else None
+        got = _run(df, _model(tmp_path / "calls"), journal, max_attempts=most, row_id="_rid")
+    assert got.select("text").distinct().count() == 40
+    assert [r["n"] for r in got.groupBy("status", "attempts").agg(F.count("*").alias("n")).orderBy("n", "attempts").collect()] == [10] * 4
+    assert _calls(tmp_path / "calls") == 40 + 30 + 20
+    assert _size(tmp_path) < (0.2 if journaled else 1.5) * text
+
+
+def test_copies_of_a_request_share_one_call_and_keep_all_rows(spark, tmp_path):
+    df, log = _rows(spark, 4), tmp_path / "calls"
+    df = df.unionByName(df).unionByName(df.withColumn("index", F.lit(None).cast("long")))
+    rows = _run(df, _model(log), ResponseJournal(spark, str(tmp_path / "j")))
+    assert rows.count() == 12 and rows.where("status = 'ok'").count() == 9
+    assert _calls(log) == 8 + 6 + 4
+    assert _result(rows.where("index is not null")) == sorted(2 * _result(_run(_rows(spark, 4), _model(tmp_path / "plain"))))
