@@ -1,7 +1,7 @@
 """Reasoning validation, accuracy and batch model calls.
 
 Validation and accuracy are pure DataFrame aggregates.  Model calls run in
-``mapInPandas`` around a user-supplied callable (one HTTP client per Python
+``mapInArrow`` around a user-supplied callable (one HTTP client per Python
 worker, ``batch_size`` rows at a time); status columns stand for separate
 success and failure files.  With a response journal a broken run is resumed
 without asking again for what was answered (``operators.journal``).
@@ -95,6 +95,7 @@ def call_model(df: DataFrame, fn: Callable[[str, int], str], attempt: int, paylo
                                               T.StructField("call_error", T.StringType())])
 
     def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
         from concurrent.futures import ThreadPoolExecutor
 
         def one(p):
@@ -105,14 +106,13 @@ def call_model(df: DataFrame, fn: Callable[[str, int], str], attempt: int, paylo
 
         with ThreadPoolExecutor(max_workers=concurrency) as ex:
             for rows in batches:
-                for at in range(0, len(rows), batch_size):
-                    pdf = rows.iloc[at:at + batch_size].copy()
-                    res = list(ex.map(one, pdf[payload].tolist()))
-                    pdf[out] = [r[0] for r in res]
-                    pdf["call_error"] = [r[1] for r in res]
-                    yield pdf
-
-    return df.mapInPandas(run, schema)
+                for at in range(0, rows.num_rows, batch_size):
+                    part = rows.slice(at, batch_size)  # a view: only these payloads become Python strings
+                    res = list(ex.map(one, part.column(payload).to_pylist()))
+                    added = [pa.array([r[k] for r in res], pa.string()) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[f.name for f in schema.fields])
+
+    return df.mapInArrow(run, schema)
 
 
 ANSWER = ["response", "call_error", "attempts", "accepted"]

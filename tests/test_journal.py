@@ -151,6 +151,28 @@ def test_texts_are_not_written_with_every_attempt(spark, tmp_path, monkeypatch,
     assert _size(tmp_path) < (0.2 if journaled else 1.5) * text
 
 
+def test_python_gets_requests_only(spark, monkeypatch, tmp_path):
+    """What goes to Python is the request, not the row; batches there are views of at most ``batch_size`` rows."""
+    from mcqflow.operators import reasoning
+    seen, real = [], reasoning.call_model
+
+    def spy(df, *a, **kw):
+        seen.append(set(df.columns))
+        return real(df, *a, **kw)
+    monkeypatch.setattr(reasoning, "call_model", spy)
+    df = _rows(spark, 8)
+    assert _run(df, _model(tmp_path / "a")).count() == 8
+    assert analysis_run(df, lambda p, a: '{"correct_answer": "A"}', "sys", chat_body=False).count() == 8
+    assert len(seen) == 4 and all(c <= {"_rid", "label", "payload"} for c in seen), seen
+
+
+def test_call_model_keeps_types_and_nulls(spark):
+    df = spark.createDataFrame([(1, None, None), (None, ["x"], "p")], "i long, a array<string>, payload string")
+    got = call_model(df, lambda p, a: None if p is None else p * a, 2)
+    assert dict(got.dtypes)["i"] == "bigint" and {(r.i, tuple(r.a or ()), r.response) for r in got.collect()} == {
+        (1, (), None), (None, ("x",), "pp")}
+
+
 def test_copies_of_a_request_share_one_call_and_keep_all_rows(spark, tmp_path):
     df, log = _rows(spark, 4), tmp_path / "calls"
     df = df.unionByName(df).unionByName(df.withColumn("index", F.lit(None).cast("long")))
