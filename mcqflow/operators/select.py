@@ -69,8 +69,10 @@ def percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[str]
     """Exact, linearly interpolated percentiles of an integer column: one row a
     group with the array ``q``.  ``count`` names a column of row counts if ``df``
     already is a histogram; it is then read as it is."""
-    by = list(by)
-    hist = df if count else materialize(df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_cnt")), "histogram")
+    by, grouped = list(by) or ["_all"], bool(by)
+    # without groups all rows are one, named in the histogram, so that ranks meet it by an equal key
+    x = df if grouped else df.withColumn("_all", F.lit(0))
+    hist = x if count else materialize(x.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_cnt")), "histogram")
     c = count or "_cnt"
     edge = hist.agg(F.min(F.col(col).cast("bigint")).alias("lo"), F.max(F.col(col).cast("bigint")).alias("hi")).first()
     full = hist.where(F.col(col).isNotNull())
@@ -87,5 +89,7 @@ def percentiles(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[str]
     q = q.groupBy(*[F.col(b).alias(f"_g{i}") for i, b in enumerate(by)]).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("q"))
     q = q.where(F.size("q") > 0)
+    if not grouped:
+        return q.agg(F.max("q").alias("q"))  # one row, also without values
     out = groups.join(q, _same(groups, q, {b: f"_g{i}" for i, b in enumerate(by)}), "left")
     return out.select(*by, "q")
